@@ -1,0 +1,155 @@
+"""Event promotion, latest stage and the per-application lifecycle row.
+
+Plan shape (what makes this hold at scale):
+
+* The events are reduced to one row per application in ONE hash aggregate
+  (seven conditional maxima plus the latest stage via ``max_by``). The
+  aggregate runs partially on the map side, so a single application that
+  carries a third of all events still shuffles one row per map task.
+* The aggregate output is already hash-partitioned by ``application_id``;
+  only the application table is shuffled to meet it.
+* Dimensions are joined narrowly (key + needed columns), broadcast only
+  behind a row-count check, otherwise shuffle-joined with AQE skew splits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from hirelens.constants import STAGE_COLUMNS, STAGES, TERMINAL_STAGES
+from hirelens.functions.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from hirelens.functions.time import days_between
+
+EVENT_COLUMNS = ("event_id", "application_id", "stage", "stage_ts", "actor_type")
+
+
+def stage_rank(stage: Column | str = "stage") -> Column:
+    """Position of a stage in the pipeline order (1 = APPLIED ... 7 =
+    WITHDRAWN, 0 if unknown). Breaks ties between events that share a
+    timestamp: the later stage in the pipeline wins."""
+    col = F.col(stage) if isinstance(stage, str) else stage
+    return F.array_position(F.array(*[F.lit(s) for s in STAGES]), col).cast("int")
+
+
+def promote_events(stage_events_raw: DataFrame, applications: DataFrame) -> DataFrame:
+    """Raw events whose application exists (the FK-clean event table).
+
+    A left-semi join: never multiplies events even if the application key
+    is duplicated, and the probe side is only the application id column.
+    """
+    return stage_events_raw.select(*EVENT_COLUMNS).join(
+        applications.select("application_id"), "application_id", "left_semi"
+    ).select(*EVENT_COLUMNS)
+
+
+def _latest_expr() -> tuple[Column, Column]:
+    order_key = F.struct(F.col("stage_ts"), stage_rank("stage"))
+    return (
+        F.max_by(F.col("stage"), order_key).alias("latest_stage"),
+        F.max(F.col("stage_ts")).alias("latest_stage_ts"),
+    )
+
+
+def latest_stage(stage_events: DataFrame) -> DataFrame:
+    """Last event per application: (application_id, latest_stage,
+    latest_stage_ts). Ordered by time, then by pipeline rank on ties.
+
+    A grouped ``max_by`` instead of a ranked window: it aggregates
+    partially before the shuffle, so hot applications do not pile up in a
+    single task.
+    """
+    return stage_events.groupBy("application_id").agg(*_latest_expr())
+
+
+def stage_pivot(stage_events: DataFrame) -> DataFrame:
+    """One row per application with the latest time of each stage plus the
+    latest stage overall, in a single aggregation."""
+    pivots = [
+        F.max(F.when(F.col("stage") == s, F.col("stage_ts"))).alias(STAGE_COLUMNS[s]) for s in STAGES
+    ]
+    return stage_events.groupBy("application_id").agg(*pivots, *_latest_expr())
+
+
+def terminal_stage(latest: Column | str = "latest_stage") -> Column:
+    col = F.col(latest) if isinstance(latest, str) else latest
+    return F.when(col.isin(*TERMINAL_STAGES), col).otherwise(F.lit(None).cast("string"))
+
+
+def decision_ts() -> Column:
+    """Decision time: first non-null of hired, rejected, withdrawn
+    (priority order, not the earliest)."""
+    return F.coalesce(F.col("hired_ts"), F.col("rejected_ts"), F.col("withdrawn_ts"))
+
+
+def _guarded(start: str, end: str) -> Column:
+    return F.when(F.col(start).isNotNull() & F.col(end).isNotNull(), days_between(start, end))
+
+
+def duration_columns() -> dict[str, Column]:
+    """The five lifecycle durations in fractional days."""
+    return {
+        "days_applied_to_screen": _guarded("applied_ts", "screen_ts"),
+        "days_screen_to_onsite": _guarded("screen_ts", "onsite_ts"),
+        "days_onsite_to_offer": _guarded("onsite_ts", "offer_ts"),
+        "days_offer_to_decision": F.when(
+            F.col("offer_ts").isNotNull() & decision_ts().isNotNull(),
+            days_between(F.col("offer_ts"), decision_ts()),
+        ),
+        "total_time_to_hire": _guarded("applied_ts", "hired_ts"),
+    }
+
+
+LIFECYCLE_COLUMNS = (
+    "application_id",
+    "candidate_id",
+    "req_id",
+    "recruiter_id",
+    "source",
+    "org",
+    "job_family",
+    *[STAGE_COLUMNS[s] for s in STAGES],
+    "latest_stage",
+    "latest_stage_ts",
+    "terminal_stage",
+    "days_applied_to_screen",
+    "days_screen_to_onsite",
+    "days_onsite_to_offer",
+    "days_offer_to_decision",
+    "total_time_to_hire",
+)
+
+
+def lifecycle(
+    applications: DataFrame,
+    stage_events: DataFrame,
+    candidates: DataFrame,
+    requisitions: DataFrame,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """One row per application: dimensions, seven stage times, latest and
+    terminal stage and five durations.
+
+    Applications without events keep a row of nulls (left joins from the
+    application table). Events are aggregated before the join, which is
+    equivalent to joining first because every dimension is 1:1 by key.
+    """
+    pivot = stage_pivot(stage_events)
+    reqs = broadcast_if_small(requisitions.select("req_id", "org", "job_family"), broadcast_max_rows)
+    cands = broadcast_if_small(candidates.select("candidate_id", "source"), broadcast_max_rows)
+    base = (
+        applications.select("application_id", "candidate_id", "req_id", "recruiter_id")
+        .join(reqs, "req_id", "left")
+        .join(cands, "candidate_id", "left")
+        .join(pivot, "application_id", "left")
+    )
+    return (
+        base.withColumn("terminal_stage", terminal_stage())
+        .withColumns(duration_columns())
+        .select(*LIFECYCLE_COLUMNS)
+    )
+
+
+def stage_durations(life: DataFrame) -> DataFrame:
+    """Application id plus the five durations."""
+    return life.select("application_id", *duration_columns().keys())

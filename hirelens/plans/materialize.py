@@ -1,0 +1,21 @@
+"""Lineage cuts through written tables in the shared directory."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from hirelens.session import new_run_dir
+
+
+def materialize(df: DataFrame, kind: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared directory and read it back.
+
+    One job computes ``df`` once; everything downstream scans the written
+    files, so a lost executor costs a re-read of those files rather than
+    a recomputation of the whole lineage. (Never ``localCheckpoint``: its
+    blocks die with the executor.)
+    """
+    spark = df.sparkSession
+    path = new_run_dir(spark, kind)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
