@@ -24,8 +24,13 @@ def days_between(start: Column | str, end: Column | str) -> Column:
 
 
 def week_start(ts: Column | str) -> Column:
-    """Monday-based week truncation, kept zone-less."""
-    return F.date_trunc("week", _col(ts)).cast("timestamp_ntz")
+    """Monday-based week truncation, kept zone-less.
+
+    Computed on the calendar date (``dayofweek``: 1 = Sunday ... 7 =
+    Saturday), so it never passes through the session time zone the way
+    ``date_trunc`` does."""
+    c = _col(ts)
+    return F.date_sub(F.to_date(c), (F.dayofweek(c) + 5) % 7).cast("timestamp_ntz")
 
 
 def add_days(ts: Column | str, days: int) -> Column:

@@ -22,7 +22,7 @@ class HiringTables:
         """Return a copy whose ``stage_events`` is the promoted raw table."""
         if self.stage_events is not None:
             return self
-        from hirelens.operators.lifecycle import promote_events
+        from hirelens.operators.stages import promote_events
 
         return replace(self, stage_events=promote_events(self.stage_events_raw, self.applications))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from hirelens.constants import SLA_PERCENTILE, SLA_TRANSITIONS
 from hirelens.functions.percentile import percentile_cont
 from hirelens.functions.ratio import safe_ratio
-from hirelens.operators.lifecycle import decision_ts
+from hirelens.operators.stages import decision_ts
 
 SLA_COLUMNS = (
     "application_id",

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from hirelens.model import HiringTables
-from hirelens.operators.lifecycle import LIFECYCLE_COLUMNS, lifecycle
+from hirelens.operators.stages import LIFECYCLE_COLUMNS, lifecycle
 from hirelens.operators.rules import data_exceptions
 from hirelens.operators.sla import sla_breaches, sla_compliance, sla_transitions
 from hirelens.sources.sinks import write_table
