@@ -12,6 +12,25 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def micros_between(start: Column | str, end: Column | str) -> Column:
+    """Whole microseconds from ``start`` to ``end`` as a long.
+
+    Zone-less timestamps are subtracted directly (an exact day-time
+    interval, no session time zone involved, so no daylight-saving hour is
+    gained or lost), and the interval's total seconds (a decimal with six
+    places) are scaled to an integer."""
+    interval = _col(end) - _col(start)
+    return (interval.cast("decimal(20,6)") * F.lit(1_000_000)).cast("long")
+
+
+def epoch_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970-01-01 00:00:00 of a zone-less timestamp."""
+    return micros_between(F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts)
+
+
 def days_between(start: Column | str, end: Column | str) -> Column:
     """Fractional days from ``start`` to ``end`` (may be negative).
 
@@ -19,8 +38,7 @@ def days_between(start: Column | str, end: Column | str) -> Column:
     seconds, which would truncate) and divided as a double. Null when either
     end is null.
     """
-    micros = F.timestamp_diff("MICROSECOND", _col(start), _col(end))
-    return micros.cast("double") / F.lit(MICROS_PER_DAY)
+    return micros_between(start, end).cast("double") / F.lit(MICROS_PER_DAY)
 
 
 def week_start(ts: Column | str) -> Column:

@@ -33,7 +33,7 @@ from hirelens.constants import (
     EXC_STAGE_ORDER,
     EXCEPTION_DETAILS,
 )
-from hirelens.functions.time import MICROS_PER_DAY
+from hirelens.functions.time import MICROS_PER_DAY, epoch_micros
 
 EXCEPTION_COLUMNS = ("exception_type", "severity", "application_id", "event_id", "details")
 
@@ -67,10 +67,6 @@ def rule_orphan_event(stage_events_raw: DataFrame, applications: DataFrame) -> D
     )
 
 
-def _epoch_micros(ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-
-
 def duplicate_pairs(
     applications: DataFrame, days: int = DUPLICATE_WINDOW_DAYS, mode: str = "reference"
 ) -> DataFrame:
@@ -99,7 +95,7 @@ def duplicate_pairs(
             & F.col("req_id").isNotNull()
             & F.col("apply_ts").isNotNull()
         )
-        .withColumn("_us", _epoch_micros(F.col("apply_ts")))
+        .withColumn("_us", epoch_micros(F.col("apply_ts")))
         .withColumn("_bucket", ((F.col("_us") - F.pmod(F.col("_us"), F.lit(width))) / F.lit(width)).cast("long"))
     )
     later = apps.select(

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.constants import STAGE_COLUMNS, STAGES, TERMINAL_STAGES
-from hirelens.functions.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
-from hirelens.functions.time import days_between
+from hirelens.functions.joins import broadcast_if_small
+from hirelens.functions.time import days_between, epoch_micros
 
 EVENT_COLUMNS = ("event_id", "application_id", "stage", "stage_ts", "actor_type")
 
@@ -43,23 +43,42 @@ def promote_events(stage_events_raw: DataFrame, applications: DataFrame) -> Data
     ).select(*EVENT_COLUMNS)
 
 
-def _latest_expr() -> tuple[Column, Column]:
-    order_key = F.struct(F.col("stage_ts"), stage_rank("stage"))
-    return (
-        F.max_by(F.col("stage"), order_key).alias("latest_stage"),
+def _packed_latest(ts: Column, rank: Column) -> Column:
+    """(time, stage rank) packed into one long, ordered like the pair.
+
+    Microseconds since the epoch times 8 plus the rank (0..7): a plain
+    ``max`` over it finds the latest event with the pipeline tie-break, and
+    keeps the aggregation buffer fixed-width, so Spark plans a code-generated
+    hash aggregate with map-side partial aggregation (``max_by`` over a
+    struct would force a sort-based aggregate)."""
+    return epoch_micros(ts) * 8 + rank.cast("long")
+
+
+def _unpack_stage(packed: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.pmod(packed, F.lit(8)).cast("int"))
+
+
+def _latest_aggs() -> list[Column]:
+    return [
+        F.max(_packed_latest(F.col("stage_ts"), stage_rank("stage"))).alias("_latest"),
         F.max(F.col("stage_ts")).alias("latest_stage_ts"),
-    )
+    ]
+
+
+def _finish_latest(df: DataFrame) -> DataFrame:
+    return df.withColumn("latest_stage", _unpack_stage(F.col("_latest"))).drop("_latest")
 
 
 def latest_stage(stage_events: DataFrame) -> DataFrame:
     """Last event per application: (application_id, latest_stage,
     latest_stage_ts). Ordered by time, then by pipeline rank on ties.
 
-    A grouped ``max_by`` instead of a ranked window: it aggregates
-    partially before the shuffle, so hot applications do not pile up in a
-    single task.
+    A grouped max over a packed (time, rank) key instead of a ranked
+    window: it aggregates partially before the shuffle, so hot
+    applications do not pile up in a single task.
     """
-    return stage_events.groupBy("application_id").agg(*_latest_expr())
+    agg = stage_events.groupBy("application_id").agg(*_latest_aggs())
+    return _finish_latest(agg).select("application_id", "latest_stage", "latest_stage_ts")
 
 
 def stage_pivot(stage_events: DataFrame) -> DataFrame:
@@ -68,7 +87,7 @@ def stage_pivot(stage_events: DataFrame) -> DataFrame:
     pivots = [
         F.max(F.when(F.col("stage") == s, F.col("stage_ts"))).alias(STAGE_COLUMNS[s]) for s in STAGES
     ]
-    return stage_events.groupBy("application_id").agg(*pivots, *_latest_expr())
+    return _finish_latest(stage_events.groupBy("application_id").agg(*pivots, *_latest_aggs()))
 
 
 def terminal_stage(latest: Column | str = "latest_stage") -> Column:
@@ -125,7 +144,7 @@ def lifecycle(
     stage_events: DataFrame,
     candidates: DataFrame,
     requisitions: DataFrame,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    broadcast_max_rows: int = 0,
 ) -> DataFrame:
     """One row per application: dimensions, seven stage times, latest and
     terminal stage and five durations.
@@ -133,6 +152,13 @@ def lifecycle(
     Applications without events keep a row of nulls (left joins from the
     application table). Events are aggregated before the join, which is
     equivalent to joining first because every dimension is 1:1 by key.
+
+    Dimension joins: by default Spark picks the strategy from statistics,
+    and AQE turns a shuffle join into a broadcast join only when the
+    measured shuffle output of the dimension is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``. With
+    ``broadcast_max_rows > 0`` each dimension is also counted (bounded
+    LIMIT scan) and hinted for broadcast when within the bound.
     """
     pivot = stage_pivot(stage_events)
     reqs = broadcast_if_small(requisitions.select("req_id", "org", "job_family"), broadcast_max_rows)
