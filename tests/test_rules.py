@@ -1,0 +1,150 @@
+from __future__ import annotations
+
+from datetime import timedelta
+
+from conftest import make_tables, rows, ts
+from pyspark.sql import functions as F
+
+from hirelens.operators import rules as R
+from hirelens.operators.stages import lifecycle
+
+
+def _life(t):
+    return lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions)
+
+
+def _dup_ids(t, mode="reference"):
+    return rows(R.rule_duplicate_application(t.applications, mode=mode), "application_id")
+
+
+def test_orphan_event_has_event_id(spark):
+    t = make_tables(spark, [("a1", "c1", "r1", ts(0), "x")], [("e1", "a1", "APPLIED", ts(0)), ("e2", "nope", "APPLIED", ts(0))])
+    got = rows(R.rule_orphan_event(t.stage_events_raw, t.applications), "exception_type", "severity", "application_id", "event_id")
+    assert got == [("ORPHAN_STAGE_EVENT", "HIGH", "nope", "e2")]
+
+
+def test_duplicate_exactly_30_days_is_reported(spark):
+    t = make_tables(spark, [("a1", "c", "r", ts(0), "x"), ("a2", "c", "r", ts(30), "x")])
+    assert _dup_ids(t) == [("a2",)]
+
+
+def test_duplicate_30_days_plus_one_microsecond_is_not(spark):
+    t = make_tables(spark, [("a1", "c", "r", ts(0), "x"), ("a2", "c", "r", ts(30) + timedelta(microseconds=1), "x")])
+    assert _dup_ids(t) == []
+
+
+def test_duplicate_larger_id_earlier_only_in_symmetric_mode(spark):
+    t = make_tables(spark, [("a2", "c", "r", ts(0), "x"), ("a1", "c", "r", ts(3), "x")])
+    assert _dup_ids(t) == []
+    assert _dup_ids(t, "symmetric") == [("a1",)]
+
+
+def test_three_applications_in_window(spark):
+    t = make_tables(spark, [("a", "c", "r", ts(0), "x"), ("b", "c", "r", ts(5), "x"), ("c", "c", "r", ts(10), "x")])
+    assert _dup_ids(t) == [("b",), ("c",), ("c",)]
+
+
+def test_equal_apply_time_reports_larger_id(spark):
+    t = make_tables(spark, [("a", "c", "r", ts(0), "x"), ("b", "c", "r", ts(0), "x")])
+    assert _dup_ids(t) == [("b",)]
+    assert _dup_ids(t, "symmetric") == [("b",)]
+
+
+def test_duplicate_across_bucket_boundary_and_other_keys(spark):
+    # 29 days apart but straddling a 30-day bucket edge; other candidate ignored
+    apps = [("a", "c", "r", ts(-15), "x"), ("b", "c", "r", ts(14), "x"), ("z", "other", "r", ts(0), "x")]
+    t = make_tables(spark, apps)
+    assert _dup_ids(t) == [("b",)]
+
+
+def test_duplicate_pairs_match_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    apps = [(f"{i:04d}", f"c{rnd.randrange(4)}", f"r{rnd.randrange(2)}", ts(rnd.uniform(0, 200)), "x") for i in range(120)]
+    t = make_tables(spark, apps)
+    for mode in ("reference", "symmetric"):
+        expected = []
+        for a1 in apps:
+            for a2 in apps:
+                if a1[1] != a2[1] or a1[2] != a2[2] or a1[0] == a2[0]:
+                    continue
+                later = a1[0] > a2[0] if mode == "reference" else (a1[3], a1[0]) > (a2[3], a2[0])
+                if later and a2[3] <= a1[3] <= a2[3] + timedelta(days=30):
+                    expected.append((a1[0],))
+        assert _dup_ids(t, mode) == sorted(expected)
+
+
+def test_missing_recruiter(spark):
+    t = make_tables(spark, [("a1", "c", "r", ts(0), None), ("a2", "c", "r2", ts(0), "x")])
+    got = rows(R.rule_missing_recruiter(t.applications), "exception_type", "severity", "application_id")
+    assert got == [("MISSING_RECRUITER", "LOW", "a1")]
+
+
+def _lifecycle_case(spark):
+    apps = [(f"a{i}", "c", f"r{i}", ts(0), "x") for i in range(1, 9)]
+    ev = [
+        # a1: screen == onsite -> no order row, duration 0
+        ("1a", "a1", "SCREEN", ts(1)), ("1b", "a1", "ONSITE", ts(1)),
+        # a2: reversed chain screen > onsite > offer -> two order rows, one negative row
+        ("2a", "a2", "SCREEN", ts(9)), ("2b", "a2", "ONSITE", ts(5)), ("2c", "a2", "OFFER", ts(2)),
+        # a3: applied after hired only -> no negative-duration row
+        ("3a", "a3", "APPLIED", ts(10)), ("3b", "a3", "HIRED", ts(1)),
+        # a4..a6: terminal pairs, a7 all three
+        ("4a", "a4", "HIRED", ts(1)), ("4b", "a4", "REJECTED", ts(2)),
+        ("5a", "a5", "REJECTED", ts(1)), ("5b", "a5", "WITHDRAWN", ts(2)),
+        ("6a", "a6", "HIRED", ts(1)), ("6b", "a6", "WITHDRAWN", ts(2)),
+        ("7a", "a7", "HIRED", ts(1)), ("7b", "a7", "REJECTED", ts(2)), ("7c", "a7", "WITHDRAWN", ts(3)),
+        # a8: onsite after screen, offer later: fine
+        ("8a", "a8", "SCREEN", ts(1)), ("8b", "a8", "ONSITE", ts(2)), ("8c", "a8", "OFFER", ts(3)),
+    ]
+    offers = [
+        ("o1", "a8", ts(1)),  # before onsite
+        ("o2", "a8", ts(1, hours=1)),  # second one before onsite -> two rows
+        ("o3", "a4", ts(1)),  # no onsite at all
+        ("o4", "a2", ts(6)),  # after onsite: fine
+    ]
+    return make_tables(spark, apps, ev, offers)
+
+
+def test_lifecycle_rules(spark):
+    t = _lifecycle_case(spark)
+    life = _life(t)
+    assert rows(R.rule_order_screen_onsite(life), "application_id") == [("a2",)]
+    assert rows(R.rule_order_onsite_offer(life), "application_id") == [("a2",)]
+    assert rows(R.rule_negative_duration(life), "application_id") == [("a2",)]
+    assert rows(R.rule_multiple_terminal(life), "application_id") == [("a4",), ("a5",), ("a6",), ("a7",)]
+    assert rows(R.rule_offer_before_onsite(life, t.offers), "application_id") == [("a8",), ("a8",)]
+    assert rows(R.rule_offer_without_onsite(life, t.offers), "application_id") == [("a4",)]
+
+
+def test_single_pass_log_equals_rule_by_rule(spark):
+    t = _lifecycle_case(spark)
+    life = _life(t)
+    single = R.data_exceptions(t.stage_events_raw, t.applications, life, t.offers).drop("detected_ts")
+    per_rule = R.data_exceptions_per_rule(t.stage_events_raw, t.applications, life, t.offers)
+    assert rows(single) == rows(per_rule)
+    assert single.where(F.col("event_id").isNotNull()).count() == 0
+
+
+def test_exception_log_schema_and_detected_ts(spark):
+    t = _lifecycle_case(spark)
+    log = R.data_exceptions(t.stage_events_raw, t.applications, _life(t), t.offers, detected_ts=F.lit("2024-01-01").cast("timestamp"))
+    assert log.columns == ["exception_type", "severity", "application_id", "event_id", "details", "detected_ts"]
+    assert log.select("detected_ts").distinct().count() == 1
+    assert dict(log.dtypes)["detected_ts"] == "timestamp"
+
+
+def test_exception_rate_counts_distinct_existing_applications(spark):
+    t = make_tables(
+        spark,
+        [("a1", "c", "r", ts(0), None), ("a2", "c", "r", ts(0), "x"), ("a3", "c", "r2", ts(0), "x"), ("a4", "c", "r3", ts(0), "x")],
+        [("e1", "ghost", "APPLIED", ts(0))],
+    )
+    exc = R.data_exceptions(t.stage_events_raw, t.applications, _life(t), t.offers)
+    # a1 missing recruiter, a2 duplicate of a1 (same candidate/req, larger id), ghost orphan
+    r = R.exception_rate(exc, t.applications).first()
+    assert (r["total_applications"], r["excepted_applications"]) == (4, 2)
+    assert r["exception_rate"] == 0.5
+    r2 = R.exception_rate(exc, t.applications, include_orphans=True).first()
+    assert r2["excepted_applications"] == 3
