@@ -1,0 +1,5 @@
+"""Structured Streaming entry points."""
+
+from hirelens.streaming.refresh import orphan_events_stream, refresh_marts_on_new_events
+
+__all__ = ["orphan_events_stream", "refresh_marts_on_new_events"]

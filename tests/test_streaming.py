@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import os
+
+from conftest import frame, make_tables, ts
+
+from hirelens.model import HiringTables
+from hirelens.plans import marts as M
+from hirelens.schemas import table_schema
+from hirelens.streaming import orphan_events_stream, refresh_marts_on_new_events
+
+
+def test_refresh_rebuilds_marts_when_files_arrive(spark, scratch_dir):
+    events_dir = os.path.join(scratch_dir, "events")
+    base = make_tables(spark, [("a1", "c", "r", ts(0), "x"), ("a2", "c", "r2", ts(0), "x")])
+    frame(spark, "stage_events_raw", [("e1", "a1", "APPLIED", ts(0), "System")]).write.parquet(events_dir + "/batch=1")
+
+    def load() -> HiringTables:
+        ev = spark.read.schema(table_schema("stage_events_raw")).parquet(events_dir)
+        return HiringTables(base.candidates, base.requisitions, base.applications, ev, base.offers, base.hires)
+
+    out = os.path.join(scratch_dir, "marts")
+    cp = os.path.join(scratch_dir, "cp")
+    q = refresh_marts_on_new_events(spark, events_dir, load, out, cp)
+    q.awaitTermination(120)
+    life = M.read_mart(spark, out + "/" + M.MART_LIFECYCLE)
+    assert life.where("applied_ts IS NOT NULL").count() == 1
+
+    frame(spark, "stage_events_raw", [("e2", "a2", "APPLIED", ts(1), "System")]).write.parquet(events_dir + "/batch=2")
+    q = refresh_marts_on_new_events(spark, events_dir, load, out, cp)
+    q.awaitTermination(120)
+    life = M.read_mart(spark, out + "/" + M.MART_LIFECYCLE)
+    assert life.where("applied_ts IS NOT NULL").count() == 2
+
+
+def test_orphan_events_stream(spark, scratch_dir):
+    events_dir = os.path.join(scratch_dir, "raw")
+    frame(spark, "stage_events_raw", [("e1", "a1", "APPLIED", ts(0), "System"), ("e2", "zz", "APPLIED", ts(0), "System")]).write.parquet(events_dir)
+    apps = make_tables(spark, [("a1", "c", "r", ts(0), "x")]).applications
+    stream = spark.readStream.schema(table_schema("stage_events_raw")).parquet(events_dir)
+    q = orphan_events_stream(stream, apps).writeStream.format("memory").queryName("orphans_out").outputMode("append").start()
+    q.processAllAvailable()
+    got = [tuple(r) for r in spark.sql("SELECT application_id, event_id FROM orphans_out").collect()]
+    q.stop()
+    assert got == [("zz", "e2")]
