@@ -69,13 +69,16 @@ def percentile_cont(
     direct_max_rows: int = DEFAULT_DIRECT_MAX_ROWS,
     buckets: int = DEFAULT_BUCKETS,
     max_rounds: int = 200,
+    input_materialized: bool = False,
 ) -> DataFrame:
     """``keys`` + ``alias`` (the exact p-th percentile of ``value``) +
     ``extra_aggs`` evaluated in the same per-group aggregate.
 
     Nulls are ignored; a group with no non-null value gets a null
-    percentile. ``df`` is materialised once (written to the shared
-    directory and read back) so later passes do not recompute its lineage.
+    percentile. ``df`` is read more than once, so unless
+    ``input_materialized`` says it already is a scan of written files it is
+    materialised first (written to the shared directory and read back) and
+    later passes do not recompute its lineage.
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
@@ -84,7 +87,7 @@ def percentile_cont(
     alias = alias or f"p{int(round(p * 100))}_{value}"
     keys = list(keys)
 
-    base = materialize(df, "percentile_input")
+    base = df if input_materialized else materialize(df, "percentile_input")
     vals = base.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
     stats = base.groupBy(*keys).agg(
@@ -142,13 +145,24 @@ def percentile_cont(
             raise RuntimeError("percentile refinement did not converge")
 
     resolved = state.where(F.col("_L") == F.col("_U")).select(*keys, "_k", F.col("_L").alias("_val"))
-    pending = state.where(F.col("_L") < F.col("_U"))
-    rows = _rows_in_interval(vals, pending, keys)
-    rank_w = Window.partitionBy(*keys, "_k").orderBy("_v")
+    # Targets of one group either share an interval (always, unless
+    # refinement sent them to different buckets) or have disjoint ones, so
+    # each value row falls in at most one pending interval: rank it once.
+    pending = (
+        state.where(F.col("_L") < F.col("_U"))
+        .groupBy(*keys, "_L", "_U", "_below")
+        .agg(F.min("_k").alias("_ka"), F.max("_k").alias("_kb"))
+    )
+    st = broadcast_if_small(_renamed(pending, keys), STATE_BROADCAST_MAX_ROWS)
+    rows = vals.select(*keys, "_v").join(
+        st, _match(keys) & (F.col("_v") >= F.col("_L")) & (F.col("_v") <= F.col("_U")), "inner"
+    )
+    rank_w = Window.partitionBy(*keys, "_L").orderBy("_v")
+    rank = F.row_number().over(rank_w) - 1 + F.col("_below")
     picked = (
-        rows.withColumn("_rn", F.row_number().over(rank_w))
-        .where(F.col("_rn") == F.col("_k") - F.col("_below") + 1)
-        .select(*keys, "_k", F.col("_v").alias("_val"))
+        rows.select(*keys, "_v", "_ka", "_kb", rank.alias("_r"))
+        .where((F.col("_r") == F.col("_ka")) | (F.col("_r") == F.col("_kb")))
+        .select(*keys, F.col("_r").alias("_k"), F.col("_v").alias("_val"))
     )
     values = resolved.unionByName(picked)
 

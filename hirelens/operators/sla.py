@@ -99,13 +99,23 @@ def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def sla_compliance(breaches: DataFrame, percentile: float = SLA_PERCENTILE) -> DataFrame:
+def sla_compliance(
+    breaches: DataFrame, percentile: float = SLA_PERCENTILE, breaches_materialized: bool = False
+) -> DataFrame:
     """Cases, breaches, compliance rate, mean and exact interpolated P90
-    duration per recruiter, org and transition."""
+    duration per recruiter, org and transition. Pass
+    ``breaches_materialized=True`` when ``breaches`` is a scan of a written
+    table (e.g. the breaches mart) so it is not written again."""
     keys = list(COMPLIANCE_KEYS)
     narrow = breaches.select(*keys, "duration_days", "is_breach")
     summary = percentile_cont(
-        narrow, keys, "duration_days", percentile, alias="p90_duration_days", extra_aggs=_summary_aggs()
+        narrow,
+        keys,
+        "duration_days",
+        percentile,
+        alias="p90_duration_days",
+        extra_aggs=_summary_aggs(),
+        input_materialized=breaches_materialized,
     )
     return _finish(summary, keys)
 

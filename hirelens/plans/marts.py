@@ -109,6 +109,6 @@ def build_marts(
     write_table(breaches.select(*BREACH_MART_COLUMNS), paths.sla_breaches, fmt, MART_SORT[MART_SLA_BREACHES])
     breach_mart = read_mart(spark, paths.sla_breaches, fmt)
 
-    summary = sla_compliance(breach_mart)
+    summary = sla_compliance(breach_mart, breaches_materialized=True)
     write_table(summary.select(*COMPLIANCE_MART_COLUMNS), paths.sla_compliance, fmt, MART_SORT[MART_SLA_COMPLIANCE])
     return paths
