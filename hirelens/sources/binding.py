@@ -40,6 +40,12 @@ def _case(col, mapping: dict[str, str]):
     return expr
 
 
+def _yyyymmdd(ts):
+    """Calendar date digits of a zone-less timestamp, without passing
+    through the session time zone."""
+    return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("string")
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -49,8 +55,12 @@ def spread_if_undersplit(df: DataFrame) -> DataFrame:
     fewer input splits than cores (e.g. one large row group). Large inputs
     are split by the scan already and pass through untouched, so this
     never adds a shuffle at scale; round-robin keeps it skew-free."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
@@ -110,7 +120,7 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
             F.col("l_linenumber").cast("string"),
             F.col("l_partkey").cast("string"),
             F.col("l_suppkey").cast("string"),
-            F.date_format(F.col("l_shipdate"), "yyyyMMdd"),
+            _yyyymmdd(F.col("l_shipdate")),
         ).alias("event_id"),
         F.col("l_orderkey").alias("application_id"),
         F.element_at(stage_names, F.col("l_linenumber")).alias("stage"),
