@@ -82,11 +82,17 @@ def build_marts(
     detected_ts: Column | None = None,
     duplicate_mode: str = "reference",
     fmt: str = "parquet",
+    enforce: bool = False,
 ) -> MartPaths:
     """Write the four marts under ``out_dir`` (overwriting) and return
-    their paths. Run ``enforce_constraints`` first when the load must be
-    all-or-nothing."""
+    their paths. With ``enforce`` every declared constraint is audited
+    first and a violation raises before anything is written (the
+    all-or-nothing load contract)."""
     t = tables.with_promoted_events()
+    if enforce:
+        from hirelens.operators.constraints import enforce_constraints
+
+        enforce_constraints(t.as_dict())
     spark = t.applications.sparkSession
     base = out_dir.rstrip("/")
     paths = MartPaths(

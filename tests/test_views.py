@@ -1,0 +1,36 @@
+from __future__ import annotations
+
+import pytest
+from conftest import make_tables, ts
+
+from hirelens.operators.constraints import ConstraintViolation
+from hirelens.plans import marts as M
+from hirelens.plans.views import register_mart_views, register_reporting_views
+
+
+def _tables(spark):
+    apps = [("a1", "c", "r1", ts(0), "rec"), ("a2", "c", "r2", ts(0), None)]
+    ev = [("1", "a1", "APPLIED", ts(0)), ("2", "a1", "SCREEN", ts(4)), ("3", "a2", "APPLIED", ts(0)), ("4", "zz", "APPLIED", ts(0))]
+    return make_tables(spark, apps, ev)
+
+
+def test_reporting_sql_runs_against_named_views(spark):
+    names = register_reporting_views(_tables(spark))
+    assert "v_application_lifecycle" in names and "v_sla_compliance_summary" in names
+    got = spark.sql(
+        "SELECT recruiter_id, org, transition_name, total_cases, breaches FROM v_sla_compliance_summary"
+    ).collect()
+    assert [tuple(r) for r in got] == [("rec", "Engineering", "APPLIED_TO_SCREEN", 1, 1)]
+    n = spark.sql("SELECT count(*) FROM v_data_exceptions WHERE exception_type = 'ORPHAN_STAGE_EVENT'").first()[0]
+    assert n == 1
+    assert spark.sql("SELECT count(*) FROM stage_events").first()[0] == 3
+
+
+def test_mart_views_and_enforce(spark, scratch_dir):
+    t = _tables(spark)
+    paths = M.build_marts(t, scratch_dir + "/m")
+    register_mart_views(spark, paths)
+    assert spark.sql("SELECT count(*) FROM mart_application_lifecycle").first()[0] == 2
+    dirty = make_tables(spark, [("a1", "c", "r", ts(0), "x")], [("1", "a1", "BOGUS", ts(0))])
+    with pytest.raises(ConstraintViolation):
+        M.build_marts(dirty, scratch_dir + "/m2", enforce=True)
