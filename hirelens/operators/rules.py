@@ -275,6 +275,47 @@ def rule_offer_without_onsite(life: DataFrame, offers: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- exception log
 
 
+def lifecycle_and_offer_rules(life: DataFrame, offers: DataFrame, applications: DataFrame) -> DataFrame:
+    """The four lifecycle rules and the two offer rules from ONE read of the
+    lifecycle table.
+
+    Offers are unioned with one marker row per application and joined to
+    the lifecycle once on ``application_id``. Lifecycle checks fire on the
+    marker row (so once per application), offer checks on the offer rows
+    (so once per offer). Reading the lifecycle twice, once per rule family,
+    would compute it twice: the two branches prune different columns, so
+    Spark cannot reuse one for the other.
+    """
+    marks = applications.select("application_id", F.lit(None).cast("timestamp_ntz").alias("_offer_ts"), F.lit(False).alias("_is_offer"))
+    offer_rows = offers.select("application_id", F.col("offer_ts").cast("timestamp_ntz").alias("_offer_ts"), F.lit(True).alias("_is_offer"))
+    cols = ["application_id", "screen_ts", "onsite_ts", "offer_ts", "hired_ts", "rejected_ts", "withdrawn_ts",
+            "days_applied_to_screen", "days_screen_to_onsite", "days_onsite_to_offer", "days_offer_to_decision"]
+    joined = life.select(*cols).join(marks.unionByName(offer_rows), "application_id", "inner")
+
+    def hit(cond: Column, kind: tuple[str, str], text: str) -> Column:
+        return F.when(
+            cond,
+            F.struct(
+                F.lit(kind[0]).alias("exception_type"),
+                F.lit(kind[1]).alias("severity"),
+                F.lit(text).alias("details"),
+            ),
+        )
+
+    is_mark, is_offer = ~F.col("_is_offer"), F.col("_is_offer")
+    hits = [hit(is_mark & cond, kind, text) for cond, kind, text in _lifecycle_checks()]
+    hits.append(hit(is_offer & F.col("onsite_ts").isNull(), EXC_OFFER_WITHOUT_ONSITE, EXCEPTION_DETAILS["OFFER_WITHOUT_ONSITE"]))
+    hits.append(hit(is_offer & (F.col("_offer_ts") < F.col("onsite_ts")), EXC_OFFER_BEFORE_ONSITE, EXCEPTION_DETAILS["OFFER_BEFORE_ONSITE"]))
+    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    return joined.select("application_id", F.explode(found).alias("_x")).select(
+        F.col("_x.exception_type").alias("exception_type"),
+        F.col("_x.severity").alias("severity"),
+        "application_id",
+        _no_event(),
+        F.col("_x.details").alias("details"),
+    )
+
+
 def data_exceptions(
     stage_events_raw: DataFrame,
     applications: DataFrame,
@@ -286,14 +327,14 @@ def data_exceptions(
 ) -> DataFrame:
     """The full exception log: bag union of every rule plus the evaluation
     time. ``detected_ts`` defaults to the query's current timestamp; pass
-    a literal to make the output reproducible."""
+    a literal to make the output reproducible. The lifecycle is read once
+    (``lifecycle_and_offer_rules``)."""
     ts = detected_ts if detected_ts is not None else F.current_timestamp()
     parts = [
         rule_orphan_event(stage_events_raw, applications),
         rule_duplicate_application(applications, duplicate_days, duplicate_mode),
         rule_missing_recruiter(applications),
-        lifecycle_rules(life),
-        offer_rules(life, offers),
+        lifecycle_and_offer_rules(life, offers, applications),
     ]
     out = parts[0]
     for p in parts[1:]:
