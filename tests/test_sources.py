@@ -70,3 +70,16 @@ def test_read_hiring_tables_from_directory(spark, scratch_dir):
     t = read_hiring_tables(spark, scratch_dir).with_promoted_events()
     assert t.stage_events.count() == 1
     assert t.offers.count() == 0
+
+
+def test_run_marts_from_csv_exports(spark, scratch_dir):
+    from hirelens.plans import marts as M
+    from hirelens.plans.run_marts import run
+
+    test_read_hiring_tables_from_directory(spark, scratch_dir)  # writes the six CSV files
+    paths = run(spark, scratch_dir, scratch_dir + "/out", fmt="csv")
+    life = M.read_mart(spark, paths.lifecycle)
+    assert life.count() == 2
+    exc = M.read_mart(spark, paths.exceptions)
+    assert exc.where("exception_type = 'ORPHAN_STAGE_EVENT'").count() == 1
+    assert exc.where("exception_type = 'DUPLICATE_APPLICATION'").count() == 1
