@@ -122,9 +122,17 @@ def percentile_cont(
             if active.limit(1).count() == 0:
                 break
             rows = _rows_in_interval(vals, active, keys)
+            # Halving keeps the width finite for any finite bounds; if it
+            # underflows (adjacent subnormal bounds) the maximum still gets
+            # its own bucket, so the mapping stays monotone and every round
+            # shrinks the interval.
             half_l = F.col("_L") / 2
-            frac = (F.col("_v") / 2 - half_l) / (F.col("_U") / 2 - half_l)
-            bucket = F.least(F.floor(frac * buckets), F.lit(buckets - 1)).cast("int")
+            frac = F.try_divide(F.col("_v") / 2 - half_l, F.col("_U") / 2 - half_l)
+            bucket = (
+                F.when(F.col("_v") >= F.col("_U"), F.lit(buckets - 1))
+                .otherwise(F.least(F.floor(F.coalesce(frac, F.lit(0.0)) * buckets), F.lit(buckets - 1)))
+                .cast("int")
+            )
             hist = rows.groupBy(*keys, "_k", "_below", bucket.alias("_b")).agg(
                 F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
             )
