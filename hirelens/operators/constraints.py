@@ -68,33 +68,27 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _duplicate_keys(df: DataFrame, table: str, kind: str, cols: tuple[str, ...], nulls_violate: bool) -> DataFrame:
+    """Keys occurring more than once, from ONE partial aggregate.
+
+    With ``nulls_violate`` (primary keys) the null key is its own group of
+    the same aggregate and is reported as a NOT_NULL violation with its row
+    count; otherwise rows with a null part are dropped first (SQL UNIQUE lets
+    them coexist)."""
     present = F.lit(True)
     for c in cols:
         present = present & F.col(c).isNotNull()
+    src = df if nulls_violate else df.where(present)
+    grouped = src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    is_null_key = ~present
+    found = grouped.where(is_null_key | (F.col("n") > 1)) if nulls_violate else grouped.where(F.col("n") > 1)
     key = F.concat_ws("|", *[_as_text(F.col(c)) for c in cols])
-    grouped = df.where(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    dups = grouped.select(
+    return found.select(
         F.lit(table).alias("table_name"),
-        F.lit(kind).alias("constraint_type"),
+        F.when(is_null_key, F.lit("NOT_NULL")).otherwise(F.lit(kind)).alias("constraint_type"),
         F.lit(",".join(cols)).alias("column_names"),
-        key.alias("key_value"),
+        F.when(is_null_key, F.lit(None).cast("string")).otherwise(key).alias("key_value"),
         F.col("n").cast("long").alias("violation_count"),
     )
-    if not nulls_violate:
-        return dups
-    nulls = (
-        df.where(~present)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 0)
-        .select(
-            F.lit(table).alias("table_name"),
-            F.lit("NOT_NULL").alias("constraint_type"),
-            F.lit(",".join(cols)).alias("column_names"),
-            F.lit(None).cast("string").alias("key_value"),
-            F.col("n").cast("long").alias("violation_count"),
-        )
-    )
-    return dups.unionByName(nulls)
 
 
 def audit_primary_key(tables: Mapping[str, DataFrame]) -> DataFrame:

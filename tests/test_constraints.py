@@ -57,3 +57,11 @@ def test_clean_tables_pass(spark):
     t = make_tables(spark, [("a1", "c1", "r1", ts(0), None)], [("e1", "a1", "APPLIED", ts(0))]).as_dict()
     assert C.audit_constraints(t).count() == 0
     C.enforce_constraints(t)
+
+
+def test_null_primary_key_counted_once(spark):
+    from conftest import frame
+
+    cands = frame(spark, "candidates", [(None, ts(0), "s", "l", 1, "e"), (None, ts(0), "s", "l", 1, "e"), ("c1", ts(0), "s", "l", 1, "e")])
+    got = rows(C.audit_primary_key({"candidates": cands}), "constraint_type", "key_value", "violation_count")
+    assert got == [("NOT_NULL", None, 2)]
