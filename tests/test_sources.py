@@ -63,13 +63,19 @@ def test_read_hiring_tables_from_directory(spark, scratch_dir):
         "e1,a1b2c3d4-0000-0000-0000-000000000001,APPLIED,2023-02-27 00:00:00,System\n"
         "e2,zzz,APPLIED,2023-02-27 00:00:00,System\n",
         "offers": "offer_id,application_id,offer_ts,decision,comp_band\n",
-        "hires": "hire_id,application_id,hired_ts,start_date\n",
+        "hires": "hire_id,application_id,hired_ts,start_date\n"
+        "h1,a1b2c3d4-0000-0000-0000-000000000001,2023-06-22 16:20:50.440008,2023-07-09\n",
     }
     for name, text in files.items():
         _write(os.path.join(scratch_dir, f"{name}.csv"), text)
     t = read_hiring_tables(spark, scratch_dir).with_promoted_events()
     assert t.stage_events.count() == 1
     assert t.offers.count() == 0
+    hire = t.hires.first()
+    assert hire["hired_ts"] == datetime(2023, 6, 22, 16, 20, 50, 440008)
+    assert str(hire["start_date"]) == "2023-07-09"
+    req = t.requisitions.first()
+    assert req["open_date"] == datetime(2023, 1, 1) and req["close_date"] is None
 
 
 def test_run_marts_from_csv_exports(spark, scratch_dir):
