@@ -55,7 +55,10 @@ def _packed_latest(ts: Column, rank: Column) -> Column:
 
 
 def _unpack_stage(packed: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.pmod(packed, F.lit(8)).cast("int"))
+    """Stage name of a packed key; null when there is no event (guarded
+    explicitly: ``element_at`` must never see a null position)."""
+    stage = F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.pmod(packed, F.lit(8)).cast("int"))
+    return F.when(packed.isNotNull(), stage)
 
 
 def _latest_aggs() -> list[Column]:
@@ -81,13 +84,16 @@ def latest_stage(stage_events: DataFrame) -> DataFrame:
     return _finish_latest(agg).select("application_id", "latest_stage", "latest_stage_ts")
 
 
+def _pivot_aggs() -> list[Column]:
+    return [
+        F.max(F.when(F.col("stage") == s, F.col("stage_ts"))).alias(STAGE_COLUMNS[s]) for s in STAGES
+    ] + _latest_aggs()
+
+
 def stage_pivot(stage_events: DataFrame) -> DataFrame:
     """One row per application with the latest time of each stage plus the
     latest stage overall, in a single aggregation."""
-    pivots = [
-        F.max(F.when(F.col("stage") == s, F.col("stage_ts"))).alias(STAGE_COLUMNS[s]) for s in STAGES
-    ]
-    return _finish_latest(stage_events.groupBy("application_id").agg(*pivots, *_latest_aggs()))
+    return _finish_latest(stage_events.groupBy("application_id").agg(*_pivot_aggs()))
 
 
 def terminal_stage(latest: Column | str = "latest_stage") -> Column:
@@ -160,7 +166,9 @@ def lifecycle(
     ``broadcast_max_rows > 0`` each dimension is also counted (bounded
     LIMIT scan) and hinted for broadcast when within the bound.
     """
-    pivot = stage_pivot(stage_events)
+    # Narrow inputs, then ONE projection for every derived column: each
+    # DataFrame step is analysed on the driver, so fewer steps plan faster.
+    pivot = stage_events.select("application_id", "stage", "stage_ts").groupBy("application_id").agg(*_pivot_aggs())
     reqs = broadcast_if_small(requisitions.select("req_id", "org", "job_family"), broadcast_max_rows)
     cands = broadcast_if_small(candidates.select("candidate_id", "source"), broadcast_max_rows)
     base = (
@@ -169,11 +177,9 @@ def lifecycle(
         .join(cands, "candidate_id", "left")
         .join(pivot, "application_id", "left")
     )
-    return (
-        base.withColumn("terminal_stage", terminal_stage())
-        .withColumns(duration_columns())
-        .select(*LIFECYCLE_COLUMNS)
-    )
+    latest = _unpack_stage(F.col("_latest"))
+    derived = {"latest_stage": latest, "terminal_stage": terminal_stage(latest), **duration_columns()}
+    return base.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in LIFECYCLE_COLUMNS])
 
 
 def stage_durations(life: DataFrame) -> DataFrame:

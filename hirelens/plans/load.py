@@ -35,12 +35,27 @@ def load_tables(tables: HiringTables, out_dir: str, enforce: bool = False, fmt:
         from hirelens.operators.constraints import enforce_constraints
 
         enforce_constraints(tables.as_dict())
-    frames = dict(tables.as_dict())
-    frames["stage_events"] = promote_events(tables.stage_events_raw, tables.applications)
+    frames = {
+        "candidates": tables.candidates,
+        "requisitions": tables.requisitions,
+        "applications": tables.applications,
+        "stage_events_raw": tables.stage_events_raw,
+        "offers": tables.offers,
+        "hires": tables.hires,
+    }
     spark = tables.applications.sparkSession
     base = out_dir.rstrip("/")
     sort = {"stage_events_raw": ("application_id",), "stage_events": ("application_id",)}
-    for name in LOAD_ORDER:
-        write_table(frames[name], f"{base}/{name}", fmt, sort.get(name, ()))
-    stored = {name: spark.read.format(fmt).load(f"{base}/{name}") for name in LOAD_ORDER}
+    stored = {}
+
+    def store(name, df):
+        write_table(df, f"{base}/{name}", fmt, sort.get(name, ()))
+        stored[name] = spark.read.schema(df.schema).format(fmt).load(f"{base}/{name}")
+
+    for name in ("candidates", "requisitions", "applications", "stage_events_raw"):
+        store(name, frames[name])
+    # Promotion reads the stored raw events and applications, not their lineage.
+    store("stage_events", promote_events(stored["stage_events_raw"], stored["applications"]))
+    for name in ("offers", "hires"):
+        store(name, frames[name])
     return HiringTables(**stored)

@@ -18,4 +18,5 @@ def materialize(df: DataFrame, kind: str) -> DataFrame:
     spark = df.sparkSession
     path = new_run_dir(spark, kind)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: passing it skips the footer-reading inference job.
+    return spark.read.schema(df.schema).parquet(path)

@@ -100,3 +100,9 @@ def test_latest_stage_with_long_ids(spark):
     t = make_tables(spark, [("1", "1", "1", ts(0), "1")], [("e1", "1", "APPLIED", ts(0))])
     ev = t.stage_events.withColumn("application_id", F.col("application_id").cast("long"))
     assert rows(latest_stage(ev), "application_id", "latest_stage") == [(1, "APPLIED")]
+
+
+def test_no_events_means_null_latest_stage(spark):
+    t = make_tables(spark, [("a1", "c", "r", ts(0), "x"), ("a2", "c", "r2", ts(0), "x")], [("e1", "a1", "WITHDRAWN", ts(1))])
+    got = rows(_life(t), "application_id", "latest_stage", "terminal_stage")
+    assert got == [("a1", "WITHDRAWN", "WITHDRAWN"), ("a2", None, None)]
