@@ -72,8 +72,16 @@ class MartPaths:
         }
 
 
-def read_mart(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_mart(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Read a written mart; with a known ``schema`` no inference job runs."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif fmt == "csv":
+        reader = reader.option("inferSchema", True)
+    return reader.load(path)
 
 
 def build_marts(
@@ -102,18 +110,18 @@ def build_marts(
         sla_compliance=f"{base}/{MART_SLA_COMPLIANCE}",
     )
 
-    life = lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions)
-    write_table(life.select(*LIFECYCLE_MART_COLUMNS), paths.lifecycle, fmt, MART_SORT[MART_LIFECYCLE])
-    life_mart = read_mart(spark, paths.lifecycle, fmt)
+    life = lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions).select(*LIFECYCLE_MART_COLUMNS)
+    write_table(life, paths.lifecycle, fmt, MART_SORT[MART_LIFECYCLE])
+    life_mart = read_mart(spark, paths.lifecycle, fmt, schema=life.schema)
 
     exc = data_exceptions(
         t.stage_events_raw, t.applications, life_mart, t.offers, detected_ts, duplicate_mode=duplicate_mode
     )
     write_table(exc.select(*EXCEPTION_MART_COLUMNS), paths.exceptions, fmt, MART_SORT[MART_EXCEPTIONS])
 
-    breaches = sla_breaches(sla_transitions(life_mart))
-    write_table(breaches.select(*BREACH_MART_COLUMNS), paths.sla_breaches, fmt, MART_SORT[MART_SLA_BREACHES])
-    breach_mart = read_mart(spark, paths.sla_breaches, fmt)
+    breaches = sla_breaches(sla_transitions(life_mart)).select(*BREACH_MART_COLUMNS)
+    write_table(breaches, paths.sla_breaches, fmt, MART_SORT[MART_SLA_BREACHES])
+    breach_mart = read_mart(spark, paths.sla_breaches, fmt, schema=breaches.schema)
 
     summary = sla_compliance(breach_mart, breaches_materialized=True)
     write_table(summary.select(*COMPLIANCE_MART_COLUMNS), paths.sla_compliance, fmt, MART_SORT[MART_SLA_COMPLIANCE])

@@ -31,3 +31,12 @@ def test_marts_equal_views(spark, scratch_dir):
     br = S.sla_breaches(S.sla_transitions(life))
     assert rows(M.read_mart(spark, paths.sla_breaches)) == rows(br.select(*M.BREACH_MART_COLUMNS))
     assert rows(M.read_mart(spark, paths.sla_compliance)) == rows(S.sla_compliance(br).select(*M.COMPLIANCE_MART_COLUMNS))
+
+
+def test_csv_marts(spark, scratch_dir):
+    apps = [("a1", "c", "r1", ts(0), "rec")]
+    ev = [("1", "a1", "APPLIED", ts(0)), ("2", "a1", "SCREEN", ts(4))]
+    t = make_tables(spark, apps, ev)
+    paths = M.build_marts(t, scratch_dir + "/csv_marts", fmt="csv")
+    summary = M.read_mart(spark, paths.sla_compliance, "csv").collect()
+    assert [(r["transition_name"], int(r["total_cases"]), int(r["breaches"])) for r in summary] == [("APPLIED_TO_SCREEN", 1, 1)]
