@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from hirelens.constants import SLA_PERCENTILE, SLA_TRANSITIONS
 from hirelens.functions.percentile import percentile_cont
 from hirelens.functions.ratio import safe_ratio
+from hirelens.plans.materialize import materialize
 from hirelens.operators.stages import decision_ts
 
 SLA_COLUMNS = (
@@ -123,19 +124,28 @@ def sla_compliance(
 LEVELS = ("TRANSITION", "ORG", "RECRUITER")
 
 
-def sla_compliance_rollup(breaches: DataFrame, percentile: float = SLA_PERCENTILE) -> DataFrame:
+def sla_compliance_rollup(
+    breaches: DataFrame, percentile: float = SLA_PERCENTILE, breaches_materialized: bool = False
+) -> DataFrame:
     """Compliance at three levels per transition: all recruiters and orgs,
     per org, per org and recruiter (the grouping sets (t), (t, org),
     (t, org, recruiter)). Percentiles are recomputed from the breach rows
-    at every level (they do not add up)."""
-    null_long = F.lit(None).cast(breaches.schema["recruiter_id"].dataType)
-    null_str = F.lit(None).cast(breaches.schema["org"].dataType)
+    at every level (they do not add up).
+
+    The narrow breach rows are materialised once (unless they already are
+    a written table) and expanded into the three levels lazily from there,
+    so only one copy of the rows is ever written."""
+    narrow = breaches.select("transition_name", "org", "recruiter_id", "duration_days", "is_breach")
+    if not breaches_materialized:
+        narrow = materialize(narrow, "rollup_input")
+    null_long = F.lit(None).cast(narrow.schema["recruiter_id"].dataType)
+    null_str = F.lit(None).cast(narrow.schema["org"].dataType)
     levels = F.array(
         F.struct(F.lit(LEVELS[0]).alias("lvl"), null_str.alias("o"), null_long.alias("r")),
         F.struct(F.lit(LEVELS[1]).alias("lvl"), F.col("org").alias("o"), null_long.alias("r")),
         F.struct(F.lit(LEVELS[2]).alias("lvl"), F.col("org").alias("o"), F.col("recruiter_id").alias("r")),
     )
-    expanded = breaches.select("transition_name", "duration_days", "is_breach", F.explode(levels).alias("_g")).select(
+    expanded = narrow.select("transition_name", "duration_days", "is_breach", F.explode(levels).alias("_g")).select(
         F.col("_g.lvl").alias("grouping_level"),
         "transition_name",
         F.col("_g.o").alias("org"),
@@ -145,6 +155,12 @@ def sla_compliance_rollup(breaches: DataFrame, percentile: float = SLA_PERCENTIL
     )
     keys = ["grouping_level", "transition_name", "org", "recruiter_id"]
     summary = percentile_cont(
-        expanded, keys, "duration_days", percentile, alias="p90_duration_days", extra_aggs=_summary_aggs()
+        expanded,
+        keys,
+        "duration_days",
+        percentile,
+        alias="p90_duration_days",
+        extra_aggs=_summary_aggs(),
+        input_materialized=True,
     )
     return _finish(summary, keys)
