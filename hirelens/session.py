@@ -58,6 +58,16 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def set_checkpoint_dir_if_unset(spark: SparkSession, path: str) -> str:
+    """Use ``path`` for checkpoints only when the session names no shared
+    checkpoint directory itself (tests, local benchmarks); a configured
+    ``spark.checkpoint.dir`` always wins."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return shared_dir(spark)
+    spark.sparkContext.setCheckpointDir(path)
+    return shared_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``DataFrame.checkpoint()`` usable; keeps a configured directory."""
     current = spark.sparkContext.getCheckpointDir()

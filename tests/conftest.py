@@ -13,7 +13,7 @@ if ROOT not in sys.path:
 
 from hirelens.model import HiringTables  # noqa: E402
 from hirelens.schemas import table_schema  # noqa: E402
-from hirelens.session import build_session  # noqa: E402
+from hirelens.session import build_session, set_checkpoint_dir_if_unset  # noqa: E402
 
 T0 = datetime(2023, 1, 2, 9, 0, 0)  # a Monday
 
@@ -30,11 +30,11 @@ def spark():
         4,
         app_name="hirelens-tests",
         extra={
-            "spark.checkpoint.dir": scratch + "/checkpoints",
             "spark.sql.warehouse.dir": scratch + "/warehouse",
             "spark.driver.memory": "4g",
         },
     )
+    set_checkpoint_dir_if_unset(session, scratch + "/checkpoints")
     yield session
     session.stop()
 
