@@ -69,7 +69,7 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
     nation = read_driver_table(spark, sf_dir, "nation")
     part = read_driver_table(spark, sf_dir, "part")
     orders = read_driver_table(spark, sf_dir, "orders")
-    lineitem = spread_if_undersplit(read_driver_table(spark, sf_dir, "lineitem"))
+    lineitem = read_driver_table(spark, sf_dir, "lineitem")
 
     candidates = customer.join(
         nation, customer.c_nationkey == nation.n_nationkey, "left"
@@ -103,41 +103,46 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
         .alias("recruiter_id"),
     )
 
-    hours = (
-        F.lit(96) * (F.least(F.col("l_linenumber"), F.lit(5)) - 1)
-        + F.col("l_quantity").cast("int")
-        - F.when(F.col("l_discount") >= F.lit(0.09), F.lit(240)).otherwise(F.lit(0))
-    ).cast("int")
-    stage_names = F.array(*[F.lit(s) for s in STAGES])
-    events_full = lineitem.join(
-        orders.select("o_orderkey", "o_orderdate"),
-        lineitem.l_orderkey == orders.o_orderkey,
-        "inner",
-    ).select(
-        F.concat_ws(
-            "-",
-            F.col("l_orderkey").cast("string"),
-            F.col("l_linenumber").cast("string"),
-            F.col("l_partkey").cast("string"),
-            F.col("l_suppkey").cast("string"),
-            _yyyymmdd(F.col("l_shipdate")),
-        ).alias("event_id"),
-        F.col("l_orderkey").alias("application_id"),
-        F.element_at(stage_names, F.col("l_linenumber")).alias("stage"),
-        F.timestamp_add("HOUR", hours, F.col("o_orderdate")).alias("stage_ts"),
-        _case(F.col("l_returnflag"), ACTOR_BY_FLAG).alias("actor_type"),
-        "l_suppkey",
-        "l_partkey",
-        "l_returnflag",
-    )
-    stage_events_raw = events_full.select(
+    orders_dates = orders.select("o_orderkey", "o_orderdate")
+
+    def events_of(lines: DataFrame) -> DataFrame:
+        """Stage events (plus the line attributes offers and hires need)."""
+        hours = (
+            F.lit(96) * (F.least(F.col("l_linenumber"), F.lit(5)) - 1)
+            + F.col("l_quantity").cast("int")
+            - F.when(F.col("l_discount") >= F.lit(0.09), F.lit(240)).otherwise(F.lit(0))
+        ).cast("int")
+        stage_names = F.array(*[F.lit(s) for s in STAGES])
+        return lines.join(orders_dates, lines.l_orderkey == orders_dates.o_orderkey, "inner").select(
+            F.concat_ws(
+                "-",
+                F.col("l_orderkey").cast("string"),
+                F.col("l_linenumber").cast("string"),
+                F.col("l_partkey").cast("string"),
+                F.col("l_suppkey").cast("string"),
+                _yyyymmdd(F.col("l_shipdate")),
+            ).alias("event_id"),
+            F.col("l_orderkey").alias("application_id"),
+            F.element_at(stage_names, F.col("l_linenumber")).alias("stage"),
+            F.timestamp_add("HOUR", hours, F.col("o_orderdate")).alias("stage_ts"),
+            _case(F.col("l_returnflag"), ACTOR_BY_FLAG).alias("actor_type"),
+            "l_suppkey",
+            "l_partkey",
+            "l_returnflag",
+        )
+
+    stage_events_raw = events_of(spread_if_undersplit(lineitem)).select(
         "event_id", "application_id", "stage", "stage_ts", "actor_type"
     )
 
-    existing = events_full.join(
-        applications.select("application_id"), "application_id", "left_semi"
+    # Offers and hires are the OFFER (line 4) and HIRED (line 5) lines only:
+    # filtering on the line number lets the predicate reach the scan.
+    app_ids = applications.select("application_id")
+    offer_lines = events_of(lineitem.where(F.col("l_linenumber") == STAGES.index("OFFER") + 1))
+    hire_lines = events_of(
+        lineitem.where((F.col("l_linenumber") == STAGES.index("HIRED") + 1) & (F.col("l_returnflag") == "A"))
     )
-    offers = existing.where(F.col("stage") == "OFFER").select(
+    offers = offer_lines.join(app_ids, "application_id", "left_semi").select(
         F.col("event_id").alias("offer_id"),
         "application_id",
         F.when(
@@ -151,7 +156,7 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
             "comp_band"
         ),
     )
-    hires = existing.where((F.col("stage") == "HIRED") & (F.col("l_returnflag") == "A")).select(
+    hires = hire_lines.join(app_ids, "application_id", "left_semi").select(
         F.col("event_id").alias("hire_id"),
         "application_id",
         F.col("stage_ts").alias("hired_ts"),
