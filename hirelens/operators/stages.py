@@ -57,7 +57,10 @@ def _packed_latest(ts: Column, rank: Column) -> Column:
 def _unpack_stage(packed: Column) -> Column:
     """Stage name of a packed key; null when there is no event (guarded
     explicitly: ``element_at`` must never see a null position)."""
-    stage = F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.pmod(packed, F.lit(8)).cast("int"))
+    # ``get`` is 0-based and yields null out of bounds, so rank 0 (a stage
+    # outside the domain, reported by the domain audit) gives null instead
+    # of an ANSI index error.
+    stage = F.get(F.array(*[F.lit(s) for s in STAGES]), F.pmod(packed, F.lit(8)).cast("int") - 1)
     return F.when(packed.isNotNull(), stage)
 
 

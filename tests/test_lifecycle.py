@@ -106,3 +106,11 @@ def test_no_events_means_null_latest_stage(spark):
     t = make_tables(spark, [("a1", "c", "r", ts(0), "x"), ("a2", "c", "r2", ts(0), "x")], [("e1", "a1", "WITHDRAWN", ts(1))])
     got = rows(_life(t), "application_id", "latest_stage", "terminal_stage")
     assert got == [("a1", "WITHDRAWN", "WITHDRAWN"), ("a2", None, None)]
+
+
+def test_unknown_stage_does_not_break_the_lifecycle(spark):
+    t = make_tables(spark, [("a1", "c", "r", ts(0), "x")], [("e1", "a1", "APPLIED", ts(0)), ("e2", "a1", "BOGUS", ts(5))])
+    row = _life(t).first()
+    assert row["applied_ts"] == ts(0)
+    assert row["latest_stage"] is None and row["latest_stage_ts"] == ts(5)
+    assert rows(latest_stage(t.stage_events), "application_id", "latest_stage") == [("a1", None)]
