@@ -96,7 +96,8 @@ def duplicate_pairs(
             & F.col("apply_ts").isNotNull()
         )
         .withColumn("_us", epoch_micros(F.col("apply_ts")))
-        .withColumn("_bucket", ((F.col("_us") - F.pmod(F.col("_us"), F.lit(width))) / F.lit(width)).cast("long"))
+        # floor(_us / width) in exact integer arithmetic (also for negative times)
+        .withColumn("_bucket", F.expr(f"(_us - pmod(_us, {width}L)) div {width}L"))
     )
     later = apps.select(
         F.col("application_id"),

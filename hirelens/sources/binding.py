@@ -123,7 +123,7 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
                 _yyyymmdd(F.col("l_shipdate")),
             ).alias("event_id"),
             F.col("l_orderkey").alias("application_id"),
-            F.element_at(stage_names, F.col("l_linenumber")).alias("stage"),
+            F.get(stage_names, F.col("l_linenumber") - 1).alias("stage"),
             F.timestamp_add("HOUR", hours, F.col("o_orderdate")).alias("stage_ts"),
             _case(F.col("l_returnflag"), ACTOR_BY_FLAG).alias("actor_type"),
             "l_suppkey",
@@ -152,7 +152,7 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
         .otherwise(F.col("stage_ts"))
         .alias("offer_ts"),
         _case(F.col("l_returnflag"), OFFER_DECISION).alias("decision"),
-        F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("l_partkey") % 3 + 1).cast("int")).alias(
+        F.get(F.array(F.lit("A"), F.lit("B"), F.lit("C")), F.pmod(F.col("l_partkey"), F.lit(3)).cast("int")).alias(
             "comp_band"
         ),
     )
