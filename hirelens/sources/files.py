@@ -31,14 +31,18 @@ def read_csv_table(spark: SparkSession, path: str, name: str, id_type: str = "st
 
     ``FAILFAST`` makes a malformed value (e.g. an unparsable timestamp) fail
     the read instead of silently becoming null, and ``enforceSchema=False``
-    checks the header against the declared column names. Empty fields are
-    nulls; date-only text is accepted for timestamp columns.
+    checks the header against the declared column names. As in a database
+    CSV load, an unquoted empty field is null while a quoted empty string
+    ``""`` stays an empty string (the null marker is set to a character that
+    never occurs in text, so only truly empty fields map to null). Date-only
+    text is accepted for timestamp columns.
     """
     df = (
         spark.read.schema(table_schema(name, id_type))
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
+        .option("nullValue", "\u0000")
         .csv(path)
     )
     return _normalise_ids(df, name)

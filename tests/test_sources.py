@@ -89,3 +89,10 @@ def test_run_marts_from_csv_exports(spark, scratch_dir):
     exc = M.read_mart(spark, paths.exceptions)
     assert exc.where("exception_type = 'ORPHAN_STAGE_EVENT'").count() == 1
     assert exc.where("exception_type = 'DUPLICATE_APPLICATION'").count() == 1
+
+
+def test_csv_quoted_empty_is_empty_string_unquoted_is_null(spark, scratch_dir):
+    text = "req_id,org,job_family,level,open_date,close_date\nr1,\"\",Data,IC1,2023-01-01,\nr2,,Data,IC1,2023-01-01,2023-02-01\n"
+    path = _write(os.path.join(scratch_dir, "requisitions.csv"), text)
+    got = sorted((r.req_id, r.org, r.close_date) for r in read_csv_table(spark, path, "requisitions").collect())
+    assert got == [("r1", "", None), ("r2", None, datetime(2023, 2, 1))]
