@@ -151,8 +151,8 @@ LIFECYCLE_COLUMNS = (
 def lifecycle(
     applications: DataFrame,
     stage_events: DataFrame,
-    candidates: DataFrame,
-    requisitions: DataFrame,
+    candidates: DataFrame | None,
+    requisitions: DataFrame | None,
     broadcast_max_rows: int = 0,
 ) -> DataFrame:
     """One row per application: dimensions, seven stage times, latest and
@@ -168,21 +168,33 @@ def lifecycle(
     ``spark.sql.adaptive.autoBroadcastJoinThreshold``. With
     ``broadcast_max_rows > 0`` each dimension is also counted (bounded
     LIMIT scan) and hinted for broadcast when within the bound.
+
+    Pass ``None`` for a dimension a consumer does not need (the exception
+    rules need neither; the SLA chain needs only the requisition's org): its
+    join and columns are left out, which at scale saves a shuffle of the
+    application table by candidate.
     """
     # Narrow inputs, then ONE projection for every derived column: each
     # DataFrame step is analysed on the driver, so fewer steps plan faster.
     pivot = stage_events.select("application_id", "stage", "stage_ts").groupBy("application_id").agg(*_pivot_aggs())
-    reqs = broadcast_if_small(requisitions.select("req_id", "org", "job_family"), broadcast_max_rows)
-    cands = broadcast_if_small(candidates.select("candidate_id", "source"), broadcast_max_rows)
-    base = (
-        applications.select("application_id", "candidate_id", "req_id", "recruiter_id")
-        .join(reqs, "req_id", "left")
-        .join(cands, "candidate_id", "left")
-        .join(pivot, "application_id", "left")
-    )
+    base = applications.select("application_id", "candidate_id", "req_id", "recruiter_id")
+    skipped: set[str] = set()
+    if requisitions is not None:
+        reqs = broadcast_if_small(requisitions.select("req_id", "org", "job_family"), broadcast_max_rows)
+        base = base.join(reqs, "req_id", "left")
+    else:
+        skipped |= {"org", "job_family"}
+    if candidates is not None:
+        cands = broadcast_if_small(candidates.select("candidate_id", "source"), broadcast_max_rows)
+        base = base.join(cands, "candidate_id", "left")
+    else:
+        skipped.add("source")
+    base = base.join(pivot, "application_id", "left")
     latest = _unpack_stage(F.col("_latest"))
     derived = {"latest_stage": latest, "terminal_stage": terminal_stage(latest), **duration_columns()}
-    return base.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in LIFECYCLE_COLUMNS])
+    return base.select(
+        *[derived[c].alias(c) if c in derived else F.col(c) for c in LIFECYCLE_COLUMNS if c not in skipped]
+    )
 
 
 def stage_durations(life: DataFrame) -> DataFrame:

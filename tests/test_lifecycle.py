@@ -114,3 +114,14 @@ def test_unknown_stage_does_not_break_the_lifecycle(spark):
     assert row["applied_ts"] == ts(0)
     assert row["latest_stage"] is None and row["latest_stage_ts"] == ts(5)
     assert rows(latest_stage(t.stage_events), "application_id", "latest_stage") == [("a1", None)]
+
+
+def test_lifecycle_without_dimensions_keeps_stage_columns(spark):
+    t = make_tables(spark, [("a1", "c", "r", ts(0), "x")], [("e1", "a1", "APPLIED", ts(0)), ("e2", "a1", "SCREEN", ts(2))])
+    lean = lifecycle(t.applications, t.stage_events, None, None)
+    assert not {"source", "org", "job_family"} & set(lean.columns)
+    full = _life(t)
+    cols = [c for c in full.columns if c in lean.columns]
+    assert rows(lean, *cols) == rows(full, *cols)
+    plan = lean._jdf.queryExecution().executedPlan().toString()
+    assert "candidate_id#" not in plan.split("Exchange hashpartitioning(")[-1].split(",")[0]
