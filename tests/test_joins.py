@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import json
+
+from conftest import make_tables, ts
+
+from hirelens.functions.joins import broadcast_if_small, has_at_most
+from hirelens.operators.stages import lifecycle
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_size_check_bounds(spark):
+    df = spark.range(5)
+    assert has_at_most(df, 5) and not has_at_most(df, 4)
+    assert "broadcast" in _plan(broadcast_if_small(df, 5).join(spark.range(3), "id")).lower()
+    assert "broadcast" not in _plan(broadcast_if_small(df, 4).join(spark.range(3), "id")).lower()
+
+
+def test_lifecycle_hints_broadcast_only_within_the_bound(spark):
+    apps = [(f"a{i}", f"c{i}", f"r{i}", ts(0), "x") for i in range(4)]
+    t = make_tables(spark, apps, [("e1", "a1", "APPLIED", ts(0))])
+    small = lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions, broadcast_max_rows=10)
+    big = lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions, broadcast_max_rows=2)
+    assert _plan(small).lower().count("broadcast") == 2
+    assert "broadcast" not in _plan(big).lower()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+
+
+def test_cli_main(spark, scratch_dir, capsys):
+    from test_sources import test_read_hiring_tables_from_directory
+
+    from hirelens.plans.run_marts import main
+
+    test_read_hiring_tables_from_directory(spark, scratch_dir)
+    main(["--input", scratch_dir, "--out", scratch_dir + "/cli_out", "--format", "csv"])
+    paths = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(paths) == {
+        "mart_application_lifecycle",
+        "mart_data_exceptions",
+        "mart_sla_breaches",
+        "mart_sla_compliance_summary",
+    }
