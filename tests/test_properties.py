@@ -68,3 +68,40 @@ def test_percentile_matches_numpy(spark, data, p, direct_max_rows):
     for key in {k for k, _ in data}:
         vals = [v for k, v in data if k == key]
         assert got[key] == pytest.approx(float(np.percentile(vals, p * 100)), rel=1e-9, abs=1e-9)
+
+
+STAGES = ["APPLIED", "SCREEN", "ONSITE", "OFFER", "HIRED", "REJECTED", "WITHDRAWN"]
+events_strategy = st.lists(
+    st.tuples(st.integers(0, 3), st.sampled_from(STAGES), st.integers(0, 6)),
+    min_size=0,
+    max_size=30,
+)
+
+
+@SETTINGS
+@given(events_strategy)
+def test_lifecycle_and_exception_log_match_definition(spark, spec):
+    from hirelens.operators.stages import lifecycle
+
+    apps = [(f"a{i}", "c", f"r{i}", ts(0), "x") for i in range(4)]
+    events = [(f"e{j}", f"a{a}", s, ts(d)) for j, (a, s, d) in enumerate(spec)]
+    t = make_tables(spark, apps, events)
+    life = {r["application_id"]: r for r in lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions).collect()}
+    for i in range(4):
+        mine = [(s, when) for (_, a, s, when) in events if a == f"a{i}"]
+        row = life[f"a{i}"]
+        for s in STAGES:
+            times = [w for st_, w in mine if st_ == s]
+            assert row[f"{s.lower()}_ts"] == (max(times) if times else None)
+        expected_latest = max(mine, key=lambda e: (e[1], STAGES.index(e[0])))[0] if mine else None
+        assert row["latest_stage"] == expected_latest
+        first = {s: row[f"{s.lower()}_ts"] for s in STAGES}
+        decision = first["HIRED"] or first["REJECTED"] or first["WITHDRAWN"]
+        if first["OFFER"] and decision:
+            assert row["days_offer_to_decision"] == pytest.approx((decision - first["OFFER"]).total_seconds() / 86400)
+        else:
+            assert row["days_offer_to_decision"] is None
+    life_df = lifecycle(t.applications, t.stage_events, None, None)
+    single = R.data_exceptions(t.stage_events_raw, t.applications, life_df, t.offers).drop("detected_ts")
+    per_rule = R.data_exceptions_per_rule(t.stage_events_raw, t.applications, life_df, t.offers)
+    assert sorted(map(tuple, single.collect()), key=repr) == sorted(map(tuple, per_rule.collect()), key=repr)
