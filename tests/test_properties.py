@@ -105,3 +105,47 @@ def test_lifecycle_and_exception_log_match_definition(spark, spec):
     single = R.data_exceptions(t.stage_events_raw, t.applications, life_df, t.offers).drop("detected_ts")
     per_rule = R.data_exceptions_per_rule(t.stage_events_raw, t.applications, life_df, t.offers)
     assert sorted(map(tuple, single.collect()), key=repr) == sorted(map(tuple, per_rule.collect()), key=repr)
+
+
+sla_strategy = st.lists(
+    st.tuples(st.integers(0, 5), st.sampled_from(STAGES[:5]), st.integers(0, 20), st.integers(0, 3)),
+    min_size=1,
+    max_size=40,
+)
+
+
+@SETTINGS
+@given(sla_strategy)
+def test_sla_compliance_matches_definition(spark, spec):
+    import pandas as pd
+
+    from hirelens.operators import sla as S
+    from hirelens.operators.stages import lifecycle
+
+    apps = [(f"a{i}", "c", f"r{i}", ts(0), None if i == 0 else f"rec{i % 2}") for i in range(6)]
+    events = [(f"e{j}", f"a{a}", s, ts(d, hours=h)) for j, (a, s, d, h) in enumerate(spec)]
+    t = make_tables(spark, apps, events)
+    life = lifecycle(t.applications, t.stage_events, None, t.requisitions)
+    got = {(r["recruiter_id"], r["transition_name"]): r for r in S.sla_compliance(S.sla_breaches(S.sla_transitions(life))).collect()}
+
+    rows_ = []
+    targets = {"APPLIED_TO_SCREEN": ("APPLIED", "SCREEN", 3), "SCREEN_TO_ONSITE": ("SCREEN", "ONSITE", 10),
+               "ONSITE_TO_OFFER": ("ONSITE", "OFFER", 7), "OFFER_TO_DECISION": ("OFFER", "HIRED", 5)}
+    for a_id, _, _, _, rec in apps:
+        latest = {}
+        for _, a, s, when in events:
+            if a == a_id:
+                latest[s] = max(latest.get(s, when), when)
+        for name, (s0, s1, days) in targets.items():
+            if s0 in latest and s1 in latest:
+                d = (latest[s1] - latest[s0]).total_seconds() / 86400
+                if d >= 0:
+                    rows_.append((rec, name, d, d > days))
+    exp = pd.DataFrame(rows_, columns=["rec", "t", "d", "b"])
+    assert len(got) == exp.groupby(["rec", "t"], dropna=False).ngroups
+    for (rec, name), g in exp.groupby(["rec", "t"], dropna=False):
+        r = got[(None if pd.isna(rec) else rec, name)]
+        assert r["total_cases"] == len(g) and r["breaches"] == int(g["b"].sum())
+        assert r["compliance_rate"] == pytest.approx(1 - g["b"].mean())
+        assert r["avg_duration_days"] == pytest.approx(g["d"].mean())
+        assert r["p90_duration_days"] == pytest.approx(float(np.percentile(g["d"], 90)))
