@@ -45,7 +45,8 @@ Notes:
   0.25 s.
 - Local-mode run-to-run spread is about ±30 %.
 - Correctness: all 37 registered queries equal the DuckDB oracle at sf0.01, with the tuned
-  session and also with a plain session in a non-UTC zone, float values compared exactly.
+  session and also with a plain session in a non-UTC zone, float values compared exactly. They
+  also match at sf0.1.
 - The reference publishes no timings, so there is no throughput comparison to make.
 """
     open(path, "w").write(text)
