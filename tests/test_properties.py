@@ -149,3 +149,37 @@ def test_sla_compliance_matches_definition(spark, spec):
         assert r["compliance_rate"] == pytest.approx(1 - g["b"].mean())
         assert r["avg_duration_days"] == pytest.approx(g["d"].mean())
         assert r["p90_duration_days"] == pytest.approx(float(np.percentile(g["d"], 90)))
+
+
+@SETTINGS
+@given(events_strategy)
+def test_funnel_matches_definition(spark, spec):
+    from hirelens.functions.time import week_start
+    from hirelens.operators.funnel import funnel_metrics
+    from hirelens.operators.stages import lifecycle
+
+    apps = [(f"a{i}", "c", "r", ts(0), "x") for i in range(4)]
+    events = [(f"e{j}", f"a{a}", s, ts(d * 3)) for j, (a, s, d) in enumerate(spec)]
+    t = make_tables(spark, apps, events)
+    life = lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions)
+    got = {r["apply_week"]: r for r in funnel_metrics(life).collect()}
+    per_app = {}
+    for _, a, s, when in events:
+        per_app.setdefault(a, {})[s] = max(per_app.get(a, {}).get(s, when), when)
+    weeks = {}
+    for a_id, *_ in apps:
+        st_ = per_app.get(a_id, {})
+        applied = st_.get("APPLIED")
+        wk = None
+        if applied is not None:
+            wk = spark.createDataFrame([(applied,)], "t timestamp_ntz").select(week_start("t")).first()[0]
+        c = weeks.setdefault(wk, [0, 0, 0, 0, 0])
+        c[0] += 1
+        for k, s in enumerate(("SCREEN", "ONSITE", "OFFER", "HIRED"), start=1):
+            c[k] += s in st_
+    assert set(got) == set(weeks)
+    for wk, (n, sc, on, of, hi) in weeks.items():
+        r = got[wk]
+        assert (r["applied"], r["screened"], r["onsite"], r["offered"], r["hired"]) == (n, sc, on, of, hi)
+        assert r["screen_to_onsite_rate"] == (None if sc == 0 else pytest.approx(on / sc))
+        assert r["offer_to_hire_rate"] == (None if of == 0 else pytest.approx(hi / of))
