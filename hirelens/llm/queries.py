@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import ship, table
+from hirelens.session import new_run_dir
 
 
 def op1_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,12 +18,27 @@ def op1_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_boilerplate(docs, host="source", text="text")
 
 
+def op2_pfor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.pfor import read_token_files, write_token_files
+
+    to = new_run_dir(spark, "llm_token_files")
+    write_token_files(table(spark, sf_dir, "documents"), to)
+    return read_token_files(spark, to).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelens.llm.bayes_minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.nnls_pack import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelens.llm.fertility import fertility_filter
 
@@ -45,7 +61,7 @@ def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ALL = (op1_site_line_dedup, op4_near_duplicates, op6_fertility_rules, op8_markov_secrets)
+_ALL = (op1_site_line_dedup, op2_pfor_files, op4_near_duplicates, op5_nnls_packing, op6_fertility_rules, op8_markov_secrets)
 
 
 def _shipped(query):

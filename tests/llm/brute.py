@@ -64,3 +64,43 @@ def base_secrets(text: str | None) -> list[tuple[int, str, int]]:
             if (len(m[2]) >= 6) if kind == "assign" else m.end() - m.start() >= (20 if kind == "access" else 24):
                 out.append((m.start(), k, kind, m.end()))
     return [(s, kind, e) for s, _, kind, e in sorted(out)]
+
+
+def token_ids(texts: list[str | None], path: str, end_id: int) -> list[list[int]]:
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(path)
+    return [e.ids + [end_id] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+
+
+def check_pieces(pieces: list[tuple], ids: dict[int, list[int]], window: int = 2048) -> int:
+    """Raise unless the pieces (doc_id, start, length, ids_crc32, doc_tokens,
+    sequence_id, offset) hold each id once and fill sequences gaplessly; the
+    padding that is left."""
+    import struct
+    import zlib
+    from collections import defaultdict
+
+    docs, seqs = defaultdict(list), defaultdict(list)
+    for doc, start, length, crc, n, seq, offset in pieces:
+        own = ids[doc][start : start + length]
+        assert len(own) == length > 0 and n == len(ids[doc])
+        assert zlib.crc32(struct.pack(f"<{length}I", *own)) == crc
+        docs[doc].append((start, length))
+        seqs[seq].append((offset, length))
+    assert docs.keys() == ids.keys()
+    for doc, found in docs.items():
+        at = 0
+        for start, length in sorted(found):
+            assert start == at
+            at += length
+        assert at == len(ids[doc])
+    padding = 0
+    for found in seqs.values():
+        at = 0
+        for offset, length in sorted(found):
+            assert offset == at
+            at += length
+        assert at <= window
+        padding += 0 if at & (at - 1) == 0 else window - at
+    return padding
