@@ -26,6 +26,17 @@ def op2_pfor_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, to).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from hirelens.llm.mph_bpe import decode_bpe, encode_bpe
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = encode_bpe(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return decode_bpe(ids, path).select("doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelens.llm.bayes_minhash import near_duplicates
 
@@ -45,6 +56,12 @@ def op6_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility_filter(table(spark, sf_dir, "documents"), only=["doc_id"])
 
 
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.url_templates import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelens.llm.secrets import listed, secret_spans, train_markov
 
@@ -61,7 +78,33 @@ def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ALL = (op1_site_line_dedup, op2_pfor_files, op4_near_duplicates, op5_nnls_packing, op6_fertility_rules, op8_markov_secrets)
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.chat_columns import format_and_read
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return format_and_read(turns.union(more))
+
+
+def op10_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.va_topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+_ALL = (
+    op1_site_line_dedup,
+    op2_pfor_files,
+    op3_byte_bpe,
+    op4_near_duplicates,
+    op5_nnls_packing,
+    op6_fertility_rules,
+    op7_url_templates,
+    op8_markov_secrets,
+    op9_chat_format,
+    op10_va_top_k,
+)
 
 
 def _shipped(query):

@@ -104,3 +104,51 @@ def check_pieces(pieces: list[tuple], ids: dict[int, list[int]], window: int = 2
         assert at <= window
         padding += 0 if at & (at - 1) == 0 else window - at
     return padding
+
+
+def chat_digests(turns: list[tuple]) -> dict:
+    """conv_id: (n_turns, turns_sha256, loss_chars, loss_sha256) from rows
+    (conv_id, turn, role, text)."""
+    import hashlib
+
+    out: dict = {}
+    first = lambda x: (x is not None, x if x is not None else 0)
+    for conv, _, role, text in sorted(turns, key=lambda r: (first(r[0]), first(r[1]), first(r[2]) if r[2] else (r[2] is not None, ""), (r[3] is not None, r[3] or ""))):
+        n, h, chars, loss = out.setdefault(conv, [0, hashlib.sha256(), 0, hashlib.sha256()])
+        h.update(f"{role or ''}\n{text or ''}\n".encode())
+        out[conv][0] = n + 1
+        if role == "assistant":
+            out[conv][2] = chars + len(text or "")
+            loss.update((text or "").encode())
+    return {c: (n, h.hexdigest(), k, loss.hexdigest()) for c, (n, h, k, loss) in out.items()}
+
+
+RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+
+
+def url_base(url: str | None) -> tuple:
+    """(host, path, rule, the rule's verdict)."""
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = host.translate(LOWER)
+    fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, *(max(fits)[1:] if fits else (None, None)))
+
+
+def best_vectors(rows: list[tuple], k: int = 5, every: int = 50) -> list[tuple]:
+    """(query_id, rank, vec_id, score) over distinct ids."""
+    import math
+
+    ok = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            ok[i] = [math.floor(256 * x) for x in v]
+    out = []
+    for q, v in ok.items():
+        if q % every == 0:
+            found = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in ok.items() if i != q and len(w) == len(v))[:k]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(found, 1)]
+    return sorted(out)
