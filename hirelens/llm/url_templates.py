@@ -38,7 +38,7 @@ RESULTS = ("host", "path", "rule", "template", "badness", "verdict")
 #: Verdict, host and path of each rule.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_URL = r"^(?:(?!://)[\s\S])*://([^/?#]*)([^?#]*)"
+_URL = r"^[\s\S]*?://([^/?#]*)([^?#]*)"
 
 
 def host_and_path(url):
