@@ -39,17 +39,6 @@ SLA_PERCENTILE = 0.9
 
 # Column name of each stage timestamp in the lifecycle row.
 STAGE_COLUMNS = {s: f"{s.lower()}_ts" for s in STAGES}
-# The pivot names the SCREEN column screen_ts etc.; APPLIED -> applied_ts.
-STAGE_TS_COLUMNS = tuple(STAGE_COLUMNS[s] for s in STAGES)
-
-DURATION_COLUMNS = (
-    "days_applied_to_screen",
-    "days_screen_to_onsite",
-    "days_onsite_to_offer",
-    "days_offer_to_decision",
-    "total_time_to_hire",
-)
-
 # Human-readable exception texts (our own wording).
 EXCEPTION_DETAILS = {
     "ORPHAN_STAGE_EVENT": "stage event points at an application that does not exist",

@@ -1,16 +1,7 @@
 """Column-level helpers and reusable relational building blocks."""
 
-from hirelens.functions.joins import broadcast_if_small, has_at_most
 from hirelens.functions.percentile import percentile_cont
 from hirelens.functions.ratio import safe_ratio
-from hirelens.functions.time import add_days, days_between, week_start
+from hirelens.functions.time import days_between, week_start
 
-__all__ = [
-    "add_days",
-    "broadcast_if_small",
-    "days_between",
-    "has_at_most",
-    "percentile_cont",
-    "safe_ratio",
-    "week_start",
-]
+__all__ = ["days_between", "percentile_cont", "safe_ratio", "week_start"]

@@ -1,25 +1,20 @@
-"""Exact, interpolated percentile per group that never funnels a whole
-group into one task.
-
-Spark's built-in ``percentile`` keeps a value->count map per group and
-merges all of a group's maps in a single task; a group holding a third of
-all rows would then sit in one task's memory. This computes the same
-number (``PERCENTILE_CONT``: position ``p * (n - 1)``, linear
-interpolation between the two neighbouring order statistics) with:
-
-1. one partial aggregate for ``n``, min and max per group;
-2. for groups larger than ``direct_max_rows`` only: rounds of histogram
-   refinement. Each round buckets the values that lie in the current
-   interval into ``buckets`` equal-width buckets (a partial aggregate per
-   (group, target, bucket)), takes a running sum over at most ``buckets``
-   rows per target and narrows the interval to the bucket that holds the
-   wanted rank. The minimum and the maximum always fall in different
-   buckets, so every round shrinks the interval strictly.
-3. a final ranking window over the rows of each remaining interval, which
-   holds at most ``direct_max_rows`` rows per target.
-
-The per-group state (two targets per group) is small and is joined to the
-value rows as a broadcast after a row-count check.
+"""Exact, interpolated percentile per group, one lazy plan of fixed depth.
+
+``PERCENTILE_CONT``: position ``p * (n - 1)`` among a group's ordered values,
+interpolated between its two neighbours. Spark's own ``percentile`` merges all
+values of a group in one task; this selects the neighbours digit by digit
+instead. Values are long integers, read as four digits of 16 bits:
+
+1. rows are counted per (group, value): one shuffle, spread by the value, that
+   all further steps share;
+2. per digit, from the highest: rows that agree with the digits found so far
+   are counted per (group, wanted rank, digit) - a partial aggregate with at
+   most 65,536 digits per rank - and a running sum over these counts finds the
+   digit that holds the rank.
+
+The depth is the same for any input, no job runs while the plan is built, and
+no group meets in one task: the state that the rows are joined with has two
+rows per group, dealt over ``SALTS`` keys.
 """
 
 from __future__ import annotations
@@ -30,154 +25,71 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelens.functions.joins import broadcast_if_small
-from hirelens.plans.materialize import materialize
+DIGIT_BITS, DIGITS = 16, 4
+SALTS = 8
 
-DEFAULT_DIRECT_MAX_ROWS = 2_000_000
-DEFAULT_BUCKETS = 4096
-STATE_BROADCAST_MAX_ROWS = 2_000_000
 
-
-def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Right-hand join side with its key columns renamed, so join
-    conditions never compare two columns of the same lineage."""
-    return df.withColumnsRenamed({n: f"_r{n}" for n in names})
+def _same(names: Sequence[str]) -> Column:
+    """Null-safe equality with the columns of the other side, named ``_r...``
+    (a null key is a group)."""
+    return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_r{n}")) for n in names])
 
 
-def _match(names: Sequence[str]) -> Column:
-    """Null-safe equality of ``names`` with their renamed counterparts (a
-    null group key is a real group)."""
-    return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_r{n}")) for n in names])
+def _right(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: f"_r{n}" for n in names})
 
 
-def _rows_in_interval(vals: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Value rows of each target's current interval, tagged with the target."""
-    st = broadcast_if_small(_renamed(state.select(*keys, "_k", "_L", "_U", "_below"), keys), STATE_BROADCAST_MAX_ROWS)
-    j = vals.select(*keys, "_v").join(
-        st, _match(keys) & (F.col("_v") >= F.col("_L")) & (F.col("_v") <= F.col("_U")), "inner"
-    )
-    return j.select(*keys, "_k", "_L", "_U", "_below", "_v")
-
-
-def percentile_cont(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    p: float,
-    alias: str | None = None,
-    extra_aggs: Sequence[Column] = (),
-    direct_max_rows: int = DEFAULT_DIRECT_MAX_ROWS,
-    buckets: int = DEFAULT_BUCKETS,
-    max_rounds: int = 200,
-    input_materialized: bool = False,
-) -> DataFrame:
-    """``keys`` + ``alias`` (the exact p-th percentile of ``value``) +
-    ``extra_aggs`` evaluated in the same per-group aggregate.
-
-    Nulls are ignored; a group with no non-null value gets a null
-    percentile. ``df`` is read more than once, so unless
-    ``input_materialized`` says it already is a scan of written files it is
-    materialised first (written to the shared directory and read back) and
-    later passes do not recompute its lineage.
-    """
+def counted(df: DataFrame, keys: Sequence[str], value: str, sums: Sequence[Column] = ()) -> DataFrame:
+    """Rows per (keys, value): ``_n``, and ``sums`` of the same rows."""
+    return df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *sums)
+
+
+def select_ranks(counts: DataFrame, ranks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _k, _value): the value of each wanted rank ``_k`` (from 0) among
+    the group's values; ``counts`` as of ``counted``."""
+    # the sign bit flipped, so that digits order as the values do
+    ordered = counts.where("_v IS NOT NULL").select(*keys, F.col("_v").bitwiseXOR(F.lit(-(2**63))).alias("_u"), "_n")
+    ordered = ordered.withColumn("_salt", F.pmod(F.xxhash64("_u"), F.lit(SALTS)).cast("int"))
+    state = ranks.select(*keys, "_k", F.col("_k").alias("_left"), F.lit(0).cast("long").alias("_prefix"))
+    for digit in range(DIGITS):
+        low = DIGIT_BITS * (DIGITS - 1 - digit)
+        s = state.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        on = _same([*keys, "_salt"])
+        if digit:
+            on = on & (F.shiftrightunsigned("_u", low + DIGIT_BITS) == F.col("_prefix"))
+        held = ordered.join(_right(s, [*keys, "_salt"]), on)
+        counts_by = held.groupBy(*keys, "_k", "_left", "_prefix", F.shiftrightunsigned("_u", low).bitwiseAND(F.lit(2**DIGIT_BITS - 1)).alias("_d")).agg(F.sum("_n").alias("_c"))
+        upto = F.sum("_c").over(Window.partitionBy(*keys, "_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0))
+        found = counts_by.withColumn("_upto", upto).where((F.col("_left") < F.col("_upto")) & (F.col("_left") >= F.col("_upto") - F.col("_c")))
+        state = found.select(
+            *keys,
+            "_k",
+            (F.col("_left") - (F.col("_upto") - F.col("_c"))).alias("_left"),
+            F.shiftleft("_prefix", DIGIT_BITS).bitwiseOR(F.col("_d")).alias("_prefix"),
+        )
+    return state.select(*keys, "_k", F.col("_prefix").bitwiseXOR(F.lit(-(2**63))).alias("_value"))
+
+
+def percentile_of_counts(counts: DataFrame, keys: Sequence[str], p: float, alias: str, scale: float = 1.0, aggs: Sequence[Column] = ()) -> DataFrame:
+    """``keys``, ``aggs`` over the group's counted rows, and the percentile of
+    its values divided by ``scale``. A group without values has a null one."""
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
-    if buckets < 2:
-        raise ValueError("buckets must be >= 2")
-    alias = alias or f"p{int(round(p * 100))}_{value}"
     keys = list(keys)
-
-    base = df if input_materialized else materialize(df, "percentile_input")
-    vals = base.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-
-    stats = base.groupBy(*keys).agg(
-        F.count(F.col(value)).alias("_n"),
-        F.min(F.col(value).cast("double")).alias("_min"),
-        F.max(F.col(value).cast("double")).alias("_max"),
-        *extra_aggs,
-    )
-    pos = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
-    stats = stats.withColumns(
-        {
-            "_lo": F.floor(pos).cast("long"),
-            "_hi": F.ceil(pos).cast("long"),
-            "_frac": pos - F.floor(pos),
-        }
-    )
-    stats = materialize(stats, "percentile_stats")
-
-    state = stats.where(F.col("_n") > 0).select(
-        *keys,
-        F.explode(F.array_distinct(F.array(F.col("_lo"), F.col("_hi")))).alias("_k"),
-        F.col("_min").alias("_L"),
-        F.col("_max").alias("_U"),
-        F.lit(0).cast("long").alias("_below"),
-        F.col("_n").alias("_cnt"),
-    )
-
-    largest = stats.agg(F.max("_n")).first()[0]
-    if largest is not None and largest > direct_max_rows:
-        for _ in range(max_rounds):
-            active = state.where((F.col("_cnt") > direct_max_rows) & (F.col("_L") < F.col("_U")))
-            if active.limit(1).count() == 0:
-                break
-            rows = _rows_in_interval(vals, active, keys)
-            # Halving keeps the width finite for any finite bounds; if it
-            # underflows (adjacent subnormal bounds) the maximum still gets
-            # its own bucket, so the mapping stays monotone and every round
-            # shrinks the interval.
-            half_l = F.col("_L") / 2
-            frac = F.try_divide(F.col("_v") / 2 - half_l, F.col("_U") / 2 - half_l)
-            bucket = (
-                F.when(F.col("_v") >= F.col("_U"), F.lit(buckets - 1))
-                .otherwise(F.least(F.floor(F.coalesce(frac, F.lit(0.0)) * buckets), F.lit(buckets - 1)))
-                .cast("int")
-            )
-            hist = rows.groupBy(*keys, "_k", "_below", bucket.alias("_b")).agg(
-                F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"), F.max("_v").alias("_bmax")
-            )
-            w = Window.partitionBy(*keys, "_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-            hist = hist.withColumn("_cum", F.sum("_c").over(w))
-            local = F.col("_k") - F.col("_below")
-            chosen = hist.where((local >= F.col("_cum") - F.col("_c")) & (local < F.col("_cum"))).select(
-                *keys,
-                "_k",
-                F.col("_bmin").alias("_L"),
-                F.col("_bmax").alias("_U"),
-                (F.col("_below") + F.col("_cum") - F.col("_c")).alias("_below"),
-                F.col("_c").alias("_cnt"),
-            )
-            kept = state.join(_renamed(chosen.select(*keys, "_k"), [*keys, "_k"]), _match([*keys, "_k"]), "left_anti")
-            state = materialize(kept.unionByName(chosen), "percentile_state")
-        else:
-            raise RuntimeError("percentile refinement did not converge")
-
-    resolved = state.where(F.col("_L") == F.col("_U")).select(*keys, "_k", F.col("_L").alias("_val"))
-    # Targets of one group either share an interval (always, unless
-    # refinement sent them to different buckets) or have disjoint ones, so
-    # each value row falls in at most one pending interval: rank it once.
-    pending = (
-        state.where(F.col("_L") < F.col("_U"))
-        .groupBy(*keys, "_L", "_U", "_below")
-        .agg(F.min("_k").alias("_ka"), F.max("_k").alias("_kb"))
-    )
-    st = broadcast_if_small(_renamed(pending, keys), STATE_BROADCAST_MAX_ROWS)
-    rows = vals.select(*keys, "_v").join(
-        st, _match(keys) & (F.col("_v") >= F.col("_L")) & (F.col("_v") <= F.col("_U")), "inner"
-    )
-    rank_w = Window.partitionBy(*keys, "_L").orderBy("_v")
-    rank = F.row_number().over(rank_w) - 1 + F.col("_below")
-    picked = (
-        rows.select(*keys, "_v", "_ka", "_kb", rank.alias("_r"))
-        .where((F.col("_r") == F.col("_ka")) | (F.col("_r") == F.col("_kb")))
-        .select(*keys, F.col("_r").alias("_k"), F.col("_v").alias("_val"))
-    )
-    values = resolved.unionByName(picked)
-
-    lo_v = _renamed(values.select(*keys, F.col("_k").alias("_lo"), F.col("_val").alias("_vlo")), [*keys, "_lo"])
-    hi_v = _renamed(values.select(*keys, F.col("_k").alias("_hi"), F.col("_val").alias("_vhi")), [*keys, "_hi"])
-    out = stats.join(lo_v, _match([*keys, "_lo"]), "left").drop(*[f"_r{n}" for n in [*keys, "_lo"]])
-    out = out.join(hi_v, _match([*keys, "_hi"]), "left").drop(*[f"_r{n}" for n in [*keys, "_hi"]])
-    result = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
-    extra_names = [c for c in stats.columns if c not in set(keys) | {"_n", "_min", "_max", "_lo", "_hi", "_frac"}]
-    return out.select(*keys, *extra_names, F.when(F.col("_n") > 0, result).alias(alias))
+    rows = F.sum(F.when(F.col("_v").isNotNull(), F.col("_n")))
+    stats = counts.groupBy(*keys).agg(rows.alias("_rows"), *aggs)
+    pos = F.lit(float(p)) * (F.col("_rows") - 1).cast("double")
+    stats = stats.withColumns({"_lo": F.floor(pos).cast("long"), "_hi": F.ceil(pos).cast("long"), "_part": pos - F.floor(pos)})
+    ranks = stats.where("_rows > 0").select(*keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_k"))
+    values = select_ranks(counts, ranks, keys)
+    both = values.groupBy(*keys).agg(F.min("_value").alias("_a"), F.max("_value").alias("_b"))
+    out = stats.join(_right(both, keys), _same(keys), "left")
+    a, b = F.col("_a") / F.lit(float(scale)), F.col("_b") / F.lit(float(scale))
+    names = [c for c in stats.columns if c not in {*keys, "_rows", "_lo", "_hi", "_part"}]
+    return out.select(*keys, *names, (a + F.col("_part") * (b - a)).alias(alias))
+
+
+def percentile_cont(df: DataFrame, keys: Sequence[str], value: str, p: float, alias: str | None = None) -> DataFrame:
+    """``keys`` and the exact p-th percentile of the long column ``value``;
+    nulls are ignored."""
+    return percentile_of_counts(counted(df, keys, value), keys, p, alias or f"p{int(round(p * 100))}_{value}")

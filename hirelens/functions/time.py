@@ -50,7 +50,3 @@ def week_start(ts: Column | str) -> Column:
     c = _col(ts)
     return F.date_sub(F.to_date(c), (F.dayofweek(c) + 5) % 7).cast("timestamp_ntz")
 
-
-def add_days(ts: Column | str, days: int) -> Column:
-    """``ts + days`` as an exact day interval."""
-    return _col(ts) + F.make_dt_interval(F.lit(days))

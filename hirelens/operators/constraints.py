@@ -12,8 +12,8 @@ checks). Key checks (primary key, composite unique) report one row per
 duplicated key with its multiplicity; they are partial aggregates, so a
 hot key shuffles one row per map task.
 
-``enforce_constraints`` raises before anything is written when any audit
-finds a violation (the load-is-all-or-nothing contract of the DDL).
+``enforce_constraints`` raises when any audit finds a violation; the load step
+(``plans.load``) runs it over the stored tables before they are published.
 """
 
 from __future__ import annotations
@@ -114,51 +114,50 @@ def audit_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def audit_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Nulls in declared NOT NULL columns (primary key nulls included)."""
+def _row_checks(spec: TableSpec) -> list[tuple[Column, str, str]]:
+    """All row-level checks of a table: (failed-condition, type, columns).
+    A null passes every check but NOT NULL."""
+    checks = [(F.col(c).isNull(), "NOT_NULL", c) for c in spec.not_null]
+    checks += [(~F.col(c).between(lo, hi), "RANGE", c) for c, lo, hi in spec.ranges]
+    checks += [(~F.col(c).isin(*values), "DOMAIN", c) for c, values in spec.domains]
+    checks += [(F.col(late) < F.col(early), "DATE_ORDER", f"{early},{late}") for early, late in spec.date_orders]
+    checks += [(F.length(F.col(c)) > n, "LENGTH", c) for c, n in spec.max_length]
+    return checks
+
+
+def audit_rows(tables: Mapping[str, DataFrame], kinds: tuple[str, ...] = ("NOT_NULL", "RANGE", "DOMAIN", "DATE_ORDER", "LENGTH")) -> DataFrame:
+    """Every row-level violation, in one narrow pass per table."""
     parts = []
     for name, spec in SPECS.items():
-        if name in tables:
-            checks = [(F.col(c).isNull(), "NOT_NULL", c) for c in spec.not_null]
+        checks = [c for c in _row_checks(spec) if c[1] in kinds] if name in tables else []
+        if checks:
             parts.append(_row_violations(tables[name], spec, checks))
-    return _union(parts)
+    return _union(parts) if parts else _empty(next(iter(tables.values())))
+
+
+def audit_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Nulls in declared NOT NULL columns (primary key nulls included)."""
+    return audit_rows(tables, ("NOT_NULL",))
 
 
 def audit_range(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Values outside a declared inclusive range (null passes)."""
-    parts = []
-    for name, spec in SPECS.items():
-        if name in tables and spec.ranges:
-            checks = [(~F.col(c).between(lo, hi), "RANGE", c) for c, lo, hi in spec.ranges]
-            parts.append(_row_violations(tables[name], spec, checks))
-    return _union(parts)
+    return audit_rows(tables, ("RANGE",))
 
 
 def audit_domain(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Values outside a declared list (null passes, as in a CHECK)."""
-    parts = []
-    for name, spec in SPECS.items():
-        if name in tables and spec.domains:
-            checks = [(~F.col(c).isin(*values), "DOMAIN", c) for c, values in spec.domains]
-            parts.append(_row_violations(tables[name], spec, checks))
-    return _union(parts)
+    return audit_rows(tables, ("DOMAIN",))
 
 
 def audit_date_order(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Requisitions closed before they opened."""
-    spec = SPECS["requisitions"]
-    cond = F.col("close_date") < F.col("open_date")
-    return _row_violations(tables["requisitions"], spec, [(cond, "DATE_ORDER", "open_date,close_date")])
+    return audit_rows(tables, ("DATE_ORDER",))
 
 
 def audit_length(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Strings longer than their declared VARCHAR length."""
-    parts = []
-    for name, spec in SPECS.items():
-        if name in tables and spec.max_length:
-            checks = [(F.length(F.col(c)) > n, "LENGTH", c) for c, n in spec.max_length]
-            parts.append(_row_violations(tables[name], spec, checks))
-    return _union(parts)
+    return audit_rows(tables, ("LENGTH",))
 
 
 def audit_foreign_key(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -199,8 +198,9 @@ AUDITS = {
 
 
 def audit_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every audit in one long-form result."""
-    return _union([fn(tables) for fn in AUDITS.values()])
+    """Every audit in one long-form result: one pass per table for all
+    row-level checks, one aggregate per key, one anti join per reference."""
+    return _union([audit_rows(tables), audit_primary_key(tables), audit_unique(tables), audit_foreign_key(tables)])
 
 
 class ConstraintViolation(Exception):
@@ -211,18 +211,14 @@ class ConstraintViolation(Exception):
         super().__init__(f"constraint violations: {counts}")
 
 
+def violation_counts(violations: DataFrame) -> dict[str, int]:
+    """Violations per constraint type; at most one row per type comes back."""
+    counts = violations.groupBy("constraint_type").agg(F.sum("violation_count").alias("n")).collect()
+    return {r["constraint_type"]: int(r["n"]) for r in counts if r["n"]}
+
+
 def enforce_constraints(tables: Mapping[str, DataFrame]) -> None:
-    """Raise ``ConstraintViolation`` if any audit reports a row.
-
-    Only the per-type violation counts come back to the driver (one row
-    per constraint type), never the violating rows themselves.
-    """
-    counts = (
-        audit_constraints(tables)
-        .groupBy("constraint_type")
-        .agg(F.sum("violation_count").alias("n"))
-        .collect()
-    )
-    found = {r["constraint_type"]: int(r["n"]) for r in counts if r["n"]}
+    """Raise ``ConstraintViolation`` if any audit reports a row."""
+    found = violation_counts(audit_constraints(tables))
     if found:
         raise ConstraintViolation(found)

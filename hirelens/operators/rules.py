@@ -10,15 +10,13 @@ Scale notes:
   terminals) run as ONE narrow pass over the lifecycle table
   (``explode`` of a filtered array), instead of four scans.
 * The two offer rules share ONE join of offers with the onsite time.
-* The duplicate rule is an equi-join on (candidate, requisition, 30-day
-  time bucket): each application meets only partners from its own and the
-  preceding bucket, never every application of the same candidate and
-  requisition. Hot keys are split by AQE's skew-join handling.
+* The duplicate rule forms no pairs: running and sliding minima over the
+  times of a candidate and requisition, split by hours.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.constants import (
@@ -33,7 +31,8 @@ from hirelens.constants import (
     EXC_STAGE_ORDER,
     EXCEPTION_DETAILS,
 )
-from hirelens.functions.time import MICROS_PER_DAY, epoch_micros
+from hirelens.functions.ratio import safe_ratio
+from hirelens.functions.time import epoch_micros
 
 EXCEPTION_COLUMNS = ("exception_type", "severity", "application_id", "event_id", "details")
 
@@ -67,75 +66,70 @@ def rule_orphan_event(stage_events_raw: DataFrame, applications: DataFrame) -> D
     )
 
 
-def duplicate_pairs(
-    applications: DataFrame, days: int = DUPLICATE_WINDOW_DAYS, mode: str = "reference"
-) -> DataFrame:
-    """Pairs (later application, earlier partner) of one candidate and
-    requisition whose apply times lie within ``days``.
-
-    ``mode="reference"``: the later row is the one with the larger
-    application id, and it must apply in ``[partner, partner + days]``
-    (inclusive) -- pairs whose larger id applied first are not reported.
-    ``mode="symmetric"``: the later row is the later (apply_ts, id), so
-    every unordered pair within the window is reported once.
-
-    Join plan: bucket apply time into ``days``-wide buckets; the partner in
-    bucket k can only pair with rows in bucket k or k+1, so it is emitted
-    under both bucket numbers and the join is an equi-join on (candidate,
-    requisition, bucket) with the exact window as residual condition.
+_HOUR = 3_600_000_000
+
+
+def duplicate_applications(applications: DataFrame, days: int = DUPLICATE_WINDOW_DAYS, mode: str = "reference") -> DataFrame:
+    """The applications that have an earlier partner: another application of
+    the same candidate for the same requisition within ``days``.
+
+    ``mode="reference"``: the partner has a smaller id and the application
+    lies in ``[partner, partner + days]`` (inclusive); partners with a greater
+    id that applied first don't count. ``mode="symmetric"``: the partner is
+    earlier in (apply_ts, id), at most ``days``.
+
+    One row per flagged application, however many partners it has. No pairs
+    are formed: with the smallest id kept per candidate, requisition and time,
+    the window's smallest id decides. It is the least of three: that of the
+    whole hours inside the window (a sliding minimum over a key's hours), of
+    the own hour up to the application, and of the window's first hour from
+    its exact start on (both running minima within one hour). So a key with a
+    third of all rows is split by hours, and equal times are one row.
     """
     if mode not in ("reference", "symmetric"):
         raise ValueError(f"unknown mode {mode!r}")
-    width = int(days * MICROS_PER_DAY)
+    key = ["candidate_id", "req_id"]
     apps = (
-        applications.select("application_id", "candidate_id", "req_id", "apply_ts")
-        .where(
-            F.col("application_id").isNotNull()
-            & F.col("candidate_id").isNotNull()
-            & F.col("req_id").isNotNull()
-            & F.col("apply_ts").isNotNull()
-        )
+        applications.select("application_id", *key, "apply_ts")
+        .where(F.col("application_id").isNotNull() & F.col("candidate_id").isNotNull() & F.col("req_id").isNotNull() & F.col("apply_ts").isNotNull())
         .withColumn("_us", epoch_micros(F.col("apply_ts")))
-        # floor(_us / width) in exact integer arithmetic (also for negative times)
-        .withColumn("_bucket", F.expr(f"(_us - pmod(_us, {width}L)) div {width}L"))
-    )
-    later = apps.select(
-        F.col("application_id"),
-        F.col("candidate_id"),
-        F.col("req_id"),
-        F.col("apply_ts"),
-        F.col("_us").alias("_us1"),
-        F.col("_bucket"),
     )
-    earlier = apps.select(
-        F.col("application_id").alias("partner_id"),
-        F.col("candidate_id"),
-        F.col("req_id"),
-        F.col("apply_ts").alias("partner_apply_ts"),
-        F.col("_us").alias("_us2"),
-        F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_bucket"),
-    )
-    in_window = (F.col("_us1") >= F.col("_us2")) & (F.col("_us1") <= F.col("_us2") + F.lit(width))
-    if mode == "reference":
-        order = F.col("application_id") > F.col("partner_id")
+    hour = lambda us: F.expr(f"({us} - pmod({us}, {_HOUR}L)) div {_HOUR}L")
+    points = apps.groupBy(*key, "_us").agg(F.min("application_id").alias("_id")).withColumn("_h", hour("_us"))
+    hours = points.groupBy(*key, "_h").agg(F.min("_id").alias("_least"))
+    inside = Window.partitionBy(*key).orderBy("_h").rangeBetween(-24 * days + 1, -1)
+    whole = hours.select(*key, "_h", F.min("_least").over(inside).alias("_whole"))
+    # a point looks at its own hour from the left, and at the hour in which its
+    # window begins from the right; a point is in its own window's hours once
+    looks = points.select(
+        *key,
+        F.explode(F.array(F.struct(F.col("_h").alias("h"), F.col("_us").alias("at"), F.lit(0).alias("late")), F.struct((F.col("_h") - 24 * days).alias("h"), (F.col("_us") - F.lit(24 * days * _HOUR)).alias("at"), F.lit(1).alias("late")))).alias("_p"),
+        "_id",
+        "_us",
+    ).select(*key, F.col("_p.h").alias("_h"), F.col("_p.at").alias("_at"), F.col("_p.late").alias("_late"), "_us", F.when(F.col("_p.late") == 0, F.col("_id")).alias("_own"))
+    left = Window.partitionBy(*key, "_h").orderBy("_at", "_late")
+    right = Window.partitionBy(*key, "_h").orderBy(F.desc("_at"), "_late")
+    before = F.min("_own").over(left.rowsBetween(Window.unboundedPreceding, -1 if mode == "symmetric" else 0))
+    since = F.min("_own").over(right.rowsBetween(Window.unboundedPreceding, -1))
+    seen = looks.withColumns({"_before": before, "_since": since})
+    # the own row and the look back meet again by the point
+    least = seen.groupBy(*key, "_us").agg(F.min(F.when(F.col("_late") == 0, F.col("_before"))).alias("_before"), F.min(F.when(F.col("_late") == 1, F.col("_since"))).alias("_since"))
+    points = points.join(least, [*key, "_us"]).join(whole, [*key, "_h"])
+    window = F.least("_before", "_since", "_whole")
+    found = points.select(*key, "_us", "_id", window.alias("_first"))
+    if mode == "symmetric":
+        flagged = F.col("_first").isNotNull() | (F.col("application_id") > F.col("_id"))
     else:
-        order = (F.col("_us1") > F.col("_us2")) | (
-            (F.col("_us1") == F.col("_us2")) & (F.col("application_id") > F.col("partner_id"))
-        )
-    return (
-        later.join(earlier, ["candidate_id", "req_id", "_bucket"], "inner")
-        .where(in_window & order)
-        .select("application_id", "partner_id", "candidate_id", "req_id", "apply_ts", "partner_apply_ts")
-    )
+        flagged = F.col("application_id") > F.col("_first")
+    return apps.join(found, [*key, "_us"]).where(flagged).select("application_id", *key, "apply_ts")
 
 
 def rule_duplicate_application(
     applications: DataFrame, days: int = DUPLICATE_WINDOW_DAYS, mode: str = "reference"
 ) -> DataFrame:
-    """One row per (application, earlier partner) pair, see
-    ``duplicate_pairs``; an application with several partners is reported
-    once per partner."""
-    pairs = duplicate_pairs(applications, days, mode)
+    """One row per flagged application, see ``duplicate_applications``. (The
+    source SQL repeats an application once per partner; the rows of one
+    application are equal there, so nothing is told apart by that.)"""
     details = F.concat(
         F.lit("candidate "),
         F.col("candidate_id").cast("string"),
@@ -143,7 +137,7 @@ def rule_duplicate_application(
         F.col("req_id").cast("string"),
         F.lit(f" more than once within {days} days"),
     )
-    return _tagged(pairs, EXC_DUPLICATE, details)
+    return _tagged(duplicate_applications(applications, days, mode), EXC_DUPLICATE, details)
 
 
 def rule_missing_recruiter(applications: DataFrame) -> DataFrame:
@@ -276,35 +270,26 @@ def rule_offer_without_onsite(life: DataFrame, offers: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- exception log
 
 
-def lifecycle_and_offer_rules(life: DataFrame, offers: DataFrame, applications: DataFrame) -> DataFrame:
+def lifecycle_and_offer_rules(life: DataFrame, offers: DataFrame) -> DataFrame:
     """The four lifecycle rules and the two offer rules from ONE read of the
-    lifecycle table.
-
-    Offers are unioned with one marker row per application and joined to
-    the lifecycle once on ``application_id``. Lifecycle checks fire on the
-    marker row (so once per application), offer checks on the offer rows
-    (so once per offer). Reading the lifecycle twice, once per rule family,
-    would compute it twice: the two branches prune different columns, so
-    Spark cannot reuse one for the other.
+    lifecycle table, once per lifecycle row and per offer.
+
+    The lifecycle is left-joined with the offers and one marker row for each
+    id that has offers. Lifecycle checks fire on the marker (or on the row that
+    found no offer), so once per lifecycle row, also where an application id
+    is duplicated; offer checks fire on the offers.
     """
-    marks = applications.select("application_id", F.lit(None).cast("timestamp_ntz").alias("_offer_ts"), F.lit(False).alias("_is_offer"))
-    offer_rows = offers.select("application_id", F.col("offer_ts").cast("timestamp_ntz").alias("_offer_ts"), F.lit(True).alias("_is_offer"))
+    has_id = offers.where("application_id IS NOT NULL").select("application_id", F.col("offer_ts").cast("timestamp_ntz").alias("_offer_ts"), F.lit(True).alias("_is_offer"))
+    marks = has_id.select("application_id").distinct().select("application_id", F.lit(None).cast("timestamp_ntz").alias("_offer_ts"), F.lit(False).alias("_is_offer"))
     cols = ["application_id", "screen_ts", "onsite_ts", "offer_ts", "hired_ts", "rejected_ts", "withdrawn_ts",
             "days_applied_to_screen", "days_screen_to_onsite", "days_onsite_to_offer", "days_offer_to_decision"]
-    joined = life.select(*cols).join(marks.unionByName(offer_rows), "application_id", "inner")
+    joined = life.select(*cols).join(has_id.union(marks), "application_id", "left")
+    is_offer = F.coalesce("_is_offer", F.lit(False))
 
     def hit(cond: Column, kind: tuple[str, str], text: str) -> Column:
-        return F.when(
-            cond,
-            F.struct(
-                F.lit(kind[0]).alias("exception_type"),
-                F.lit(kind[1]).alias("severity"),
-                F.lit(text).alias("details"),
-            ),
-        )
+        return F.when(cond, F.struct(F.lit(kind[0]).alias("exception_type"), F.lit(kind[1]).alias("severity"), F.lit(text).alias("details")))
 
-    is_mark, is_offer = ~F.col("_is_offer"), F.col("_is_offer")
-    hits = [hit(is_mark & cond, kind, text) for cond, kind, text in _lifecycle_checks()]
+    hits = [hit(~is_offer & cond, kind, text) for cond, kind, text in _lifecycle_checks()]
     hits.append(hit(is_offer & F.col("onsite_ts").isNull(), EXC_OFFER_WITHOUT_ONSITE, EXCEPTION_DETAILS["OFFER_WITHOUT_ONSITE"]))
     hits.append(hit(is_offer & (F.col("_offer_ts") < F.col("onsite_ts")), EXC_OFFER_BEFORE_ONSITE, EXCEPTION_DETAILS["OFFER_BEFORE_ONSITE"]))
     found = F.filter(F.array(*hits), lambda x: x.isNotNull())
@@ -335,7 +320,7 @@ def data_exceptions(
         rule_orphan_event(stage_events_raw, applications),
         rule_duplicate_application(applications, duplicate_days, duplicate_mode),
         rule_missing_recruiter(applications),
-        lifecycle_and_offer_rules(life, offers, applications),
+        lifecycle_and_offer_rules(life, offers),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -366,21 +351,19 @@ def data_exceptions_per_rule(
 
 
 def exception_rate(exceptions: DataFrame, applications: DataFrame, include_orphans: bool = False) -> DataFrame:
-    """Share of applications with at least one exception.
+    """Share of applications with at least one exception, by distinct id on
+    both sides.
 
-    Distinct flagged ids are joined to the application ids (one shuffle on
-    the id) and both counts come from one aggregate. Orphan-event ids are
-    not applications, so by default they are not counted; with
-    ``include_orphans`` they count in the numerator only.
+    The ids of applications and exceptions are reduced in one aggregate (one
+    shuffle on the id, partial per task) and both counts come from it.
+    Orphan-event ids are not applications, so by default they are not counted;
+    with ``include_orphans`` they count in the numerator only.
     """
-    flagged = exceptions.select("application_id").where(F.col("application_id").isNotNull()).distinct()
-    flagged = flagged.withColumn("_flag", F.lit(1))
-    apps = applications.select("application_id").withColumn("_app", F.lit(1))
-    joined = apps.join(flagged, "application_id", "full_outer")
-    excepted = F.count("_flag") if include_orphans else F.count(F.when(F.col("_app").isNotNull(), F.col("_flag")))
-    agg = joined.agg(F.count("_app").alias("total_applications"), excepted.alias("excepted_applications"))
-    return agg.withColumn(
-        "exception_rate",
-        F.col("excepted_applications").cast("double")
-        / F.nullif(F.col("total_applications"), F.lit(0)).cast("double"),
+    ids = lambda df, app: df.select("application_id", F.lit(app).alias("_app"), F.lit(1 - app).alias("_flag")).where("application_id IS NOT NULL")
+    each = ids(applications, 1).union(ids(exceptions, 0)).groupBy("application_id").agg(F.max("_app").alias("_app"), F.max("_flag").alias("_flag"))
+    excepted = F.sum("_flag") if include_orphans else F.sum(F.col("_flag") * F.col("_app"))
+    agg = each.agg(
+        F.coalesce(F.sum("_app"), F.lit(0)).cast("long").alias("total_applications"),
+        F.coalesce(excepted, F.lit(0)).cast("long").alias("excepted_applications"),
     )
+    return agg.withColumn("exception_rate", safe_ratio(F.col("excepted_applications"), F.col("total_applications")))

@@ -3,25 +3,24 @@
 * Transitions: ONE pass over the lifecycle table; the four transitions are
   an exploded array of structs (an unpivot), not four scans unioned.
 * Breaches: a narrow filter + flag on top, no shuffle.
-* Compliance: one partial aggregate per (recruiter, org, transition) and
-  an exact P90 that never gathers a whole group in one task
-  (``functions.percentile``). A null recruiter is a group of its own.
-* Rollup: every breach row is expanded into its three grouping levels
-  (transition, +org, +org+recruiter) and the same aggregate runs once over
-  the expansion; ``grouping_level`` tells a subtotal from a null key.
+* Compliance: durations are counted in whole microseconds per (recruiter,
+  org, transition) and an exact P90 is selected from the counts digit by
+  digit (``functions.percentile``), so no group meets in one task. A null
+  recruiter is a group of its own.
+* Rollup: the finest counts, added up to the coarser levels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.constants import SLA_PERCENTILE, SLA_TRANSITIONS
-from hirelens.functions.percentile import percentile_cont
+from hirelens.functions.percentile import counted, percentile_of_counts
 from hirelens.functions.ratio import safe_ratio
-from hirelens.plans.materialize import materialize
+from hirelens.functions.time import MICROS_PER_DAY, micros_between
 from hirelens.operators.stages import decision_ts
 
 SLA_COLUMNS = (
@@ -79,88 +78,45 @@ def sla_breaches(transitions: DataFrame) -> DataFrame:
     )
 
 
-def _summary_aggs() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("total_cases"),
-        F.sum(F.col("is_breach").cast("int")).cast("long").alias("breaches"),
-        F.avg("duration_days").alias("avg_duration_days"),
-    ]
-
-
-def _finish(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumn(
-        "compliance_rate", F.lit(1.0) - safe_ratio(F.col("breaches"), F.col("total_cases"))
-    ).select(
-        *keys,
-        "total_cases",
-        "breaches",
-        "compliance_rate",
-        "avg_duration_days",
-        "p90_duration_days",
-    )
+def _counted_durations(breaches: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key and duration in whole microseconds."""
+    rows = breaches.select(*keys, "is_breach", micros_between("start_ts", "end_ts").alias("_micros"))
+    return counted(rows, keys, "_micros", [F.sum(F.col("is_breach").cast("long")).alias("_breaches")])
+
 
+def _summary(counts: DataFrame, keys: list[str], percentile: float) -> DataFrame:
+    micros = F.sum((F.col("_v") * F.col("_n")).cast("decimal(38,0)"))
+    aggs = [F.sum("_n").alias("total_cases"), F.sum("_breaches").alias("breaches"), (micros.cast("double") / F.sum("_n") / MICROS_PER_DAY).alias("avg_duration_days")]
+    out = percentile_of_counts(counts, keys, percentile, "p90_duration_days", MICROS_PER_DAY, aggs)
+    rate = F.lit(1.0) - safe_ratio(F.col("breaches"), F.col("total_cases"))
+    return out.select(*keys, "total_cases", "breaches", rate.alias("compliance_rate"), "avg_duration_days", "p90_duration_days")
 
-def sla_compliance(
-    breaches: DataFrame, percentile: float = SLA_PERCENTILE, breaches_materialized: bool = False
-) -> DataFrame:
+
+def sla_compliance(breaches: DataFrame, percentile: float = SLA_PERCENTILE) -> DataFrame:
     """Cases, breaches, compliance rate, mean and exact interpolated P90
-    duration per recruiter, org and transition. Pass
-    ``breaches_materialized=True`` when ``breaches`` is a scan of a written
-    table (e.g. the breaches mart) so it is not written again."""
+    duration per recruiter, org and transition; ``breaches`` as of
+    ``sla_breaches``. Lazy: nothing runs or is written here."""
     keys = list(COMPLIANCE_KEYS)
-    narrow = breaches.select(*keys, "duration_days", "is_breach")
-    summary = percentile_cont(
-        narrow,
-        keys,
-        "duration_days",
-        percentile,
-        alias="p90_duration_days",
-        extra_aggs=_summary_aggs(),
-        input_materialized=breaches_materialized,
-    )
-    return _finish(summary, keys)
+    return _summary(_counted_durations(breaches, keys), keys, percentile)
 
 
 LEVELS = ("TRANSITION", "ORG", "RECRUITER")
 
 
-def sla_compliance_rollup(
-    breaches: DataFrame, percentile: float = SLA_PERCENTILE, breaches_materialized: bool = False
-) -> DataFrame:
+def sla_compliance_rollup(breaches: DataFrame, percentile: float = SLA_PERCENTILE) -> DataFrame:
     """Compliance at three levels per transition: all recruiters and orgs,
     per org, per org and recruiter (the grouping sets (t), (t, org),
-    (t, org, recruiter)). Percentiles are recomputed from the breach rows
-    at every level (they do not add up).
-
-    The narrow breach rows are materialised once (unless they already are
-    a written table) and expanded into the three levels lazily from there,
-    so only one copy of the rows is ever written."""
-    narrow = breaches.select("transition_name", "org", "recruiter_id", "duration_days", "is_breach")
-    if not breaches_materialized:
-        narrow = materialize(narrow, "rollup_input")
-    null_long = F.lit(None).cast(narrow.schema["recruiter_id"].dataType)
-    null_str = F.lit(None).cast(narrow.schema["org"].dataType)
-    levels = F.array(
-        F.struct(F.lit(LEVELS[0]).alias("lvl"), null_str.alias("o"), null_long.alias("r")),
-        F.struct(F.lit(LEVELS[1]).alias("lvl"), F.col("org").alias("o"), null_long.alias("r")),
-        F.struct(F.lit(LEVELS[2]).alias("lvl"), F.col("org").alias("o"), F.col("recruiter_id").alias("r")),
-    )
-    expanded = narrow.select("transition_name", "duration_days", "is_breach", F.explode(levels).alias("_g")).select(
-        F.col("_g.lvl").alias("grouping_level"),
-        "transition_name",
-        F.col("_g.o").alias("org"),
-        F.col("_g.r").alias("recruiter_id"),
-        "duration_days",
-        "is_breach",
-    )
+    (t, org, recruiter)). ``grouping_level`` tells a subtotal from a null key.
+
+    The breach rows are counted once at the finest level; the other levels
+    add up these counts (a percentile follows from counts, not from finer
+    percentiles)."""
+    fine = _counted_durations(breaches, ["transition_name", "org", "recruiter_id"])
+    no_org, no_recruiter = (F.lit(None).cast(fine.schema[c].dataType) for c in ("org", "recruiter_id"))
+    level = lambda k, o, r: F.struct(F.lit(LEVELS[k]).alias("l"), o.alias("o"), r.alias("r"))
+    levels = F.array(level(0, no_org, no_recruiter), level(1, F.col("org"), no_recruiter), level(2, F.col("org"), F.col("recruiter_id")))
+    each = fine.select("transition_name", "_v", "_n", "_breaches", F.explode(levels).alias("_g"))
     keys = ["grouping_level", "transition_name", "org", "recruiter_id"]
-    summary = percentile_cont(
-        expanded,
-        keys,
-        "duration_days",
-        percentile,
-        alias="p90_duration_days",
-        extra_aggs=_summary_aggs(),
-        input_materialized=True,
-    )
-    return _finish(summary, keys)
+    each = each.select(F.col("_g.l").alias(keys[0]), keys[1], F.col("_g.o").alias(keys[2]), F.col("_g.r").alias(keys[3]), "_v", "_n", "_breaches")
+    counts = each.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), F.sum("_breaches").alias("_breaches"))
+    return _summary(counts, keys, percentile)

@@ -3,13 +3,13 @@
 Plan shape (what makes this hold at scale):
 
 * The events are reduced to one row per application in ONE hash aggregate
-  (seven conditional maxima plus the latest stage via ``max_by``). The
+  (seven conditional maxima plus a packed latest-event key). The
   aggregate runs partially on the map side, so a single application that
   carries a third of all events still shuffles one row per map task.
 * The aggregate output is already hash-partitioned by ``application_id``;
   only the application table is shuffled to meet it.
-* Dimensions are joined narrowly (key + needed columns), broadcast only
-  behind a row-count check, otherwise shuffle-joined with AQE skew splits.
+* Dimensions are joined narrowly (key + needed columns); Spark broadcasts
+  those whose measured size allows it and splits skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -18,18 +18,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.constants import STAGE_COLUMNS, STAGES, TERMINAL_STAGES
-from hirelens.functions.joins import broadcast_if_small
 from hirelens.functions.time import days_between, epoch_micros
 
 EVENT_COLUMNS = ("event_id", "application_id", "stage", "stage_ts", "actor_type")
 
 
+#: places of a packed (time, rank) key: null, a stage outside the domain, then
+#: the domain's stages in pipeline order
+_PLACES = 16
+_NULL, _OTHER = 0, 1
+
+
 def stage_rank(stage: Column | str = "stage") -> Column:
-    """Position of a stage in the pipeline order (1 = APPLIED ... 7 =
-    WITHDRAWN, 0 if unknown). Breaks ties between events that share a
-    timestamp: the later stage in the pipeline wins."""
+    """Place of a stage in the pipeline order. Breaks ties between events that
+    share a time: the later stage in the pipeline wins; a stage outside the
+    domain loses to those in it, a null stage to all."""
     col = F.col(stage) if isinstance(stage, str) else stage
-    return F.array_position(F.array(*[F.lit(s) for s in STAGES]), col).cast("int")
+    known = F.array_position(F.array(*[F.lit(s) for s in STAGES]), col)
+    return F.when(col.isNull(), _NULL).when(known == 0, _OTHER).otherwise(known + 1).cast("int")
 
 
 def promote_events(stage_events_raw: DataFrame, applications: DataFrame) -> DataFrame:
@@ -43,48 +49,55 @@ def promote_events(stage_events_raw: DataFrame, applications: DataFrame) -> Data
     ).select(*EVENT_COLUMNS)
 
 
-def _packed_latest(ts: Column, rank: Column) -> Column:
-    """(time, stage rank) packed into one long, ordered like the pair.
+def _packed_latest() -> Column:
+    """Maximum of (time, stage rank) packed into one long, ordered like the
+    pair. A plain ``max`` over it finds the latest event with the pipeline
+    tie-break, and keeps the aggregation buffer fixed-width, so Spark plans a
+    code-generated hash aggregate with map-side partial aggregation
+    (``max_by`` over a struct would force a sort-based aggregate). An event
+    without a time is never the latest."""
+    return F.max(epoch_micros("stage_ts") * _PLACES + stage_rank("stage").cast("long")).alias("_latest")
 
-    Microseconds since the epoch times 8 plus the rank (0..7): a plain
-    ``max`` over it finds the latest event with the pipeline tie-break, and
-    keeps the aggregation buffer fixed-width, so Spark plans a code-generated
-    hash aggregate with map-side partial aggregation (``max_by`` over a
-    struct would force a sort-based aggregate)."""
-    return epoch_micros(ts) * 8 + rank.cast("long")
 
-
-def _unpack_stage(packed: Column) -> Column:
-    """Stage name of a packed key; null when there is no event (guarded
-    explicitly: ``element_at`` must never see a null position)."""
-    # ``get`` is 0-based and yields null out of bounds, so rank 0 (a stage
-    # outside the domain, reported by the domain audit) gives null instead
-    # of an ANSI index error.
-    stage = F.get(F.array(*[F.lit(s) for s in STAGES]), F.pmod(packed, F.lit(8)).cast("int") - 1)
-    return F.when(packed.isNotNull(), stage)
+def _other_stages(stage_events: DataFrame) -> DataFrame:
+    """Names outside the domain by (application, time): the packed key has no
+    room for a name. Empty on clean data; the smallest name wins a tie."""
+    odd = stage_events.where(F.col("stage").isNotNull() & ~F.col("stage").isin(*STAGES) & F.col("stage_ts").isNotNull())
+    names = odd.groupBy("application_id", F.col("stage_ts").alias("_other_ts")).agg(F.array_min(F.collect_set("stage")).alias("_other"))
+    return names.withColumnRenamed("application_id", "_other_id")
 
 
 def _latest_aggs() -> list[Column]:
-    return [
-        F.max(_packed_latest(F.col("stage_ts"), stage_rank("stage"))).alias("_latest"),
-        F.max(F.col("stage_ts")).alias("latest_stage_ts"),
-    ]
+    # the greatest time is the winner's time: no event with a time is left out
+    return [_packed_latest(), F.max("stage_ts").alias("latest_stage_ts")]
 
 
-def _finish_latest(df: DataFrame) -> DataFrame:
-    return df.withColumn("latest_stage", _unpack_stage(F.col("_latest"))).drop("_latest")
+def _with_other(df: DataFrame, stage_events: DataFrame) -> DataFrame:
+    """``df`` (application_id, _latest, latest_stage_ts) with ``_other``: the
+    winner's name if that is outside the domain."""
+    odd = (F.pmod("_latest", F.lit(_PLACES)) == _OTHER) & (F.col("application_id") == F.col("_other_id")) & (F.col("latest_stage_ts") == F.col("_other_ts"))
+    return df.join(_other_stages(stage_events), odd, "left").drop("_other_id", "_other_ts")
+
+
+def _latest_name() -> Column:
+    """Stage name of the winning event; null if it has none, or there is none."""
+    place = F.pmod("_latest", F.lit(_PLACES)).cast("int")
+    known = F.get(F.array(*[F.lit(s) for s in STAGES]), place - 2)
+    return F.when(place == _OTHER, F.col("_other")).when(place > _OTHER, known)
 
 
 def latest_stage(stage_events: DataFrame) -> DataFrame:
     """Last event per application: (application_id, latest_stage,
-    latest_stage_ts). Ordered by time, then by pipeline rank on ties.
+    latest_stage_ts). Ordered by time, then by pipeline rank on ties. A last
+    event without a stage gives a null stage, one outside the domain its own
+    text.
 
     A grouped max over a packed (time, rank) key instead of a ranked
     window: it aggregates partially before the shuffle, so hot
     applications do not pile up in a single task.
     """
     agg = stage_events.groupBy("application_id").agg(*_latest_aggs())
-    return _finish_latest(agg).select("application_id", "latest_stage", "latest_stage_ts")
+    return _with_other(agg, stage_events).select("application_id", _latest_name().alias("latest_stage"), "latest_stage_ts")
 
 
 def _pivot_aggs() -> list[Column]:
@@ -93,12 +106,6 @@ def _pivot_aggs() -> list[Column]:
     ] + _latest_aggs()
 
 
-def stage_pivot(stage_events: DataFrame) -> DataFrame:
-    """One row per application with the latest time of each stage plus the
-    latest stage overall, in a single aggregation."""
-    return _finish_latest(stage_events.groupBy("application_id").agg(*_pivot_aggs()))
-
-
 def terminal_stage(latest: Column | str = "latest_stage") -> Column:
     col = F.col(latest) if isinstance(latest, str) else latest
     return F.when(col.isin(*TERMINAL_STAGES), col).otherwise(F.lit(None).cast("string"))
@@ -153,7 +160,6 @@ def lifecycle(
     stage_events: DataFrame,
     candidates: DataFrame | None,
     requisitions: DataFrame | None,
-    broadcast_max_rows: int = 0,
 ) -> DataFrame:
     """One row per application: dimensions, seven stage times, latest and
     terminal stage and five durations.
@@ -162,12 +168,10 @@ def lifecycle(
     application table). Events are aggregated before the join, which is
     equivalent to joining first because every dimension is 1:1 by key.
 
-    Dimension joins: by default Spark picks the strategy from statistics,
-    and AQE turns a shuffle join into a broadcast join only when the
-    measured shuffle output of the dimension is below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``. With
-    ``broadcast_max_rows > 0`` each dimension is also counted (bounded
-    LIMIT scan) and hinted for broadcast when within the bound.
+    Dimension joins: Spark picks the strategy from statistics, and AQE turns
+    a shuffle join into a broadcast join only when the measured shuffle output
+    of the dimension is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 
     Pass ``None`` for a dimension a consumer does not need (the exception
     rules need neither; the SLA chain needs only the requisition's org): its
@@ -180,17 +184,15 @@ def lifecycle(
     base = applications.select("application_id", "candidate_id", "req_id", "recruiter_id")
     skipped: set[str] = set()
     if requisitions is not None:
-        reqs = broadcast_if_small(requisitions.select("req_id", "org", "job_family"), broadcast_max_rows)
-        base = base.join(reqs, "req_id", "left")
+        base = base.join(requisitions.select("req_id", "org", "job_family"), "req_id", "left")
     else:
         skipped |= {"org", "job_family"}
     if candidates is not None:
-        cands = broadcast_if_small(candidates.select("candidate_id", "source"), broadcast_max_rows)
-        base = base.join(cands, "candidate_id", "left")
+        base = base.join(candidates.select("candidate_id", "source"), "candidate_id", "left")
     else:
         skipped.add("source")
-    base = base.join(pivot, "application_id", "left")
-    latest = _unpack_stage(F.col("_latest"))
+    base = base.join(_with_other(pivot, stage_events), "application_id", "left")
+    latest = _latest_name()
     derived = {"latest_stage": latest, "terminal_stage": terminal_stage(latest), **duration_columns()}
     return base.select(
         *[derived[c].alias(c) if c in derived else F.col(c) for c in LIFECYCLE_COLUMNS if c not in skipped]

@@ -1 +1 @@
-"""Multi-step plans: mart builds and lineage cuts."""
+"""Multi-step plans: load, marts, views, publication."""

@@ -1,61 +1,47 @@
-"""The load step: audit, promote raw events, store all seven tables.
+"""The load step: store the tables, promote raw events, audit what is stored.
 
-Mirrors a warehouse load: the input tables are written once (overwrite,
-one directory per table) and every report reads the stored tables, instead
-of re-deriving its inputs per query. Promotion of raw events into the
-FK-clean event table happens here, as part of the load.
+The input tables are written once (one directory per table) and every report
+reads the stored tables instead of deriving its inputs again. Promotion of raw
+events into the FK-clean event table happens here. The audits read the stored
+tables; their violations are stored as a table of their own, or raise, and a
+load becomes visible only when its run is published (``plans.publish``).
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from hirelens.model import HiringTables
+from hirelens.operators.constraints import ConstraintViolation, audit_constraints, violation_counts
 from hirelens.operators.stages import promote_events
+from hirelens.sources.files import INPUT_TABLES
 from hirelens.sources.sinks import write_table
 
-LOAD_ORDER = (
-    "candidates",
-    "requisitions",
-    "applications",
-    "stage_events_raw",
-    "stage_events",
-    "offers",
-    "hires",
-)
+VIOLATIONS = "constraint_violations"
+MODES = ("off", "audit", "enforce")
 
 
-def load_tables(tables: HiringTables, out_dir: str, enforce: bool = False, fmt: str = "parquet") -> HiringTables:
+def load_tables(tables: HiringTables, out_dir: str, mode: str = "off") -> HiringTables:
     """Write the seven tables under ``out_dir`` and return them read back.
 
-    With ``enforce`` every declared constraint is audited first and a
-    violation raises before anything is written. Event tables are sorted by
-    application within files, which gives tight min/max statistics for the
-    per-application lookups of the reports.
-    """
-    if enforce:
-        from hirelens.operators.constraints import enforce_constraints
-
-        enforce_constraints(tables.as_dict())
-    frames = {
-        "candidates": tables.candidates,
-        "requisitions": tables.requisitions,
-        "applications": tables.applications,
-        "stage_events_raw": tables.stage_events_raw,
-        "offers": tables.offers,
-        "hires": tables.hires,
-    }
+    ``mode="audit"`` writes the violations of the declared constraints to
+    ``out_dir/constraint_violations``; ``"enforce"`` raises
+    ``ConstraintViolation`` if there are any (and has written them there)."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}")
     spark = tables.applications.sparkSession
     base = out_dir.rstrip("/")
-    sort = {"stage_events_raw": ("application_id",), "stage_events": ("application_id",)}
-    stored = {}
 
     def store(name, df):
-        write_table(df, f"{base}/{name}", fmt, sort.get(name, ()))
-        stored[name] = spark.read.schema(df.schema).format(fmt).load(f"{base}/{name}")
-
-    for name in ("candidates", "requisitions", "applications", "stage_events_raw"):
-        store(name, frames[name])
-    # Promotion reads the stored raw events and applications, not their lineage.
-    store("stage_events", promote_events(stored["stage_events_raw"], stored["applications"]))
-    for name in ("offers", "hires"):
-        store(name, frames[name])
-    return HiringTables(**stored)
+        write_table(df, f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    stored = HiringTables(**{name: store(name, getattr(tables, name)) for name in INPUT_TABLES})
+    # promotion reads the stored raw events and applications, not their lineage
+    stored = replace(stored, stage_events=store("stage_events", promote_events(stored.stage_events_raw, stored.applications)))
+    if mode != "off":
+        violations = store(VIOLATIONS, audit_constraints(stored.as_dict()))
+        found = violation_counts(violations) if mode == "enforce" else {}
+        if found:
+            raise ConstraintViolation(found)
+    return stored

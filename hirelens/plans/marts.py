@@ -11,11 +11,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from hirelens.model import HiringTables
 from hirelens.operators.stages import LIFECYCLE_COLUMNS, lifecycle
 from hirelens.operators.rules import data_exceptions
 from hirelens.operators.sla import sla_breaches, sla_compliance, sla_transitions
+from hirelens.sources.files import read_csv
 from hirelens.sources.sinks import write_table
 
 MART_LIFECYCLE = "mart_application_lifecycle"
@@ -47,15 +49,6 @@ COMPLIANCE_MART_COLUMNS = (
     "p90_duration_days",
 )
 
-# Within-file sort order of each mart: the columns BI readers filter on.
-MART_SORT = {
-    MART_LIFECYCLE: ("org", "recruiter_id"),
-    MART_EXCEPTIONS: ("exception_type", "application_id"),
-    MART_SLA_BREACHES: ("org", "recruiter_id"),
-    MART_SLA_COMPLIANCE: ("org", "recruiter_id"),
-}
-
-
 @dataclass(frozen=True)
 class MartPaths:
     lifecycle: str
@@ -72,16 +65,41 @@ class MartPaths:
         }
 
 
-def read_mart(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Read a written mart; with a known ``schema`` no inference job runs."""
-    reader = spark.read.format(fmt)
+def mart_schemas(id_type: str = "string") -> dict[str, T.StructType]:
+    """Declared schema of each mart; ids as in the loaded tables."""
+    ids = "bigint" if id_type == "long" else "string"
+    kinds = {"application_id": ids, "candidate_id": ids, "req_id": ids, "recruiter_id": ids, "sla_days": "int", "is_breach": "boolean",
+             "total_cases": "bigint", "breaches": "bigint", "compliance_rate": "double", "total_time_to_hire": "double", "detected_ts": "timestamp"}
+
+    def kind(c: str) -> str:
+        if c in kinds:
+            return kinds[c]
+        if c.endswith("_ts"):
+            return "timestamp_ntz"
+        return "double" if c.startswith("days_") or c.endswith("_days") else "string"
+
+    columns = {
+        MART_LIFECYCLE: LIFECYCLE_MART_COLUMNS,
+        MART_EXCEPTIONS: EXCEPTION_MART_COLUMNS,
+        MART_SLA_BREACHES: BREACH_MART_COLUMNS,
+        MART_SLA_COMPLIANCE: COMPLIANCE_MART_COLUMNS,
+    }
+    return {name: T.StructType.fromDDL(", ".join(f"{c} {kind(c)}" for c in cs)) for name, cs in columns.items()}
+
+
+def read_mart(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """Read a written mart; CSV carries no types, so it needs ``schema``."""
     if fmt == "csv":
-        reader = reader.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif fmt == "csv":
-        reader = reader.option("inferSchema", True)
-    return reader.load(path)
+        if schema is None:
+            raise ValueError("a CSV mart is read with its declared schema (mart_schemas)")
+        return read_csv(spark, path, schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.format(fmt).load(path)
+
+
+def mart_paths(base: str) -> MartPaths:
+    b = base.rstrip("/")
+    return MartPaths(f"{b}/{MART_LIFECYCLE}", f"{b}/{MART_EXCEPTIONS}", f"{b}/{MART_SLA_BREACHES}", f"{b}/{MART_SLA_COMPLIANCE}")
 
 
 def build_marts(
@@ -90,39 +108,26 @@ def build_marts(
     detected_ts: Column | None = None,
     duplicate_mode: str = "reference",
     fmt: str = "parquet",
-    enforce: bool = False,
 ) -> MartPaths:
     """Write the four marts under ``out_dir`` (overwriting) and return
-    their paths. With ``enforce`` every declared constraint is audited
-    first and a violation raises before anything is written (the
-    all-or-nothing load contract)."""
+    their paths. ``out_dir`` is a run's own directory; ``plans.publish`` makes
+    a finished run visible."""
     t = tables.with_promoted_events()
-    if enforce:
-        from hirelens.operators.constraints import enforce_constraints
-
-        enforce_constraints(t.as_dict())
     spark = t.applications.sparkSession
-    base = out_dir.rstrip("/")
-    paths = MartPaths(
-        lifecycle=f"{base}/{MART_LIFECYCLE}",
-        exceptions=f"{base}/{MART_EXCEPTIONS}",
-        sla_breaches=f"{base}/{MART_SLA_BREACHES}",
-        sla_compliance=f"{base}/{MART_SLA_COMPLIANCE}",
-    )
+    paths = mart_paths(out_dir)
 
     life = lifecycle(t.applications, t.stage_events, t.candidates, t.requisitions).select(*LIFECYCLE_MART_COLUMNS)
-    write_table(life, paths.lifecycle, fmt, MART_SORT[MART_LIFECYCLE])
+    write_table(life, paths.lifecycle, fmt)
     life_mart = read_mart(spark, paths.lifecycle, fmt, schema=life.schema)
 
     exc = data_exceptions(
         t.stage_events_raw, t.applications, life_mart, t.offers, detected_ts, duplicate_mode=duplicate_mode
     )
-    write_table(exc.select(*EXCEPTION_MART_COLUMNS), paths.exceptions, fmt, MART_SORT[MART_EXCEPTIONS])
+    write_table(exc.select(*EXCEPTION_MART_COLUMNS), paths.exceptions, fmt)
 
     breaches = sla_breaches(sla_transitions(life_mart)).select(*BREACH_MART_COLUMNS)
-    write_table(breaches, paths.sla_breaches, fmt, MART_SORT[MART_SLA_BREACHES])
+    write_table(breaches, paths.sla_breaches, fmt)
     breach_mart = read_mart(spark, paths.sla_breaches, fmt, schema=breaches.schema)
 
-    summary = sla_compliance(breach_mart, breaches_materialized=True)
-    write_table(summary.select(*COMPLIANCE_MART_COLUMNS), paths.sla_compliance, fmt, MART_SORT[MART_SLA_COMPLIANCE])
+    write_table(sla_compliance(breach_mart).select(*COMPLIANCE_MART_COLUMNS), paths.sla_compliance, fmt)
     return paths

@@ -1,10 +1,12 @@
-"""Command-line job: load the exports, audit, build the marts.
+"""Command-line job: load the exports, audit them, build the marts, publish.
 
     spark-submit -m hirelens.plans.run_marts --input s3://.../exports --format csv \\
-        --out s3://.../marts [--enforce] [--duplicate-mode symmetric]
+        --out s3://.../marts [--constraints enforce] [--duplicate-mode symmetric]
 
-The session comes from the launcher (``spark-submit`` decides master and
-resources); only SQL settings that the library relies on are set, and only
+Everything is written below ``--out``/_runs/<run id>; the run is published when
+all of it is there (``plans.publish``), so a failure leaves the earlier marts
+readable. The session comes from the launcher (``spark-submit`` decides master
+and resources); only SQL settings that the library relies on are set, and only
 when the launcher left them unset.
 """
 
@@ -15,8 +17,9 @@ import json
 
 from pyspark.sql import SparkSession
 
-from hirelens.plans.marts import MartPaths, build_marts
-from hirelens.session import ensure_checkpoint_dir
+from hirelens.plans.load import MODES, load_tables
+from hirelens.plans.marts import MartPaths, build_marts, mart_paths
+from hirelens.plans.publish import current_run, delete_dir, new_run, publish
 from hirelens.sources.files import read_hiring_tables
 
 SQL_DEFAULTS = {
@@ -32,16 +35,31 @@ def run(
     out_dir: str,
     fmt: str = "csv",
     id_type: str = "string",
-    enforce: bool = False,
+    constraints: str = "audit",
     duplicate_mode: str = "reference",
     out_format: str = "parquet",
+    multi_line: bool = False,
 ) -> MartPaths:
+    """Load, audit, build and publish; the paths of the published marts."""
     for key, value in SQL_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
-    tables = read_hiring_tables(spark, input_dir, fmt=fmt, id_type=id_type)
-    return build_marts(tables, out_dir, duplicate_mode=duplicate_mode, fmt=out_format, enforce=enforce)
+    run_id, run_dir = new_run(out_dir)
+    try:
+        exports = read_hiring_tables(spark, input_dir, fmt=fmt, id_type=id_type, multi_line=multi_line)
+        tables = load_tables(exports, f"{run_dir}/tables", constraints)
+        paths = build_marts(tables, f"{run_dir}/marts", duplicate_mode=duplicate_mode, fmt=out_format)
+    except Exception:
+        delete_dir(spark, run_dir)
+        raise
+    publish(spark, out_dir, run_id)
+    return paths
+
+
+def published_marts(spark: SparkSession, out_dir: str) -> MartPaths | None:
+    """The marts of the run that ``out_dir`` currently shows."""
+    run_dir = current_run(spark, out_dir)
+    return mart_paths(f"{run_dir}/marts") if run_dir else None
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -49,13 +67,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--input", required=True, help="directory with <table>.csv or <table>.parquet")
     p.add_argument("--out", required=True, help="output directory for the marts")
     p.add_argument("--format", default="csv", choices=("csv", "parquet"))
+    p.add_argument("--multi-line", action="store_true", help="quoted CSV fields may hold line breaks")
     p.add_argument("--out-format", default="parquet", choices=("csv", "parquet"))
     p.add_argument("--id-type", default="string", choices=("string", "long"))
-    p.add_argument("--enforce", action="store_true", help="fail before writing if a constraint is violated")
+    p.add_argument("--constraints", default="audit", choices=MODES, help="write the violations, or fail if there are any")
     p.add_argument("--duplicate-mode", default="reference", choices=("reference", "symmetric"))
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("hirelens-marts").getOrCreate()
-    paths = run(spark, a.input, a.out, a.format, a.id_type, a.enforce, a.duplicate_mode, a.out_format)
+    paths = run(spark, a.input, a.out, a.format, a.id_type, a.constraints, a.duplicate_mode, a.out_format, a.multi_line)
     print(json.dumps(paths.as_dict()))
 
 

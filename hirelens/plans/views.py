@@ -21,7 +21,7 @@ from hirelens.operators.funnel import funnel_metrics
 from hirelens.operators.rules import data_exceptions
 from hirelens.operators.sla import sla_breaches, sla_compliance, sla_transitions
 from hirelens.operators.stages import latest_stage, lifecycle
-from hirelens.plans.marts import MartPaths, read_mart
+from hirelens.plans.marts import MartPaths, mart_schemas, read_mart
 
 # The view names reporting SQL refers to.
 VIEW_LATEST_STAGE = "v_application_latest_stage"
@@ -44,26 +44,23 @@ def reporting_views(tables: HiringTables, detected_ts: Column | None = None) ->
         VIEW_EXCEPTIONS: data_exceptions(t.stage_events_raw, t.applications, life, t.offers, detected_ts),
         VIEW_SLA_TRANSITIONS: sla_transitions(life),
         VIEW_SLA_BREACHES: breaches,
+        VIEW_SLA_SUMMARY: sla_compliance(breaches),
     }
 
 
-def register_reporting_views(tables: HiringTables, detected_ts: Column | None = None, with_summary: bool = True) -> list[str]:
-    """Register the input tables and the reporting views as temp views.
-
-    The compliance summary needs its input materialised for the exact
-    percentile, so it is computed (and registered) only with
-    ``with_summary``."""
+def register_reporting_views(tables: HiringTables, detected_ts: Column | None = None) -> list[str]:
+    """Register the input tables and the reporting views as temp views; each
+    is computed anew whenever it is read."""
     tables.register_views()
     views = reporting_views(tables, detected_ts)
-    if with_summary:
-        views[VIEW_SLA_SUMMARY] = sla_compliance(views[VIEW_SLA_BREACHES])
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return sorted(views)
 
 
-def register_mart_views(spark: SparkSession, paths: MartPaths, fmt: str = "parquet") -> list[str]:
+def register_mart_views(spark: SparkSession, paths: MartPaths, fmt: str = "parquet", id_type: str = "string") -> list[str]:
     """Expose written marts as temp views named like the mart tables."""
+    schemas = mart_schemas(id_type) if fmt == "csv" else {}
     for name, path in paths.as_dict().items():
-        read_mart(spark, path, fmt).createOrReplaceTempView(name)
+        read_mart(spark, path, fmt, schemas.get(name)).createOrReplaceTempView(name)
     return sorted(paths.as_dict())

@@ -6,7 +6,7 @@ type, and ``id_type`` switches the declared schemas to ``long``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -94,7 +94,7 @@ class TableSpec:
     domains: tuple[tuple[str, tuple[str, ...]], ...] = ()
     max_length: tuple[tuple[str, int], ...] = ()
     ranges: tuple[tuple[str, int, int], ...] = ()
-    checks: tuple[str, ...] = field(default_factory=tuple)
+    date_orders: tuple[tuple[str, str], ...] = ()  # (earlier, later)
 
 
 _EVENT_COLS = ("event_id", "application_id", "stage", "stage_ts", "actor_type")
@@ -113,7 +113,7 @@ SPECS: dict[str, TableSpec] = {
         not_null=("req_id", "org", "job_family", "level", "open_date"),
         domains=(("level", LEVELS),),
         max_length=(("org", 100), ("job_family", 100), ("level", 10)),
-        checks=("close_after_open",),
+        date_orders=(("open_date", "close_date"),),
     ),
     "applications": TableSpec(
         name="applications",

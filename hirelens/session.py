@@ -44,17 +44,12 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Directory on storage that every executor can reach.
-
-    Uses ``spark.checkpoint.dir`` when the cluster names one, otherwise the
-    SQL warehouse directory (also shared storage on a cluster). Never a
-    machine-local temporary folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    """The directory that ``spark.checkpoint.dir`` names: storage that every
+    executor and the driver reach. There is no other choice to fall back on: a
+    machine-local folder would lose what another machine wrote."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = spark.conf.get("spark.sql.warehouse.dir")
+        raise RuntimeError("set spark.checkpoint.dir to a directory that all machines share")
     return path.rstrip("/")
 
 
@@ -62,24 +57,11 @@ def set_checkpoint_dir_if_unset(spark: SparkSession, path: str) -> str:
     """Use ``path`` for checkpoints only when the session names no shared
     checkpoint directory itself (tests, local benchmarks); a configured
     ``spark.checkpoint.dir`` always wins."""
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
-        return shared_dir(spark)
-    spark.sparkContext.setCheckpointDir(path)
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
     return shared_dir(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; keeps a configured directory."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = spark.conf.get("spark.checkpoint.dir", None) or (
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    )
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def new_run_dir(spark: SparkSession, kind: str) -> str:
     """Fresh sub-directory of the shared directory for one materialisation."""
     return f"{shared_dir(spark)}/hirelens/{kind}/{uuid.uuid4().hex}"

@@ -1,14 +1,21 @@
 """Bind the driver's TPC-H-shaped parquet tables to the hiring data model.
 
 Integer arithmetic only, so an independent SQL engine derives identical
-rows (the oracle in ``duckdb_oracle.py`` spells out the same mapping):
+rows (the oracle in ``duckdb_oracle.py`` spells out the same mapping). Every
+row of every table is used:
 
 * candidates   <- customer joined with nation
-* requisitions <- part (req_id = p_partkey)
-* applications <- orders; 1 % of orders (o_orderkey % 100 = 7) are left
-  out so their line items become orphan stage events
-* stage_events_raw <- lineitem joined with orders, line number 1..7 -> stage
-* offers / hires   <- OFFER / HIRED events whose application exists
+* requisitions <- part
+* applications <- orders
+* stage_events_raw <- lineitem joined with orders, line number 1..7 -> stage;
+  one line in 97 points at an application that doesn't exist (its order key
+  negated) and so is an orphan
+* offers / hires   <- the OFFER / HIRED lines, orphans included
+
+Some columns are bound so that the declared constraints have violations to
+find: negative years of experience, levels and lengths outside their domain,
+requisitions closed before they open, offer ids that repeat, offers without a
+band or an application.
 """
 
 from __future__ import annotations
@@ -21,10 +28,8 @@ from hirelens.model import HiringTables
 
 # Fixed values of the binding.
 BASE_DATE = "1995-01-01 00:00:00"
-CLOSE_DATE = "2001-12-31 00:00:00"
-N_REQUISITIONS_USED = 120
 N_RECRUITERS = 35
-DROPPED_ORDER_REMAINDER = 7  # o_orderkey % 100 == 7 has no application
+ORPHAN_EVERY = 97  # (l_orderkey * 7 + l_linenumber) % 97 == 0: no such application
 OFFER_DECISION = {"A": "ACCEPTED", "R": "DECLINED", "N": "EXPIRED"}
 ACTOR_BY_FLAG = {"A": "Recruiter", "N": "System", "R": "Candidate"}
 
@@ -50,19 +55,6 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_if_undersplit(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its files yield
-    fewer input splits than cores (e.g. one large row group). Large inputs
-    are split by the scan already and pass through untouched, so this
-    never adds a shuffle at scale; round-robin keeps it skew-free."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
     """Hiring tables derived from the driver parquet under ``sf_dir``."""
     customer = read_driver_table(spark, sf_dir, "customer")
@@ -78,7 +70,7 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
         _ntz(BASE_DATE).alias("created_at"),
         F.col("c_mktsegment").alias("source"),
         F.col("n_name").alias("location"),
-        (F.col("c_custkey") % 51).cast("int").alias("years_experience"),
+        F.floor(F.col("c_acctbal") / 200).cast("int").alias("years_experience"),
         F.substring(F.sha2(F.col("c_name"), 256), 1, 16).alias("email_hash"),
     )
 
@@ -86,64 +78,52 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
         F.col("p_partkey").alias("req_id"),
         F.col("p_type").alias("org"),
         F.col("p_brand").alias("job_family"),
-        F.concat(F.lit("IC"), (F.lit(1) + F.col("p_size") % 5).cast("string")).alias("level"),
-        _ntz(BASE_DATE).alias("open_date"),
+        F.concat(F.lit("IC"), F.repeat((F.lit(1) + F.col("p_size") % 6).cast("string"), F.when(F.col("p_size") == 50, 9).otherwise(1))).alias("level"),
+        (_ntz(BASE_DATE) + F.make_dt_interval((F.col("p_partkey") % 1000).cast("int"))).alias("open_date"),
         F.when(F.col("p_partkey") % 5 == 0, F.lit(None).cast("timestamp_ntz"))
-        .otherwise(_ntz(CLOSE_DATE))
+        .otherwise(_ntz(BASE_DATE) + F.make_dt_interval(F.floor(F.col("p_retailprice") - 100).cast("int")))
         .alias("close_date"),
     )
 
-    applications = orders.where(F.col("o_orderkey") % 100 != DROPPED_ORDER_REMAINDER).select(
+    applications = orders.select(
         F.col("o_orderkey").alias("application_id"),
         F.col("o_custkey").alias("candidate_id"),
-        ((F.col("o_custkey") * 7 + F.col("o_orderkey") % 4) % N_REQUISITIONS_USED).alias("req_id"),
+        (F.col("o_custkey") + F.col("o_orderkey") % 4).alias("req_id"),
         F.col("o_orderdate").alias("apply_ts"),
         F.when(F.col("o_orderkey") % N_RECRUITERS == 0, F.lit(None).cast("long"))
         .otherwise(F.col("o_orderkey") % N_RECRUITERS)
         .alias("recruiter_id"),
     )
 
+    # One pass over the lines gives the events, and with them the attributes
+    # that offers and hires need.
     orders_dates = orders.select("o_orderkey", "o_orderdate")
-
-    def events_of(lines: DataFrame) -> DataFrame:
-        """Stage events (plus the line attributes offers and hires need)."""
-        hours = (
-            F.lit(96) * (F.least(F.col("l_linenumber"), F.lit(5)) - 1)
-            + F.col("l_quantity").cast("int")
-            - F.when(F.col("l_discount") >= F.lit(0.09), F.lit(240)).otherwise(F.lit(0))
-        ).cast("int")
-        stage_names = F.array(*[F.lit(s) for s in STAGES])
-        return lines.join(orders_dates, lines.l_orderkey == orders_dates.o_orderkey, "inner").select(
-            F.concat_ws(
-                "-",
-                F.col("l_orderkey").cast("string"),
-                F.col("l_linenumber").cast("string"),
-                F.col("l_partkey").cast("string"),
-                F.col("l_suppkey").cast("string"),
-                _yyyymmdd(F.col("l_shipdate")),
-            ).alias("event_id"),
-            F.col("l_orderkey").alias("application_id"),
-            F.get(stage_names, F.col("l_linenumber") - 1).alias("stage"),
-            F.timestamp_add("HOUR", hours, F.col("o_orderdate")).alias("stage_ts"),
-            _case(F.col("l_returnflag"), ACTOR_BY_FLAG).alias("actor_type"),
-            "l_suppkey",
-            "l_partkey",
-            "l_returnflag",
-        )
-
-    stage_events_raw = events_of(spread_if_undersplit(lineitem)).select(
-        "event_id", "application_id", "stage", "stage_ts", "actor_type"
-    )
-
-    # Offers and hires are the OFFER (line 4) and HIRED (line 5) lines only:
-    # filtering on the line number lets the predicate reach the scan.
-    app_ids = applications.select("application_id")
-    offer_lines = events_of(lineitem.where(F.col("l_linenumber") == STAGES.index("OFFER") + 1))
-    hire_lines = events_of(
-        lineitem.where((F.col("l_linenumber") == STAGES.index("HIRED") + 1) & (F.col("l_returnflag") == "A"))
+    hours = (
+        F.lit(96) * (F.least(F.col("l_linenumber"), F.lit(5)) - 1)
+        + F.col("l_quantity").cast("int")
+        - F.when(F.col("l_discount") >= F.lit(0.09), F.lit(240)).otherwise(F.lit(0))
+    ).cast("int")
+    orphan = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % ORPHAN_EVERY == 0
+    events = lineitem.join(orders_dates, lineitem.l_orderkey == orders_dates.o_orderkey, "inner").select(
+        F.concat_ws(
+            "-",
+            F.col("l_orderkey").cast("string"),
+            F.col("l_linenumber").cast("string"),
+            F.col("l_partkey").cast("string"),
+            F.col("l_suppkey").cast("string"),
+            _yyyymmdd(F.col("l_shipdate")),
+        ).alias("event_id"),
+        F.when(orphan, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("application_id"),
+        F.get(F.array(*[F.lit(s) for s in STAGES]), F.col("l_linenumber") - 1).alias("stage"),
+        F.timestamp_add("HOUR", hours, F.col("o_orderdate")).alias("stage_ts"),
+        _case(F.col("l_returnflag"), ACTOR_BY_FLAG).alias("actor_type"),
+        "l_suppkey",
+        "l_partkey",
+        "l_returnflag",
     )
-    offers = offer_lines.join(app_ids, "application_id", "left_semi").select(
-        F.col("event_id").alias("offer_id"),
+    stage_events_raw = events.select("event_id", "application_id", "stage", "stage_ts", "actor_type")
+    offers = events.where(F.col("stage") == "OFFER").select(
+        F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_returnflag")).alias("offer_id"),
         "application_id",
         F.when(
             F.col("l_suppkey") % 10 == 0,
@@ -152,17 +132,13 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
         .otherwise(F.col("stage_ts"))
         .alias("offer_ts"),
         _case(F.col("l_returnflag"), OFFER_DECISION).alias("decision"),
-        F.get(F.array(F.lit("A"), F.lit("B"), F.lit("C")), F.pmod(F.col("l_partkey"), F.lit(3)).cast("int")).alias(
-            "comp_band"
-        ),
+        F.when(F.col("l_partkey") % 31 != 30, F.get(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("l_partkey") % 3).cast("int"))).alias("comp_band"),
     )
-    hires = hire_lines.join(app_ids, "application_id", "left_semi").select(
+    hires = events.where((F.col("stage") == "HIRED") & (F.col("l_returnflag") == "A")).select(
         F.col("event_id").alias("hire_id"),
         "application_id",
         F.col("stage_ts").alias("hired_ts"),
-        F.date_add(F.to_date(F.col("stage_ts")), (F.lit(14) + F.col("l_suppkey") % 32).cast("int")).alias(
-            "start_date"
-        ),
+        F.date_add(F.to_date(F.col("stage_ts")), (F.lit(14) + F.col("l_suppkey") % 32).cast("int")).alias("start_date"),
     )
 
     return HiringTables(

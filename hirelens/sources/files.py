@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens.model import HiringTables
 from hirelens.schemas import table_schema
+from hirelens.sources.sinks import CSV_DIALECT
 
 ID_COLUMNS = {
     "candidates": ("candidate_id",),
@@ -26,26 +28,29 @@ def _normalise_ids(df: DataFrame, name: str) -> DataFrame:
     return df.withColumns(cols) if cols else df
 
 
-def read_csv_table(spark: SparkSession, path: str, name: str, id_type: str = "string") -> DataFrame:
-    """One CSV export with a header row, read against the declared schema.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row against a declared schema, in the dialect of a
+    database load: a doubled quote inside a quoted field is one quote, a
+    backslash is an ordinary character, an unquoted empty field is null and a
+    quoted empty string stays an empty string (the null marker is a character
+    that never occurs in text).
 
     ``FAILFAST`` makes a malformed value (e.g. an unparsable timestamp) fail
     the read instead of silently becoming null, and ``enforceSchema=False``
-    checks the header against the declared column names. As in a database
-    CSV load, an unquoted empty field is null while a quoted empty string
-    ``""`` stays an empty string (the null marker is set to a character that
-    never occurs in text, so only truly empty fields map to null). Date-only
-    text is accepted for timestamp columns.
-    """
-    df = (
-        spark.read.schema(table_schema(name, id_type))
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
-        .option("nullValue", "\u0000")
+    checks the header against the declared names. Date-only text is accepted
+    for timestamp columns. ``multi_line`` allows line breaks in quoted fields;
+    a file is then read by one task, so leave it off for exports that have
+    none."""
+    return (
+        spark.read.schema(schema)
+        .options(**CSV_DIALECT, mode="FAILFAST", enforceSchema=False, nullValue="\u0000", multiLine=multi_line)
         .csv(path)
     )
-    return _normalise_ids(df, name)
+
+
+def read_csv_table(spark: SparkSession, path: str, name: str, id_type: str = "string", multi_line: bool = False) -> DataFrame:
+    """One CSV export of a hiring table, see ``read_csv``."""
+    return _normalise_ids(read_csv(spark, path, table_schema(name, id_type), multi_line), name)
 
 
 def read_parquet_table(spark: SparkSession, path: str, name: str, id_type: str = "string") -> DataFrame:
@@ -56,11 +61,13 @@ def read_parquet_table(spark: SparkSession, path: str, name: str, id_type: str =
 
 
 def read_hiring_tables(
-    spark: SparkSession, directory: str, fmt: str = "csv", id_type: str = "string"
+    spark: SparkSession, directory: str, fmt: str = "csv", id_type: str = "string", multi_line: bool = False
 ) -> HiringTables:
     """All six input tables from ``directory/<table>.<fmt>``; the clean
     event table is derived by promotion, as the load does."""
-    reader = read_csv_table if fmt == "csv" else read_parquet_table
     base = directory.rstrip("/")
-    frames = {n: reader(spark, f"{base}/{n}.{fmt}", n, id_type) for n in INPUT_TABLES}
+    if fmt == "csv":
+        frames = {n: read_csv_table(spark, f"{base}/{n}.csv", n, id_type, multi_line) for n in INPUT_TABLES}
+    else:
+        frames = {n: read_parquet_table(spark, f"{base}/{n}.{fmt}", n, id_type) for n in INPUT_TABLES}
     return HiringTables(**frames)

@@ -30,8 +30,24 @@ def test_entry_runs(spark):
     assert {"recruiter_id", "org", "transition_name", "p90_duration_days"} <= set(df.columns)
 
 
-def test_every_query_has_oracle_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_hiring_query_has_oracle_sql():
+    assert set(E._hiring_queries()) <= set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_building_a_query_starts_no_job(spark):
+    """The marts are sinks and write; every other query is a lazy plan."""
+    tracker = spark.sparkContext.statusTracker()
+    for name, query in E._hiring_queries().items():
+        if name.startswith("mart_"):
+            continue
+        spark.sparkContext.setJobGroup(f"build {name}", name)
+        query(spark, SF)
+        # reading a Parquet footer for its schema is a job of one task
+        for job in tracker.getJobIdsForGroup(f"build {name}"):
+            info = tracker.getJobInfo(job)
+            tasks = [tracker.getStageInfo(s).numTasks for s in info.stageIds if tracker.getStageInfo(s)]
+            assert sum(tasks) <= 1, name
+    spark.sparkContext.setJobGroup("", "")
 
 
 @pytest.mark.parametrize(

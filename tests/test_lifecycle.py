@@ -108,12 +108,19 @@ def test_no_events_means_null_latest_stage(spark):
     assert got == [("a1", "WITHDRAWN", "WITHDRAWN"), ("a2", None, None)]
 
 
-def test_unknown_stage_does_not_break_the_lifecycle(spark):
-    t = make_tables(spark, [("a1", "c", "r", ts(0), "x")], [("e1", "a1", "APPLIED", ts(0)), ("e2", "a1", "BOGUS", ts(5))])
-    row = _life(t).first()
-    assert row["applied_ts"] == ts(0)
-    assert row["latest_stage"] is None and row["latest_stage_ts"] == ts(5)
-    assert rows(latest_stage(t.stage_events), "application_id", "latest_stage") == [("a1", None)]
+def test_last_event_outside_the_domain_or_without_stage(spark):
+    apps = [(f"a{i}", "c", f"r{i}", ts(0), "x") for i in range(1, 5)]
+    ev = [
+        ("1a", "a1", "APPLIED", ts(0)), ("1b", "a1", "BOGUS", ts(5)),  # an unknown name is carried
+        ("2a", "a2", "SCREEN", ts(0)), ("2b", "a2", None, ts(5)),  # a null stage wins with its own time
+        ("3a", "a3", "APPLIED", ts(5)), ("3b", "a3", "BOGUS", ts(5)), ("3c", "a3", None, ts(5)),  # ties: the domain first
+        ("4a", "a4", "BOGUS", ts(1)), ("4b", "a4", "APPLIED", ts(2)), ("4c", "a4", "SCREEN", None),
+    ]
+    t = make_tables(spark, apps, ev)
+    want = [("a1", "BOGUS", ts(5)), ("a2", None, ts(5)), ("a3", "APPLIED", ts(5)), ("a4", "APPLIED", ts(2))]
+    assert rows(latest_stage(t.stage_events), "application_id", "latest_stage", "latest_stage_ts") == want
+    assert rows(_life(t), "application_id", "latest_stage", "latest_stage_ts") == want
+    assert _life(t).where("application_id = 'a1'").first()["applied_ts"] == ts(0)
 
 
 def test_lifecycle_without_dimensions_keeps_stage_columns(spark):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import make_tables, rows, ts
 from pyspark.sql import functions as F
 
@@ -34,9 +35,21 @@ def test_marts_equal_views(spark, scratch_dir):
 
 
 def test_csv_marts(spark, scratch_dir):
-    apps = [("a1", "c", "r1", ts(0), "rec")]
-    ev = [("1", "a1", "APPLIED", ts(0)), ("2", "a1", "SCREEN", ts(4))]
+    apps = [("001", "c", "r1", ts(0), "007")]
+    ev = [("1", "001", "APPLIED", ts(0)), ("2", "001", "SCREEN", ts(4))]
     t = make_tables(spark, apps, ev)
     paths = M.build_marts(t, scratch_dir + "/csv_marts", fmt="csv")
-    summary = M.read_mart(spark, paths.sla_compliance, "csv").collect()
-    assert [(r["transition_name"], int(r["total_cases"]), int(r["breaches"])) for r in summary] == [("APPLIED_TO_SCREEN", 1, 1)]
+    schemas = M.mart_schemas()
+    summary = M.read_mart(spark, paths.sla_compliance, "csv", schemas[M.MART_SLA_COMPLIANCE]).collect()
+    assert [(r["recruiter_id"], r["transition_name"], r["total_cases"], r["breaches"]) for r in summary] == [("007", "APPLIED_TO_SCREEN", 1, 1)]
+    life = M.read_mart(spark, paths.lifecycle, "csv", schemas[M.MART_LIFECYCLE]).first()
+    assert (life["application_id"], life["recruiter_id"], life["applied_ts"]) == ("001", "007", ts(0))
+    with pytest.raises(ValueError, match="declared schema"):
+        M.read_mart(spark, paths.lifecycle, "csv")
+
+
+def test_declared_mart_schemas_match(spark, scratch_dir):
+    t = make_tables(spark, [("a1", "c", "r1", ts(0), "rec")], [("1", "a1", "APPLIED", ts(0)), ("2", "a1", "SCREEN", ts(4))])
+    paths = M.build_marts(t, scratch_dir + "/typed").as_dict()
+    for name, schema in M.mart_schemas().items():
+        assert [(f.name, f.dataType) for f in M.read_mart(spark, paths[name]).schema] == [(f.name, f.dataType) for f in schema]

@@ -5,6 +5,7 @@ from conftest import make_tables, ts
 
 from hirelens.operators.constraints import ConstraintViolation
 from hirelens.plans import marts as M
+from hirelens.plans.load import load_tables
 from hirelens.plans.views import register_mart_views, register_reporting_views
 
 
@@ -33,4 +34,7 @@ def test_mart_views_and_enforce(spark, scratch_dir):
     assert spark.sql("SELECT count(*) FROM mart_application_lifecycle").first()[0] == 2
     dirty = make_tables(spark, [("a1", "c", "r", ts(0), "x")], [("1", "a1", "BOGUS", ts(0))])
     with pytest.raises(ConstraintViolation):
-        M.build_marts(dirty, scratch_dir + "/m2", enforce=True)
+        load_tables(dirty, scratch_dir + "/m2", "enforce")
+    stored = load_tables(dirty, scratch_dir + "/m3", "audit")
+    assert stored.stage_events.count() == 1
+    assert spark.read.parquet(scratch_dir + "/m3/constraint_violations").count() == 2  # raw and promoted event
