@@ -3,11 +3,11 @@
 A public vocabulary with byte fallback encodes every whole text word by word.
 Three measures follow: characters per token, the share of byte-fallback
 tokens, and the entropy of the tokens (in bits, as a share of the most that so
-many tokens can have). Per language and size class (doublings of the token
-count, for entropy falls with length), the whole corpus gives a rejection band
-for each measure: quartiles counted exactly on a fixed grid, widened by
-``spread`` interquartile ranges. A document outside a band of its class is
-rejected, as is one that fails the base rules (``base_failed``).
+many tokens can have). Per language, the whole corpus gives a rejection band
+for each measure (for the entropy one per doubling of the token count, for it
+falls with length): quartiles counted exactly on a fixed grid, widened by
+``spread`` interquartile ranges. A document outside a band is rejected, as is
+one that fails the base rules (``base_failed``).
 
 Defined results: a null or empty text has no words, hence fails the base
 rules; a null language is a language of its own; texts with fewer than
@@ -136,32 +136,36 @@ def fertility_features(docs: DataFrame, text: str = "text", model: str | None =
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *_FEATURES.fields]))
 
 
-#: the size class
-_SIZE = "length(bin(n_tokens))"
+def _classes() -> dict:
+    """The class in which each measure is compared: all of a language, and for
+    the entropy, which falls with length, its texts of one doubling of the
+    token count."""
+    return {m: F.concat(F.lit(f"{m} "), F.length(F.bin("n_tokens")) if m == "token_entropy" else F.lit("")) for m in GRID}
 
 
 def fertility_bands(features: DataFrame, lang: str = "lang", spread: float = 6.0, min_tokens: int = 40, min_documents: int = 30) -> DataFrame:
-    """(language, size class, bands by measure) over all documents: quartiles
-    of each measure on its grid, widened by ``spread`` interquartile ranges and
-    at least two steps of the grid. What is counted are at most some thousand
-    grid points per class and measure."""
-    points = F.array(*[F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) * g).alias("point")) for m, g in GRID.items()])
+    """(language, bands by class) over all documents: quartiles of each
+    measure on its grid, widened by ``spread`` interquartile ranges and at
+    least two steps of the grid. What is counted are at most some thousand
+    grid points per class."""
+    points = F.array(*[F.struct(c.alias("class"), F.floor(F.col(m) * GRID[m]).alias("point")) for m, c in _classes().items()])
     counts = (
         features.where(F.col("n_tokens") >= min_tokens)
-        .select(column(features, lang).alias("band_lang"), F.expr(_SIZE).alias("band_size"), F.explode(points).alias("p"))
-        .groupBy("band_lang", "band_size", "p.measure", "p.point")
+        .select(column(features, lang).alias("band_lang"), F.explode(points).alias("p"))
+        .groupBy("band_lang", "p.class", "p.point")
         .count()
     )
-    w = Window.partitionBy("band_lang", "band_size", "measure")
+    w = Window.partitionBy("band_lang", "class")
     run = counts.withColumn("upto", F.sum("count").over(w.orderBy("point"))).withColumn("all", F.sum("count").over(w))
     quarter = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("point")))
     steps = F.greatest(F.col("q3") - F.col("q1"), F.lit(2)) * spread
+    band = F.struct((F.col("q1") - steps).alias("low"), (F.col("q3") + 1 + steps).alias("high"))
     return (
-        run.groupBy("band_lang", "band_size", "measure")
+        run.groupBy("band_lang", "class")
         .agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"), F.first("all").alias("all"))
         .where(F.col("all") >= min_documents)
-        .groupBy("band_lang", "band_size")
-        .agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct((F.col("q1") - steps).alias("low"), (F.col("q3") + 1 + steps).alias("high"))))).alias("bands"))
+        .groupBy("band_lang")
+        .agg(F.map_from_entries(F.collect_list(F.struct("class", band))).alias("bands"))
     )
 
 
@@ -174,12 +178,12 @@ def fertility_filter(docs: DataFrame, text: str = "text", lang: str = "lang", mo
     bands = fertility_bands(measured, lang, spread, min_tokens, min_documents)
     keep = [c for c in measured.columns if c not in _FEATURES.names and (only is None or c in only)]
     row = measured.select(F.struct(*[column(measured, c) for c in keep]).alias("row"), column(measured, lang).alias("m_lang"), *_FEATURES.names).alias("m")
-    joined = row.join(bands.alias("b"), F.col("m.m_lang").eqNullSafe(F.col("b.band_lang")) & (F.expr(_SIZE) == F.col("b.band_size")), "left")
+    joined = row.join(bands.alias("b"), F.col("m.m_lang").eqNullSafe(F.col("b.band_lang")), "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     inside = F.lit(True)
-    for m, g in GRID.items():
-        band = F.col("bands")[m]
-        inside = inside & F.coalesce((F.col(m) * g).between(band["low"], band["high"]), F.lit(True))
+    for m, name in _classes().items():
+        band = F.try_element_at(F.col("bands"), name)
+        inside = inside & F.coalesce((F.col(m) * GRID[m]).between(band["low"], band["high"]), F.lit(True))
     return joined.select(
         *[F.col("row").getField(c).alias(c) for c in keep],
         *BASE,

@@ -25,5 +25,23 @@ FROM lines l LEFT JOIN listed b ON l.source IS NOT DISTINCT FROM b.source
 """
 
 
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM (SELECT DISTINCT vec_id, embedding FROM embeddings)
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+WHERE r <= 5
+"""
+
+
 def oracle_queries() -> dict[str, str]:
-    return {"op1_site_line_dedup": OP1}
+    return {"op1_site_line_dedup": OP1, "op10_va_top_k": OP10}

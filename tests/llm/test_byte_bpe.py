@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hirelens.llm.mph_bpe import Encoder, PerfectHash, decode_bpe, encode_bpe
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from .llm_util import rows_of
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(PATH, public_tokenizers.PATTERN, max_pieces=50)
+
+
+@pytest.fixture(scope="module")
+def reference():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(PATH, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: np.array(enc.encode_ordinary(text), "<u4").tobytes()
+
+
+def test_perfect_hash_is_minimal(encoder):
+    assert sorted(encoder.hash.slot(t) for t in encoder.tokens) == list(range(len(encoder.tokens)))
+    again = PerfectHash(encoder.tokens, encoder.hash.shift)
+    assert all(again.slot(t) == encoder.hash.slot(t) for t in encoder.tokens[::97])
+    assert 0 <= again.slot(b"no such token at all") < len(encoder.tokens)
+
+
+def test_every_code_point(encoder, reference):
+    for c in range(0, 0x110000, 7):
+        if not 0xD800 <= c < 0xE000:
+            text = f"a{chr(c)}1 {chr(c)}{chr(c)} \n{chr(c)}"
+            assert encoder.encode(text) == reference(text), hex(c)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab 1\n\t'sE\u00e9\x1c\xa0\x85.!\u65e5 \r\u3000", max_size=40))
+def test_mixed_white_space(encoder, reference, text):
+    assert encoder.encode(text) == reference(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=80))
+def test_any_text(encoder, reference, text):
+    assert encoder.encode(text) == reference(text)
+
+
+def test_long_pre_token(encoder, reference):
+    text = "abcdefghij" * 2000
+    assert encoder.encode(text) == reference(text)
+
+
+def test_odd_rows(odd, none, reference):
+    out = decode_bpe(encode_bpe(odd, PATH, public_tokenizers.PATTERN), PATH)
+    assert [c.lower() for c in out.columns].count("ids") == 1
+    for (_, text, *_), r in zip(rows_of(odd), out.orderBy("row").collect(), strict=True):
+        assert bytes(r["ids"]) == reference(text or "")
+        assert bytes(r["decoded"]) == (text or "").encode()
+    assert encode_bpe(none, PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_query(spark, small, reference):
+    from hirelens.llm.queries import queries
+    from .llm_util import SF
+
+    texts = {r["doc_id"]: r["text"] for r in small.collect()}
+    for r in queries()["op3_byte_bpe"](spark, SF).collect():
+        ids, sha = reference(texts[r["doc_id"]]), lambda x: hashlib.sha256(x).hexdigest()
+        assert tuple(r)[1:] == (len(ids) // 4, sha(ids), sha(texts[r["doc_id"]].encode()))
