@@ -11,7 +11,8 @@ The models are trained here: random strings are what the patterns find (the
 values of assignments, keys, hex digests), identifiers are all the other runs
 of letters, digits and marks, both from a bounded sample of labelled rows (the
 ``sample`` documents with the smallest hashed id; a documented limit of the
-training alone). Counts carry add-one smoothing over the character classes.
+training alone). A pair's share after its first character backs off to the
+second one's overall share, which is smoothed by one.
 
 Positions are code points, ends exclusive. Each pattern is found leftmost and
 without overlaps over the whole text, by an anchored search that yields gap
@@ -56,6 +57,8 @@ RUN = "[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_"
 _MARKS = "+/=-"
 _N = len(ALPHABET)
+#: weight of a character's overall share in the shares after one character
+_BACK_OFF = 20
 
 
 def _found(text, pattern: str):
@@ -100,11 +103,16 @@ def train_markov(docs: DataFrame, id: str = "doc_id", text: str = "text", sample
     counts = {(r["random"], r["pair"]): r["count"] for r in pairs.groupBy("random", "pair").count().collect()}  # at most 2 * 63 * 63 rows
     if not counts:
         return [0.0] * (_N * _N)
+    # a character's share in a kind, add-one; a pair's share backs off to it
+    share = []
+    for kind in (0, 1):
+        seen = {b: 1 + sum(counts.get((kind, a + b), 0) for a in ALPHABET) for b in ALPHABET}
+        share.append({b: n / sum(seen.values()) for b, n in seen.items()})
     out = []
     for a in ALPHABET:
         totals = [sum(counts.get((kind, a + b), 0) for b in ALPHABET) for kind in (0, 1)]
         for b in ALPHABET:
-            p = [(counts.get((kind, a + b), 0) + 1) / (totals[kind] + _N) for kind in (0, 1)]
+            p = [(counts.get((kind, a + b), 0) + _BACK_OFF * share[kind][b]) / (totals[kind] + _BACK_OFF) for kind in (0, 1)]
             out.append(round(math.log(p[1] / p[0]), 4))
     return out
 
@@ -116,7 +124,7 @@ def _mean_ratio(run, table):
     return total / (F.length(plain) - 1)
 
 
-def secret_spans(docs: DataFrame, model: list[float], text: str = "text", threshold: float = 1.0, min_distinct: int = 8) -> DataFrame:
+def secret_spans(docs: DataFrame, model: list[float], text: str = "text", threshold: float = 0.5, min_distinct: int = 8) -> DataFrame:
     """``docs`` with ``secret_spans``: array of (start, kind, end) by start,
     then kind as numbered in ``KINDS``. A run needs ``min_distinct`` different
     characters to be random."""
