@@ -14,7 +14,7 @@ others like it.
 Labels are the verdicts of the rules on the URLs that a rule fits. A node's
 share of bad labels is smoothed towards its parent's, from the whole corpus
 down to the template (``weight`` pseudo-labels each); templates whose smoothed
-badness exceeds ``max_bad`` are rejected.
+badness exceeds ``max_bad`` are rejected, on hosts that have any label.
 
 Only counts are shuffled, after partial aggregation, so a host with a third of
 all pages costs its templates; pages meet them in equi-joins whose other side
@@ -119,13 +119,15 @@ def merged_branches(templates: DataFrame, max_distance: float = 0.25, max_z: flo
 
 def template_badness(templates: DataFrame, weight: float) -> DataFrame:
     """``templates`` with ``badness``: the share of bad labels, smoothed from
-    the corpus over the host and each prefix down to the merged template."""
+    the corpus over the host and each prefix down to the merged template; and
+    ``host_labels``, how many labels the host has."""
     keys = F.concat(F.array(F.lit("")), F.array(F.lit("/")), F.transform("merged", lambda _, i: F.concat(F.lit("/"), F.array_join(F.slice("merged", 1, i + 1), "/"), F.lit("/"), i.cast("string"))))
     nodes = templates.select("host", "template", "good", "bad", F.posexplode(keys).alias("level", "node")).withColumn("node_host", F.when(F.col("level") > 0, F.col("host")).otherwise(""))
     counts = nodes.groupBy("node_host", "node").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
     path = nodes.select("host", "template", "level", "node", "node_host").join(counts, ["node_host", "node"]).groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("level", "n_good", "n_bad"))).alias("path"))
     smooth = F.aggregate("path", F.lit(0.0), lambda prior, x: (x["n_bad"] + weight * prior) / (x["n_good"] + x["n_bad"] + weight))
-    return templates.join(path, ["host", "template"]).withColumn("badness", smooth).drop("path")
+    at_host = F.element_at("path", 2)
+    return templates.join(path, ["host", "template"]).withColumns({"badness": smooth, "host_labels": at_host["n_good"] + at_host["n_bad"]}).drop("path")
 
 
 def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, depth: int = 8, min_share: float = 0.02, min_count: int = 5, weight: float = 8.0, max_bad: float = 0.5) -> DataFrame:
@@ -138,9 +140,9 @@ def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, depth: int = 8,
     rows = path_templates(rows, depth, min_share, min_count)
     label = lambda v: F.sum((F.col("hit.verdict") == v).cast("long"))
     counts = rows.groupBy("host", "template").agg(F.count("*").alias("n"), F.coalesce(label("allow"), F.lit(0)).alias("good"), F.coalesce(label("block"), F.lit(0)).alias("bad"))
-    judged = template_badness(merged_branches(stored(counts, "templates")), weight).select(F.col("host").alias("t_host"), F.col("template").alias("t_template"), "merged", "badness")
+    judged = template_badness(merged_branches(stored(counts, "templates")), weight).select(F.col("host").alias("t_host"), F.col("template").alias("t_template"), "merged", "badness", "host_labels")
     joined = rows.join(judged, (F.col("host") == F.col("t_host")) & (F.col("template") == F.col("t_template")), "left")
-    method = F.when(F.col("badness") > max_bad, "block").otherwise("allow")
+    method = F.when((F.col("badness") > max_bad) & (F.col("host_labels") > 0), "block").otherwise("allow")
     return joined.select(
         *[F.col("row").getField(c).alias(c) for c in pages.columns],
         "host",

@@ -40,7 +40,7 @@ STEP = 32
 def _matrix(t: pa.Table) -> np.ndarray:
     v = t.column("v").combine_chunks()
     v = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
-    return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+    return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), t.column("dim")[0].as_py())
 
 
 def _pack(t: pa.Table) -> pa.Table:
@@ -108,11 +108,10 @@ def top_k(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
             for i in range(x.num_rows):
                 dim = x.column("dim")[i].as_py()
                 get = lambda c, kind: np.frombuffer(x.column(c)[i].as_buffer(), kind)
-                ids, exact, qs, q_ids = get("ids", "<i8"), get("exact", "<f8").reshape(-1, dim), get("q", "<f8").reshape(-1, dim), get("q_ids", "<i8")
-                if not dim:
-                    exact, qs = np.zeros((len(ids), 0)), np.zeros((len(q_ids), 0))
+                ids, q_ids = get("ids", "<i8"), get("q_ids", "<i8")
+                exact, qs = get("exact", "<f8").reshape(len(ids), dim), get("q", "<f8").reshape(len(q_ids), dim)
                 low, step = get("low", "<f8"), get("step", "<f8")
-                centres = low + (get("cells", "u1").reshape(-1, dim) if dim else np.zeros((len(ids), 0))).astype(np.float64) * step + step / 2
+                centres = low + get("cells", "u1").reshape(len(ids), dim).astype(np.float64) * step + step / 2
                 near = qs @ centres.T
                 # half a cell per component, and what rounding can add
                 slack = np.abs(qs) @ step * 0.5 + 1e-9 * (np.abs(qs) @ (np.abs(low) + CELLS * step)) + 1e-6
