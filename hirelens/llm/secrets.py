@@ -10,8 +10,8 @@ that pattern.
 The models are trained here: random strings are what the patterns find (the
 values of assignments, keys, hex digests), identifiers are all the other runs
 of letters, digits and marks, both from a bounded sample of labelled rows (the
-``sample`` documents with the smallest hashed id; a documented limit of the
-training alone). A pair's share after its first character backs off to the
+``sample`` distinct documents with the smallest hashes; a documented limit of
+the training alone). A pair's share after its first character backs off to the
 second one's overall share, which is smoothed by one.
 
 Positions are code points, ends exclusive. Each pattern is found leftmost and
@@ -92,7 +92,12 @@ def _spans(found, kind: int):
 def train_markov(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 4000) -> list[float]:
     """Log-likelihood ratios (random against identifier) of all pairs of
     character classes, row by row: a fixed number of values."""
-    labelled = docs.select(F.xxhash64(column(docs, id)).alias("h"), column(docs, text).alias("text")).where("text IS NOT NULL").orderBy("h", "text").limit(sample)
+    n = docs.count()
+    # about twice as many as asked for, by hash alone, so that few rows are ordered
+    share = min(1.0, 2 * sample / n) if n else 0.0
+    hashed = docs.select(F.xxhash64(column(docs, id), column(docs, text)).alias("h"), column(docs, text).alias("text")).where("text IS NOT NULL")
+    few = hashed.where(F.col("h") < F.lit(int(-(2**63) + share * (2**64 - 2048)))) if share < 1 else hashed
+    labelled = few.dropDuplicates(["h"]).orderBy("h").limit(sample)
     assign, access, hexes = _base(F.col("text"))
     secret = F.concat(F.transform(assign, lambda m: F.regexp_extract(m["match"], ASSIGN, 2)), F.transform(access, lambda m: m["match"]), F.transform(hexes, lambda m: m["match"]))
     plain = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
