@@ -17,8 +17,8 @@ down to the template (``weight`` pseudo-labels each); templates whose smoothed
 badness exceeds ``max_bad`` are rejected, on hosts that have any label.
 
 Only counts are shuffled, after partial aggregation, so a host with a third of
-all pages costs its templates; pages meet them in equi-joins whose other side
-has one row per host or template.
+all pages costs its templates; pages meet them in equi-joins, dealt over
+``SALTS`` parts of a host or template, whose other side has one row per part.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and
 path; an empty path is a template of its own; repeated rows count each and get
@@ -37,6 +37,8 @@ from hirelens.llm.common import column, stored, without
 RESULTS = ("host", "path", "rule", "template", "badness", "verdict")
 #: Verdict, host and path of each rule.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+#: into so many parts the pages of a host or template are dealt for joins
+SALTS = 16
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL = r"^[\s\S]*?://([^/?#]*)([^?#]*)"
 
@@ -62,6 +64,10 @@ def _segments(path, depth: int):
     return F.when(path == "", F.array().cast("array<string>")).when(F.size(parts) > depth, deep).otherwise(parts)
 
 
+def _each_salt():
+    return F.explode(F.array(*[F.lit(k) for k in range(SALTS)]))
+
+
 def _wild(segment):
     """The wildcard of a segment: an empty one stays, an extension is kept."""
     ext = F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1)
@@ -74,7 +80,8 @@ def path_templates(paths: DataFrame, depth: int, min_share: float, min_count: in
     total = at.groupBy("host", "level").agg(F.sum("n").alias("total"))
     often = at.join(total, ["host", "level"]).where((F.col("n") >= min_count) & (F.col("n") >= min_share * F.col("total")))
     literals = often.groupBy(F.col("host").alias("l_host")).agg(F.collect_set(F.concat_ws("/", F.col("level").cast("string"), "segment")).alias("literals"))
-    joined = paths.join(literals, paths["host"] == literals["l_host"], "left").drop("l_host")
+    literals = literals.withColumn("l_salt", _each_salt())
+    joined = paths.join(literals, (F.col("host") == F.col("l_host")) & (F.col("salt") == F.col("l_salt")), "left").drop("l_host", "l_salt")
     known = lambda s, i: F.coalesce(F.array_contains("literals", F.concat_ws("/", i.cast("string"), s)), F.lit(False))
     return joined.withColumn("template", F.transform("segments", lambda s, i: F.when(known(s, i), s).otherwise(_wild(s)))).drop("literals", "segments")
 
@@ -137,11 +144,11 @@ def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, depth: int = 8,
     row = F.struct(*[column(pages, c) for c in pages.columns]).alias("row")
     rows = pages.select(row, host.alias("host"), path.alias("path"))
     rows = rows.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("segments", _segments(F.col("path"), depth))
-    rows = path_templates(rows, depth, min_share, min_count)
+    rows = path_templates(rows.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")), depth, min_share, min_count)
     label = lambda v: F.sum((F.col("hit.verdict") == v).cast("long"))
     counts = rows.groupBy("host", "template").agg(F.count("*").alias("n"), F.coalesce(label("allow"), F.lit(0)).alias("good"), F.coalesce(label("block"), F.lit(0)).alias("bad"))
-    judged = template_badness(merged_branches(stored(counts, "templates")), weight).select(F.col("host").alias("t_host"), F.col("template").alias("t_template"), "merged", "badness", "host_labels")
-    joined = rows.join(judged, (F.col("host") == F.col("t_host")) & (F.col("template") == F.col("t_template")), "left")
+    judged = template_badness(merged_branches(stored(counts, "templates")), weight).select(F.col("host").alias("t_host"), F.col("template").alias("t_template"), "merged", "badness", "host_labels").withColumn("t_salt", _each_salt())
+    joined = rows.join(judged, (F.col("host") == F.col("t_host")) & (F.col("template") == F.col("t_template")) & (F.col("salt") == F.col("t_salt")), "left")
     method = F.when((F.col("badness") > max_bad) & (F.col("host_labels") > 0), "block").otherwise("allow")
     return joined.select(
         *[F.col("row").getField(c).alias(c) for c in pages.columns],
