@@ -15,10 +15,11 @@ documents are linked if their sets' Jaccard similarity is 0.75 or more.
    likeliest partner first; the rest only where it could still join two
    components.
 4. That leaves pairs of members of one bucket in different components, neither
-   its smallest. They are all compared: a bucket's members outside its largest
-   component against all its members, in blocks of bounded size, so every
-   banded pair has been compared, pruned or is inside a component. Nothing is
-   capped; a bucket that is one component costs nothing here.
+   its smallest. They are all compared, without becoming rows: a bucket's
+   members outside its largest component against all its members, in cells of
+   bounded size. Cells compare signatures first, and get the full sets of those
+   members alone that this leaves in some pair. Nothing is capped; a bucket
+   that is one component costs nothing here.
 5. Components by alternating star contraction over the verified links.
 
 Sets are held as sorted 64-bit hashes of shingles; equal hashes count as equal
@@ -46,8 +47,8 @@ ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 THRESHOLD = 75  # in hundredths
 BATCH = 32
-#: members of a block in step 4
-BLOCK = 256
+#: members on each side of a cell in step 4
+BLOCK = 512
 
 _RNG = np.random.Generator(np.random.PCG64(75))
 _A = _RNG.integers(1, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -193,17 +194,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             (da, oa), (db, ob) = buffers(x.column("a")), buffers(x.column("b"))
             da, db = da.view(np.uint64), db.view(np.uint64)
             oa, ob = oa // 8, ob // 8
-            good = []
-            for i in range(x.num_rows):
-                p, q = da[oa[i] : oa[i + 1]], db[ob[i] : ob[i + 1]]
-                if len(p) > len(q):
-                    p, q = q, p
-                if 100 * len(p) < THRESHOLD * len(q):
-                    continue
-                at = np.searchsorted(q, p)
-                common = int((q[np.minimum(at, len(q) - 1)] == p).sum())
-                if 100 * common >= THRESHOLD * (len(p) + len(q) - common):
-                    good.append(i)
+            good = [i for i in range(x.num_rows) if _similar(da[oa[i] : oa[i + 1]], db[ob[i] : ob[i + 1]])]
             at = pa.array(good, pa.int64())
             yield pa.RecordBatch.from_arrays([x.column("lo").take(at), x.column("hi").take(at)], names=["lo", "hi"])
 
@@ -212,21 +203,18 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (lo, hi), lo < hi; comp: the
-    smallest node reachable. Alternating large and small stars; each round is
-    written and read back."""
-    e = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).distinct()
-    before = None
+    smallest node reachable. Alternating large and small stars, written and
+    read back, until every edge leads to a node that has none itself."""
+    e = stored(edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).distinct(), "star")
     while True:
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = stored(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "star")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        e = stored(small.select("u", F.col("m").alias("v")).union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "star")
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
+        pairs = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
+        e = stored(large.join(low, "u").select(pairs).select("e.*").where("u <> v").distinct(), "star")
+        if e.select("v").distinct().join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             break
-        before = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
@@ -268,39 +256,114 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
         yield rest
 
 
-def _cross(members: DataFrame, comps: DataFrame, reps: DataFrame, least: list[int], block: int) -> DataFrame:
-    """(lo, hi, matches) of what signatures leave of all pairs of a bucket's
-    members in different components, its smallest member aside."""
+_CELL = ["key", "i", "j"]
+_MEMBER = "key long, i int, j int, left boolean, rep long, comp long, outside boolean, sig binary, bands array<bigint>"
+
+
+def _grid(members: DataFrame, comps: DataFrame, reps: DataFrame, block: int) -> DataFrame:
+    """The members of buckets that hold several components, their smallest
+    members aside (these have been compared with all), in cells of bounded
+    size: those outside a bucket's largest component (left) against all."""
     m = _labelled(members.where("size > 2 AND rep <> leader"), comps, "rep", "comp")
     parts = m.groupBy("key", "comp").agg(F.count("*").alias("c"))
     large = parts.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all")).select("key", F.col("top.comp").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("out")).where("out > 0")
-    m = m.join(large, "key").join(reps.select("rep", "sig"), "rep")
+    m = m.join(large, "key").join(reps.select("rep", "sig", "bands"), "rep")
     blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
     at = lambda c: F.pmod(F.xxhash64("rep"), blocks(c)).cast("int")
     each = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
-    row = ["key", "rep", "comp", "sig", (F.col("comp") != F.col("top")).alias("outside")]
-    left = m.where("comp <> top").select(*row, F.lit(True).alias("left"), at("out").alias("i"), each("all").alias("j"))
-    right = m.select(*row, F.lit(False).alias("left"), each("out").alias("i"), at("all").alias("j"))
-    grid = left.union(right)
-    grid = grid.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    row = ["rep", "comp", (F.col("comp") != F.col("top")).alias("outside"), "sig", "bands"]
+    left = m.where("comp <> top").select("key", at("out").alias("i"), each("all").alias("j"), F.lit(True).alias("left"), *row)
+    return left.union(m.select("key", each("out").alias("i"), at("all").alias("j"), F.lit(False).alias("left"), *row))
+
+
+def _cell_pairs(t: pa.Table, least: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of a cell in different components that signatures leave, each
+    only in the first bucket that it shares: rows a, rows b, matches."""
+    left = t.column("left").to_numpy()
+    rep, comp, outside = (t.column(c).to_numpy() for c in ("rep", "comp", "outside"))
+    sig, key = _signatures(t.column("sig").combine_chunks()), t.column("key")[0].as_py()
+    bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    li, ri = np.flatnonzero(left), np.flatnonzero(~left)
+    step, out = max(1, (1 << 16) // max(len(ri), 1)), []
+    for k in range(0, len(li), step):
+        a, b = (x.ravel() for x in np.meshgrid(li[k : k + step], ri, indexing="ij"))
+        ok = (comp[a] != comp[b]) & (~outside[b] | (rep[a] < rep[b]))
+        a, b = a[ok], b[ok]
+        at, matches = survivors(sig[a], sig[b], least)
+        a, b = a[at], b[at]
+        same = bands[a] == bands[b]
+        first = bands[a, same.argmax(1)] == key
+        out.append((a[first], b[first], matches[first]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, int),) * 3
+
+
+def _similar(p: np.ndarray, q: np.ndarray) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(p) > len(q):
+        p, q = q, p
+    if 100 * len(p) < THRESHOLD * len(q):
+        return False
+    common = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum())
+    return 100 * common >= THRESHOLD * (len(p) + len(q) - common)
+
+
+def _cross_links(docs: DataFrame, members: DataFrame, comps: DataFrame, reps: DataFrame, sets: DataFrame, least: list[int], block: int) -> DataFrame:
+    """(lo, hi): links that join further components, from all pairs of a
+    bucket's members in different components. A cell first names the members
+    that signatures leave in some pair; then only their sets go to the cells,
+    which verify these pairs, likeliest first, unless a link found before in
+    the cell already joins the two components. No pair is ever a row."""
+    near = lambda df: df.repartition(*_CELL).sortWithinPartitions(*_CELL)
+
+    def name(batches):
+        for t in _grouped(batches, _CELL):
+            a, b, _ = _cell_pairs(t, least)
+            if len(a):
+                yield from t.take(pa.array(np.union1d(a, b))).combine_chunks().to_batches()
+
+    named = stored(near(_grid(members, comps, reps, block)).mapInArrow(name, _MEMBER), "named")
+    missing = named.select("rep").distinct().join(sets, "rep", "left_anti")
+    more = stored(_sets(docs, reps, missing), "sets")
 
-    def run(batches):
-        for t in _grouped(batches, ["key", "i", "j"]):
-            t = t.combine_chunks()
-            is_left = t.column("left").to_numpy()
-            rep, comp, outside = (t.column(c).to_numpy() for c in ("rep", "comp", "outside"))
-            sig = _signatures(t.column("sig").combine_chunks())
-            li, ri = np.flatnonzero(is_left), np.flatnonzero(~is_left)
-            step = max(1, (1 << 16) // max(len(ri), 1))
-            for k in range(0, len(li), step):
-                a, b = (x.ravel() for x in np.meshgrid(li[k : k + step], ri, indexing="ij"))
-                ok = (comp[a] != comp[b]) & (~outside[b] | (rep[a] < rep[b]))
-                a, b = a[ok], b[ok]
-                at, matches = survivors(sig[a], sig[b], least)
-                x, y = rep[a[at]], rep[b[at]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(matches)], names=["lo", "hi", "matches"])
-
-    return grid.mapInArrow(run, "lo long, hi long, matches long").groupBy("lo", "hi").agg(F.max("matches").alias("matches"))
+    def verify(batches):
+        for t in _grouped(batches, _CELL):
+            rep, comp = (t.column(c).to_numpy() for c in ("rep", "comp"))
+            data, off = buffers(t.column("keys").combine_chunks())
+            keys, off = data.view(np.uint64), off // 8
+            up: dict[int, int] = {}
+
+            def root(x, up=up):
+                while up.get(x, x) != x:
+                    x = up[x]
+                return x
+
+            out = []
+            a, b, matches = _cell_pairs(t, least)
+            for k in np.argsort(-matches, kind="stable"):
+                x, y = int(a[k]), int(b[k])
+                c, d = root(int(comp[x])), root(int(comp[y]))
+                if c != d and _similar(keys[off[x] : off[x + 1]], keys[off[y] : off[y + 1]]):
+                    up[max(c, d)] = min(c, d)
+                    out.append(sorted((int(rep[x]), int(rep[y]))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["lo", "hi"])
+
+    return near(named.join(sets.union(more), "rep")).mapInArrow(verify, "lo long, hi long")
+
+
+def _as_edges(comps: DataFrame) -> DataFrame:
+    return comps.where("node <> comp").select(F.col("comp").alias("lo"), F.col("node").alias("hi"))
+
+
+def _settle(found: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """``edges`` and what joins further components: each document's likeliest
+    pair is verified first, then the others that still could."""
+    best = found.groupBy("hi").agg(F.max(F.struct("matches", (-F.col("lo")).alias("lo"))).alias("b")).select((-F.col("b.lo")).alias("lo"), "hi")
+    edges = edges.union(stored(_verify(best, sets), "links"))
+    comps = components(edges)
+    rest = found.join(best, ["lo", "hi"], "left_anti")
+    rest = stored(_labelled(_labelled(rest, comps, "lo", "cl"), comps, "hi", "ch").where("cl <> ch"), "rest")
+    return _as_edges(comps).union(stored(_verify(rest, sets), "links"))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", miss: float = 1e-5, block: int = BLOCK) -> DataFrame:
@@ -322,29 +385,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", mis
     # rows that share an id are one vertex: their representatives are linked
     links = sketches.where("n > 0 AND id IS NOT NULL").select("id", "s1", "s2").distinct().join(reps.select("s1", "s2", "rep"), ["s1", "s2"])
     several = links.groupBy("id").agg(F.min("rep").alias("lo"), F.count("*").alias("c")).where("c > 1")
-    edges = links.join(several, "id").where("rep <> lo").select("lo", F.col("rep").alias("hi"))
-    edges = stored(edges, "edges")
-    comps = components(edges)
-
-    def settle(found: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
-        """Verify each document's likeliest pair, then the others that could
-        still join two components; the components after that."""
-        best = found.groupBy("hi").agg(F.max(F.struct("matches", (-F.col("lo")).alias("lo"))).alias("b")).select((-F.col("b.lo")).alias("lo"), "hi")
-        known = comps.where("node <> comp").select(F.col("comp").alias("lo"), F.col("node").alias("hi"))
-        first = _verify(best, sets)
-        comps = components(known.union(first))
-        rest = found.join(best, ["lo", "hi"], "left_anti")
-        rest = _labelled(_labelled(rest, comps, "lo", "cl"), comps, "hi", "ch").where("cl <> ch")
-        known = comps.where("node <> comp").select(F.col("comp").alias("lo"), F.col("node").alias("hi"))
-        return components(known.union(_verify(rest, sets)))
-
+    edges = stored(links.join(several, "id").where("rep <> lo").select("lo", F.col("rep").alias("hi")), "edges")
     wanted = lambda pairs: pairs.select(F.col("lo").alias("rep")).union(pairs.select("hi")).distinct()
     sets = stored(_sets(docs, reps, wanted(stars)), "sets")
-    comps = settle(stars, sets, comps)
-    cross = stored(_cross(members, comps, reps, least, block), "cross")
-    missing = wanted(cross).join(sets, "rep", "left_anti")
-    more = stored(_sets(docs, reps, missing), "sets")
-    comps = stored(settle(cross, sets.union(more), comps), "components")
+    edges = _settle(stars, sets, edges)
+    comps = components(edges)
+    links = stored(_cross_links(docs, members, comps, reps, sets, least, block), "links")
+    if not links.isEmpty():
+        comps = components(_as_edges(comps).union(links))
 
     labels = _labelled(reps.select("s1", "s2", "rep"), comps, "rep", "comp").select("s1", "s2", "comp")
     out = sketches.select("id", "n", "s1", "s2").join(labels, ["s1", "s2"], "left")
