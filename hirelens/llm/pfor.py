@@ -162,7 +162,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     n_tokens, ids (little-endian unsigned 32-bit)."""
     files = spark.read.schema(_SCHEMA).parquet(path)
     sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda acc, x: acc + x)
-    parts = files.select("part", sizes.alias("n")).groupBy("part").agg(F.sum("n").alias("n"))  # a row per written file
+    parts = files.select("part", sizes.alias("n")).groupBy("part").agg(F.sum("n").alias("n"))  # two numbers per written file, whatever they hold
     base = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,5 +176,5 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    placed = files.join(base, "part").select("doc_ids", "sizes", "payload", (F.col("before") + F.col("base")).alias("first"))
+    placed = files.join(F.broadcast(base), "part").select("doc_ids", "sizes", "payload", (F.col("before") + F.col("base")).alias("first"))
     return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
