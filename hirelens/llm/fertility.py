@@ -4,10 +4,13 @@ A public vocabulary with byte fallback encodes every whole text word by word.
 Three measures follow: characters per token, the share of byte-fallback
 tokens, and the entropy of the tokens (in bits, as a share of the most that so
 many tokens can have). Per language, the whole corpus gives a rejection band
-for each measure (for the entropy one per doubling of the token count, for it
-falls with length): quartiles counted exactly on a fixed grid, widened by
-``spread`` interquartile ranges. A document outside a band is rejected, as is
-one that fails the base rules (``base_failed``).
+for each measure: quartiles counted exactly on a fixed grid, widened by
+``spread`` interquartile ranges below and above. Characters per token scatter
+less in longer texts and have a band per doubling of the token count; the
+entropy falls with length and has one per half doubling, or that fall would
+widen it. Both are held tighter below than above, for junk splits into more and
+fewer different tokens than prose. A document outside a band is rejected, as
+is one that fails the base rules (``base_failed``).
 
 Defined results: a null or empty text has no words, hence fails the base
 rules; a null language is a language of its own; texts with fewer than
@@ -32,7 +35,11 @@ from hirelens.llm.common import BYTE_VALUE, SPACE, buffers, column, mix, per_tex
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: the steps of the grid on which each measure's quartiles are counted
-GRID = {"chars_per_token": 200, "byte_share": 2000, "token_entropy": 2000}
+GRID = {"chars_per_token": 1000, "byte_share": 2000, "token_entropy": 2000}
+#: interquartile ranges by which each band reaches below and above the quartiles
+SPREAD = {"chars_per_token": (2.5, 3.0), "byte_share": (6.0, 6.0), "token_entropy": (1.5, 4.0)}
+#: the least steps of the grid that count as an interquartile range
+LEAST = {"chars_per_token": 10, "byte_share": 2, "token_entropy": 2}
 RESULTS = (*BASE, "base_failed", "n_tokens", *GRID, "kept")
 
 _SYMBOL = np.zeros(256, bool)
@@ -137,17 +144,26 @@ def fertility_features(docs: DataFrame, text: str = "text", model: str | None =
 
 
 def _classes() -> dict:
-    """The class in which each measure is compared: all of a language, and for
-    the entropy, which falls with length, its texts of one doubling of the
-    token count."""
-    return {m: F.concat(F.lit(f"{m} "), F.length(F.bin("n_tokens")) if m == "token_entropy" else F.lit("")) for m in GRID}
+    """The class in which each measure is compared: all of a language, its
+    texts of one doubling of the token count, or of one half doubling."""
+    n = F.col("n_tokens")
+    sizes = {"chars_per_token": F.length(F.bin(n)), "byte_share": F.lit(""), "token_entropy": F.length(F.bin(n * n))}
+    return {m: F.concat(F.lit(f"{m} "), sizes[m]) for m in GRID}
+
+
+def _by_measure(values: dict):
+    """The value of a class's measure."""
+    out = F.lit(None)
+    for m, v in values.items():
+        out = F.when(F.col("class").startswith(m), F.lit(v)).otherwise(out)
+    return out
 
 
-def fertility_bands(features: DataFrame, lang: str = "lang", spread: float = 6.0, min_tokens: int = 40, min_documents: int = 30) -> DataFrame:
+def fertility_bands(features: DataFrame, lang: str = "lang", spread: dict[str, tuple[float, float]] = SPREAD, min_tokens: int = 40, min_documents: int = 30) -> DataFrame:
     """(language, bands by class) over all documents: quartiles of each
-    measure on its grid, widened by ``spread`` interquartile ranges and at
-    least two steps of the grid. What is counted are at most some thousand
-    grid points per class."""
+    measure on its grid, widened by ``spread`` (below, above) interquartile
+    ranges of at least ``LEAST`` steps of the grid. What is counted are at most
+    some thousand grid points per class."""
     points = F.array(*[F.struct(c.alias("class"), F.floor(F.col(m) * GRID[m]).alias("point")) for m, c in _classes().items()])
     counts = (
         features.where(F.col("n_tokens") >= min_tokens)
@@ -158,8 +174,9 @@ def fertility_bands(features: DataFrame, lang: str = "lang", spread: float = 6.0
     w = Window.partitionBy("band_lang", "class")
     run = counts.withColumn("upto", F.sum("count").over(w.orderBy("point"))).withColumn("all", F.sum("count").over(w))
     quarter = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("point")))
-    steps = F.greatest(F.col("q3") - F.col("q1"), F.lit(2)) * spread
-    band = F.struct((F.col("q1") - steps).alias("low"), (F.col("q3") + 1 + steps).alias("high"))
+    steps = F.greatest(F.col("q3") - F.col("q1"), _by_measure(LEAST))
+    below, above = (_by_measure({m: x[k] for m, x in spread.items()}) for k in (0, 1))
+    band = F.struct((F.col("q1") - steps * below).alias("low"), (F.col("q3") + 1 + steps * above).alias("high"))
     return (
         run.groupBy("band_lang", "class")
         .agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"), F.first("all").alias("all"))
@@ -169,7 +186,7 @@ def fertility_bands(features: DataFrame, lang: str = "lang", spread: float = 6.0
     )
 
 
-def fertility_filter(docs: DataFrame, text: str = "text", lang: str = "lang", model: str | None = None, spread: float = 6.0, min_tokens: int = 40, min_documents: int = 30, only: list[str] | None = None) -> DataFrame:
+def fertility_filter(docs: DataFrame, text: str = "text", lang: str = "lang", model: str | None = None, spread: dict[str, tuple[float, float]] = SPREAD, min_tokens: int = 40, min_documents: int = 30, only: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``only``) with all of ``RESULTS``."""
     measured = fertility_features(docs, text, model)
     if only is not None:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 from . import brute
 import pytest
 from hypothesis import given, settings
@@ -56,3 +58,17 @@ def test_labelled_quality(small, spark):
     out = fertility_filter(small).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     clean = out.where("quality = 1 AND NOT base_failed")
     assert clean.where("NOT kept").count() <= 0.02 * clean.count()
+
+
+def test_labelled_junk_is_rejected_and_clean_text_stays(spark):
+    from .llm_util import SF
+
+    sf = SF.replace("0.001", "0.1")
+    if not os.path.exists(sf):
+        pytest.skip("driver test data not present")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(16)
+    out = fertility_filter(docs, only=["doc_id"]).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("NOT base_failed")
+    n = {(r["quality"], r["kept"]): r["count"] for r in out.groupBy("quality", "kept").count().collect()}
+    junk, clean = n.get((0, False), 0) + n.get((0, True), 0), n.get((1, False), 0) + n.get((1, True), 0)
+    assert junk > 200 and n.get((0, False), 0) >= 0.85 * junk
+    assert clean > 2000 and n.get((1, False), 0) <= 0.01 * clean
