@@ -9,8 +9,12 @@ for each measure: quartiles counted exactly on a fixed grid, widened by
 less in longer texts and have a band per doubling of the token count; the
 entropy falls with length and has one per half doubling, or that fall would
 widen it. Both are held tighter below than above, for junk splits into more and
-fewer different tokens than prose. A document outside a band is rejected, as
-is one that fails the base rules (``base_failed``).
+fewer different tokens than prose. In the counts a group of copies weighs as
+one text (texts of a language with the same smallest hash of eight words in a
+row are one; near copies fall into fewer groups, not into one), and a class's
+interquartile range is taken as no less than what chance makes of texts of its
+length. A document outside a band is rejected, as is one that fails the base
+rules (``base_failed``).
 
 Defined results: a null or empty text has no words, hence fails the base
 rules; a null language is a language of its own; texts with fewer than
@@ -31,20 +35,22 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from hirelens.llm import memo
-from hirelens.llm.common import BYTE_VALUE, SPACE, buffers, column, mix, per_text, powers, segment_hash, slices, stored, vocabulary_path, without, word_bounds, WORD_VALUE
+from hirelens.llm.common import BYTE_VALUE, SPACE, buffers, column, mix, per_text, powers, runs, segment_hash, slices, stored, vocabulary_path, without, word_bounds, WORD_VALUE
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: the steps of the grid on which each measure's quartiles are counted
 GRID = {"chars_per_token": 1000, "byte_share": 2000, "token_entropy": 2000}
 #: interquartile ranges by which each band reaches below and above the quartiles
-SPREAD = {"chars_per_token": (2.5, 3.0), "byte_share": (6.0, 6.0), "token_entropy": (1.5, 4.0)}
-#: the least steps of the grid that count as an interquartile range
-LEAST = {"chars_per_token": 10, "byte_share": 2, "token_entropy": 2}
+SPREAD = {"chars_per_token": (2.25, 3.0), "byte_share": (6.0, 6.0), "token_entropy": (1.25, 4.0)}
+#: the least interquartile range: characters per token by the root of the
+#: token count, as a token's length has a deviation of about one character
+LEAST = {"chars_per_token": 1.0, "byte_share": 0.001, "token_entropy": 0.01}
 RESULTS = (*BASE, "base_failed", "n_tokens", *GRID, "kept")
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _WINDOW = 8
+_GROUP = "fertility_group_"
 
 
 def _repeats(keys: np.ndarray) -> np.ndarray:
@@ -83,6 +89,10 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     out["n_dup_lines"] = np.bincount(line_doc[has_word], weights=~first, minlength=n).astype(np.int64)
     # windows of eight words, within one text each
     covered = np.zeros(len(hashes), np.int64)
+    # a text's smallest hash of a window; of its words if it has no window
+    whole = np.zeros(n, np.uint64)
+    np.add.at(whole, doc, hashes * powers(int(n_words.max(initial=0)) + 1)[runs(n_words)])
+    whole = mix(whole)
     if len(hashes) >= _WINDOW:
         m = len(hashes) - _WINDOW + 1
         key = np.zeros(m, np.uint64)
@@ -90,6 +100,9 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         for j in range(_WINDOW):
             key += hashes[j : j + m] * p[j + 1]
         inside = np.flatnonzero(doc[:m] == doc[_WINDOW - 1 :])
+        if len(inside):
+            begin = np.flatnonzero(np.diff(doc[inside], prepend=-1))
+            whole[doc[inside][begin]] = np.minimum.reduceat(mix(key[inside]), begin)
         key = mix(key[inside] ^ mix(doc[inside].astype(np.uint64) + np.uint64(1)))
         at = inside[_repeats(key)]
         edge = np.zeros(len(hashes) + 1, np.int64)
@@ -97,6 +110,7 @@ def base_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         edge[at + _WINDOW] -= 1
         covered = np.cumsum(edge)[:-1] > 0
     out["n_repeat_words"] = np.bincount(doc, weights=covered, minlength=n).astype(np.int64)
+    out[_GROUP] = whole.view(np.int64)
     return out
 
 
@@ -119,13 +133,15 @@ _FEATURES = T.StructType(
     [T.StructField(c, T.LongType()) for c in BASE]
     + [T.StructField("n_tokens", T.LongType())]
     + [T.StructField(c, T.DoubleType()) for c in GRID]
+    + [T.StructField(_GROUP, T.LongType())]
 )
 
 
 def fertility_features(docs: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
-    """``docs`` with the base counts and the three measures; one pass."""
+    """``docs`` with the base counts, the three measures and the group of
+    copies; one pass."""
     model = model or vocabulary_path("piece_bpe_32k.model")
-    docs = without(docs, *RESULTS)
+    docs = without(docs, *RESULTS, _GROUP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, is_byte = memo.pieces(model)
@@ -151,36 +167,40 @@ def _classes() -> dict:
     return {m: F.concat(F.lit(f"{m} "), sizes[m]) for m in GRID}
 
 
-def _by_measure(values: dict):
-    """The value of a class's measure."""
-    out = F.lit(None)
-    for m, v in values.items():
-        out = F.when(F.col("class").startswith(m), F.lit(v)).otherwise(out)
-    return out
-
-
 def fertility_bands(features: DataFrame, lang: str = "lang", spread: dict[str, tuple[float, float]] = SPREAD, min_tokens: int = 40, min_documents: int = 30) -> DataFrame:
     """(language, bands by class) over all documents: quartiles of each
-    measure on its grid, widened by ``spread`` (below, above) interquartile
-    ranges of at least ``LEAST`` steps of the grid. What is counted are at most
-    some thousand grid points per class."""
+    measure on its grid, over one text of each group of copies (any, by hash),
+    widened by ``spread`` (below, above) interquartile ranges of at least
+    ``LEAST``, and by more where a class's documents make fewer than
+    ``min_documents`` groups. What is counted are at most some thousand grid
+    points per class."""
     points = F.array(*[F.struct(c.alias("class"), F.floor(F.col(m) * GRID[m]).alias("point")) for m, c in _classes().items()])
-    counts = (
+    measures = ["n_tokens", *GRID]
+    one = (
         features.where(F.col("n_tokens") >= min_tokens)
-        .select(column(features, lang).alias("band_lang"), F.explode(points).alias("p"))
+        .groupBy(column(features, lang).alias("band_lang"), _GROUP)
+        .agg(F.min(F.struct(F.xxhash64(*measures), *measures)).alias("one"), F.count("*").alias("documents"))
+    )
+    counts = (
+        one.select("band_lang", "documents", "one.*")
+        .select("band_lang", "documents", F.explode(points).alias("p"))
         .groupBy("band_lang", "p.class", "p.point")
-        .count()
+        .agg(F.count("*").alias("count"), F.sum("documents").alias("documents"))
     )
     w = Window.partitionBy("band_lang", "class")
     run = counts.withColumn("upto", F.sum("count").over(w.orderBy("point"))).withColumn("all", F.sum("count").over(w))
     quarter = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("point")))
-    steps = F.greatest(F.col("q3") - F.col("q1"), _by_measure(LEAST))
-    below, above = (_by_measure({m: x[k] for m, x in spread.items()}) for k in (0, 1))
-    band = F.struct((F.col("q1") - steps * below).alias("low"), (F.col("q3") + 1 + steps * above).alias("high"))
+    name, size = F.split_part("class", F.lit(" "), F.lit(1)), F.split_part("class", F.lit(" "), F.lit(2))
+    least = {m: F.lit(LEAST[m] * GRID[m]) for m in GRID}
+    least["chars_per_token"] /= F.pow(F.lit(2.0), size.try_cast("int") / 2)
+    band = F.lit(None)
+    for m, (below, above) in spread.items():
+        steps = F.greatest(F.col("q3") - F.col("q1"), least[m]) * F.greatest(F.lit(1.0), min_documents / F.col("all"))
+        band = F.when(name == m, F.struct((F.col("q1") - steps * below).alias("low"), (F.col("q3") + 1 + steps * above).alias("high"))).otherwise(band)
     return (
         run.groupBy("band_lang", "class")
-        .agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"), F.first("all").alias("all"))
-        .where(F.col("all") >= min_documents)
+        .agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"), F.first("all").alias("all"), F.sum("documents").alias("documents"))
+        .where(F.col("documents") >= min_documents)
         .groupBy("band_lang")
         .agg(F.map_from_entries(F.collect_list(F.struct("class", band))).alias("bands"))
     )

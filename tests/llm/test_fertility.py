@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 from . import brute
 import pytest
@@ -72,3 +73,14 @@ def test_labelled_junk_is_rejected_and_clean_text_stays(spark):
     junk, clean = n.get((0, False), 0) + n.get((0, True), 0), n.get((1, False), 0) + n.get((1, True), 0)
     assert junk > 200 and n.get((0, False), 0) >= 0.85 * junk
     assert clean > 2000 and n.get((1, False), 0) <= 0.01 * clean
+
+
+def test_a_hot_group_of_copies_moves_no_band(spark):
+    rng = random.Random(7)
+    parts = [a + b for a in "b c d f g l m n p r s t v".split() for b in "a e i o u an er is on ur".split()]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(900)]
+    rows = [(k, " ".join(rng.choice(words) for _ in range(rng.randint(150, 300))), "en", "s", 0) for k in range(400)]
+    rows += [(900 + k, *rows[0][1:]) for k in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    bad = fertility_filter(df, only=["doc_id"]).where("doc_id < 900 AND NOT base_failed AND NOT kept").count()
+    assert bad <= 8
