@@ -42,6 +42,43 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE r <= 5
 """
 
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), said AS (
+  SELECT k, lang, source, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT k, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d)
+), words AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM said GROUP BY lang, term HAVING count(DISTINCT k) >= 10
+), used AS (
+  SELECT s.lang, s.source, s.term, CAST(count(*) AS HUGEINT) AS c FROM said s JOIN words USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, count(*) AS v, sum(c) AS n FROM words GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, coalesce((SELECT sum(c) FROM used u WHERE u.lang = g.lang AND u.source = g.source), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) g
+), weights AS (
+  SELECT g.lang, g.source, w.term, coalesce(u.c, 0) AS c,
+         1 + (1000000000 * (coalesce(u.c, 0) + 2)) // CAST(g.n + 2 * l.v AS HUGEINT) AS p,
+         1 + (1000000000 * (w.c + 2)) // CAST(l.n + 2 * l.v AS HUGEINT) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN words w USING (lang) LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = w.term
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM weights a JOIN weights b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM weights WHERE c > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 10
+"""
+
 
 def oracle_queries() -> dict[str, str]:
-    return {"op1_site_line_dedup": OP1, "op10_va_top_k": OP10}
+    return {"op1_site_line_dedup": OP1, "op10_va_top_k": OP10, "op13_source_divergence": OP13}

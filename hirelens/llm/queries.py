@@ -93,6 +93,12 @@ def op10_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.divergence import divergence
+
+    return divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 _ALL = (
     op1_site_line_dedup,
     op2_pfor_files,
@@ -104,6 +110,7 @@ _ALL = (
     op8_markov_secrets,
     op9_chat_format,
     op10_va_top_k,
+    op13_source_divergence,
 )
 
 
