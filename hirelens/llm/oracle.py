@@ -42,6 +42,30 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE r <= 5
 """
 
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e)
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), hard AS (
+  SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS r
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  WHERE 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE r <= 3
+"""
+
 OP13 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS k, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
@@ -81,4 +105,4 @@ FROM ranked WHERE part = 'pair' OR r <= 10
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op1_site_line_dedup": OP1, "op10_va_top_k": OP10, "op13_source_divergence": OP13}
+    return {"op1_site_line_dedup": OP1, "op10_va_top_k": OP10, "op11_hilbert_negatives": OP11, "op13_source_divergence": OP13}

@@ -93,6 +93,14 @@ def op10_va_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.hilbert_negatives import hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelens.llm.divergence import divergence
 
@@ -110,6 +118,7 @@ _ALL = (
     op8_markov_secrets,
     op9_chat_format,
     op10_va_top_k,
+    op11_hilbert_negatives,
     op13_source_divergence,
 )
 
