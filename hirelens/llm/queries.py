@@ -101,6 +101,19 @@ def op11_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", moved))
 
 
+def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hirelens.llm.common import vocabulary_path
+    from hirelens.llm.piece_spans import decode_pieces, encode_pieces
+
+    path = vocabulary_path("piece_bpe_32k.model")
+    pieces = encode_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    # the spans of a text's pieces follow one another, so their lengths add up to its bytes
+    covered = F.aggregate(F.zip_with("ends", "begins", lambda e, b: e - b), F.lit(0).cast("long"), lambda n, x: n + x)
+    decoded = decode_pieces(pieces.select("doc_id", "ids", covered.alias("span_bytes")), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "span_bytes")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hirelens.llm.divergence import divergence
 
@@ -119,6 +132,7 @@ _ALL = (
     op9_chat_format,
     op10_va_top_k,
     op11_hilbert_negatives,
+    op12_piece_spans,
     op13_source_divergence,
 )
 
