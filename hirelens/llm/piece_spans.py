@@ -10,11 +10,12 @@ record projects each piece back to the bytes of the original that it stands
 for: ``begins`` and ``ends``. A character without a piece becomes byte pieces;
 the last of them has the character's bytes, the others are empty.
 
-Merging takes the adjacent pair of the highest score, leftmost first, from a
-heap. No piece goes on from another character to a space mark, so a text is cut
-before its marks and a worker remembers the pieces of up to ``MAX_CHUNKS``
+Merging takes the adjacent pair of the highest score, leftmost first (long
+chunks: from a heap over a linked list). Two characters that no piece of the vocabulary has side by side are never
+merged over, so a text is cut between them (before space marks and digits, at
+most punctuation) and a worker remembers the pieces of up to ``MAX_CHUNKS``
 such chunks; the memory is emptied when full, and chunks over ``LONG`` bytes
-are not remembered. A vocabulary with such pieces is merged whole.
+are not remembered.
 
 Decoding gathers the pieces' bytes by one indexed copy per batch; a run of
 byte pieces that is no UTF-8 gives U+FFFD per bad byte, the first mark of a
@@ -43,12 +44,14 @@ from pyspark.sql import types as T
 from hirelens.llm.common import binary_array, buffers, runs, slices, without
 
 MAX_CHUNKS, LONG = 400_000, 64
+#: characters up to which a chunk counts as short
+FEW = 24
+_NEVER = 1 << 60
 #: ids decoded at a time
 IDS_AT_ONCE = 1 << 20
 #: one byte that no UTF-8 has stands for the space mark
 MARK, _MARK = "▁".encode(), b"\xff"
-_SPACE, _LITERAL = 0xFF, 0xFE
-_CHUNK = re.compile(rb"\xff+[^\xff]*|[^\xff]+")
+_SPACE, _LITERAL, _CUT = 0xFF, 0xFE, 0xFD
 _CHARACTER = re.compile(rb"[\x00-\x7f\xff]|[\xc0-\xfe][\x80-\xbf]*")
 RESULTS = ("ids", "begins", "ends")
 
@@ -192,74 +195,97 @@ class Encoder:
         m = _model(path)
         self.normalize = Normalizer(m.normalizer_spec)
         piece = m.SentencePiece
-        #: score (negated: the smallest goes first) and id by the piece's bytes
-        self.known = {p.piece.encode().replace(MARK, _MARK): (-p.score, i) for i, p in enumerate(m.pieces) if p.type == piece.NORMAL}
+        # by the piece's bytes: its place in the order of merges (equal scores share one), its id and length
+        normal = {p.piece.encode().replace(MARK, _MARK): (-p.score, i) for i, p in enumerate(m.pieces) if p.type == piece.NORMAL}
+        place = {score: i for i, score in enumerate(sorted({score for score, _ in normal.values()}))}
+        self.order = {p: place[score] for p, (score, _) in normal.items()}
+        self.packed = {p: (i | len(p) << 32).to_bytes(8, "little") for p, (_, i) in normal.items()}
         self.byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(m.pieces) if p.type == piece.BYTE}
-        self.apart = not any(_MARK in p.lstrip(_MARK) for p in self.known)
+        # bytes that some piece has side by side, and those inside a character
+        self.beside = np.zeros((256, 256), bool)
+        self.beside[:, 0x80:0xC0] = True
+        for p in self.order:
+            one = np.frombuffer(p, np.uint8)
+            self.beside[one[:-1], one[1:]] = True
         self.chunks: dict[bytes, bytes] = {}
 
     def merged(self, raw: bytes) -> bytes:
         """Pieces of a chunk: id and, in the upper half, its length."""
-        stops = [c.end() for c in _CHARACTER.finditer(raw)]
-        n, known = len(raw), self.known
-        after, before = dict(zip([0, *stops], [*stops, n])), dict(zip(stops, [0, *stops]))
-        heap = []
-        for i, mid in zip([0, *stops], stops):
-            end = after[mid]
-            if mid < n and (k := known.get(raw[i:end])) is not None:
-                heap.append((k[0], i, end))
+        parts = _CHARACTER.findall(raw)
+        parts = self.few(parts) if len(parts) <= FEW else self.many(parts)
+        try:
+            return b"".join([self.packed[p] for p in parts])
+        except KeyError:
+            return b"".join([self.packed.get(p) or self.spelt(p) for p in parts])
+
+    def spelt(self, character: bytes) -> bytes:
+        out = [self.byte_ids[b] for b in character.replace(_MARK, MARK)]
+        out[-1] |= len(character) << 32
+        return np.array(out, "<u8").tobytes()
+
+    def few(self, parts: list[bytes]) -> list[bytes]:
+        """A short chunk: the best of all adjacent pairs, time and again."""
+        get = self.order.get
+        pairs = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) != _NEVER:
+            i = pairs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], _NEVER)
+        return parts
+
+    def many(self, parts: list[bytes]) -> list[bytes]:
+        """A long chunk: a heap of pairs over a linked list of parts."""
+        n, get = len(parts), self.order.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(k, i, parts[i] + parts[i + 1]) for i in range(n - 1) if (k := get(parts[i] + parts[i + 1])) is not None]
         heapq.heapify(heap)
-        gone = set()
         while heap:
-            _, i, end = heapq.heappop(heap)
-            mid = after[i] if i not in gone else n
-            if mid >= n or after[mid] != end:
+            _, i, both = heapq.heappop(heap)
+            j = after[i]
+            if not parts[i] or j >= n or len(parts[i]) + len(parts[j]) != len(both):
                 continue  # one of the two has been merged with another
-            gone.add(mid)
-            after[i] = end
-            if end < n:
-                before[end] = i
-                if (k := known.get(raw[i : after[end]])) is not None:
-                    heapq.heappush(heap, (k[0], i, after[end]))
-            if i > 0:
-                p = before[i]
-                if (k := known.get(raw[p:end])) is not None:
-                    heapq.heappush(heap, (k[0], p, end))
-        out, i = [], 0
-        while i < n:
-            own = raw[i : after[i]]
-            k = known.get(own)
-            if k is not None:
-                out.append(k[1] | len(own) << 32)
-            else:
-                out += [self.byte_ids[b] for b in own.replace(_MARK, MARK)]
-                out[-1] |= len(own) << 32
-            i = after[i]
-        return np.array(out, "<u8").tobytes()
-
-    def text(self, raw: bytes) -> bytes:
-        parts, known = _CHUNK.findall(raw) if self.apart else [raw], self.chunks
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            pass
-        if len(known) + len(parts) > MAX_CHUNKS:
+            parts[i], parts[j], after[i] = both, b"", after[j]
+            if (j := after[i]) < n:
+                before[j] = i
+                if (k := get(both + parts[j])) is not None:
+                    heapq.heappush(heap, (k, i, both + parts[j]))
+            if (h := before[i]) >= 0 and (k := get(parts[h] + both)) is not None:
+                heapq.heappush(heap, (k, h, parts[h] + both))
+        return [p for p in parts if p]
+
+    def cut(self, data: np.ndarray, off: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The chunks of all texts, and where each text's start."""
+        begins = np.zeros(len(data), bool)
+        begins[1:] = ~self.beside[data[:-1], data[1:]]
+        begins[off[:-1][off[:-1] < off[1:]]] = True
+        places = np.flatnonzero(begins)
+        marked = np.full(len(data) + len(places), _CUT, np.uint8)
+        marked[np.arange(len(data)) + np.cumsum(begins)] = data
+        return marked.tobytes().split(bytes([_CUT]))[1:], np.searchsorted(places, off)
+
+    def pieces(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
+        """Pieces of every normalised text, as of ``merged``."""
+        parts, at = self.cut(data, off)
+        known = self.chunks
+        new = set(parts).difference(known)
+        if len(known) + len(new) > MAX_CHUNKS:
             known.clear()
-        out = []
-        for p in parts:
-            found = known.get(p)
-            if found is None:
-                found = self.merged(p)
-                if len(p) <= LONG and len(known) < MAX_CHUNKS:
-                    known[p] = found
-            out.append(found)
-        return b"".join(out)
+            new = set(parts)
+        known.update(zip(new, map(self.merged, new)))
+        out = [b"".join(map(known.__getitem__, parts[a:b])) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        for p in new:
+            if len(p) > LONG:
+                del known[p]
+        return out
 
     def batch(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
         """ids, begins, ends of all texts, and where each text's start."""
         out, at, source = self.normalize(data, off)
-        raw, at = out.tobytes(), at.tolist()
-        found = [self.text(raw[a:b]) for a, b in zip(at[:-1], at[1:])]
+        found = self.pieces(out, at)
         counts = np.array([len(x) // 8 for x in found], np.int64)
         flat = np.frombuffer(b"".join(found), "<u8")
         ids, lens = (flat & np.uint64(0xFFFFFFFF)).astype(np.int32), (flat >> np.uint64(32)).astype(np.int64)
