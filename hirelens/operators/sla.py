@@ -4,10 +4,10 @@
   an exploded array of structs (an unpivot), not four scans unioned.
 * Breaches: a narrow filter + flag on top, no shuffle.
 * Compliance: durations are counted in whole microseconds per (recruiter,
-  org, transition) and an exact P90 is selected from the counts digit by
-  digit (``functions.percentile``), so no group meets in one task. A null
+  org, transition) and an exact P90 is looked up in the counts part by part
+  (``functions.percentile``), so no group meets in one task. A null
   recruiter is a group of its own.
-* Rollup: the finest counts, added up to the coarser levels.
+* Rollup: the finest counts, added up to the coarser levels by grouping sets.
 """
 
 from __future__ import annotations
@@ -85,11 +85,11 @@ def _counted_durations(breaches: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _summary(counts: DataFrame, keys: list[str], percentile: float) -> DataFrame:
-    micros = F.sum((F.col("_v") * F.col("_n")).cast("decimal(38,0)"))
-    aggs = [F.sum("_n").alias("total_cases"), F.sum("_breaches").alias("breaches"), (micros.cast("double") / F.sum("_n") / MICROS_PER_DAY).alias("avg_duration_days")]
-    out = percentile_of_counts(counts, keys, percentile, "p90_duration_days", MICROS_PER_DAY, aggs)
+    sums = {"total_cases": F.col("_n"), "breaches": F.col("_breaches"), "_micros": (F.col("_v") * F.col("_n")).cast("decimal(38,0)")}
+    out = percentile_of_counts(counts, keys, percentile, "p90_duration_days", MICROS_PER_DAY, sums)
     rate = F.lit(1.0) - safe_ratio(F.col("breaches"), F.col("total_cases"))
-    return out.select(*keys, "total_cases", "breaches", rate.alias("compliance_rate"), "avg_duration_days", "p90_duration_days")
+    mean = F.col("_micros").cast("double") / F.col("total_cases") / MICROS_PER_DAY
+    return out.select(*keys, "total_cases", "breaches", rate.alias("compliance_rate"), mean.alias("avg_duration_days"), "p90_duration_days")
 
 
 def sla_compliance(breaches: DataFrame, percentile: float = SLA_PERCENTILE) -> DataFrame:
@@ -112,11 +112,12 @@ def sla_compliance_rollup(breaches: DataFrame, percentile: float = SLA_PERCENTIL
     add up these counts (a percentile follows from counts, not from finer
     percentiles)."""
     fine = _counted_durations(breaches, ["transition_name", "org", "recruiter_id"])
-    no_org, no_recruiter = (F.lit(None).cast(fine.schema[c].dataType) for c in ("org", "recruiter_id"))
-    level = lambda k, o, r: F.struct(F.lit(LEVELS[k]).alias("l"), o.alias("o"), r.alias("r"))
-    levels = F.array(level(0, no_org, no_recruiter), level(1, F.col("org"), no_recruiter), level(2, F.col("org"), F.col("recruiter_id")))
-    each = fine.select("transition_name", "_v", "_n", "_breaches", F.explode(levels).alias("_g"))
+    sets = [["transition_name", "_v"], ["transition_name", "org", "_v"], ["transition_name", "org", "recruiter_id", "_v"]]
+    counts = fine.groupingSets([[F.col(c) for c in g] for g in sets], "transition_name", "org", "recruiter_id", "_v").agg(
+        F.grouping_id().alias("_id"), F.sum("_n").alias("_n"), F.sum("_breaches").alias("_breaches")
+    )
+    # the bits of the grouping id: transition, org, recruiter, value
+    level = F.when(F.col("_id") == 0b0110, LEVELS[0]).when(F.col("_id") == 0b0010, LEVELS[1]).otherwise(LEVELS[2])
     keys = ["grouping_level", "transition_name", "org", "recruiter_id"]
-    each = each.select(F.col("_g.l").alias(keys[0]), keys[1], F.col("_g.o").alias(keys[2]), F.col("_g.r").alias(keys[3]), "_v", "_n", "_breaches")
-    counts = each.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"), F.sum("_breaches").alias("_breaches"))
+    counts = counts.select(level.alias("grouping_level"), *keys[1:], "_v", "_n", "_breaches")
     return _summary(counts, keys, percentile)
