@@ -79,13 +79,16 @@ def sla_breaches(transitions: DataFrame) -> DataFrame:
 
 
 def _counted_durations(breaches: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key and duration in whole microseconds."""
+    """Rows per key, duration in whole microseconds and breach flag. The flag
+    is a key and not a second count: the percentile reads the counts twice, and
+    only equal columns let both readings share one shuffle."""
     rows = breaches.select(*keys, "is_breach", micros_between("start_ts", "end_ts").alias("_micros"))
-    return counted(rows, keys, "_micros", [F.sum(F.col("is_breach").cast("long")).alias("_breaches")])
+    return counted(rows, [*keys, "is_breach"], "_micros")
 
 
 def _summary(counts: DataFrame, keys: list[str], percentile: float) -> DataFrame:
-    sums = {"total_cases": F.col("_n"), "breaches": F.col("_breaches"), "_micros": (F.col("_v") * F.col("_n")).cast("decimal(38,0)")}
+    late = F.when(F.col("is_breach"), F.col("_n")).otherwise(0).cast("long")
+    sums = {"total_cases": F.col("_n"), "breaches": late, "_micros": (F.col("_v") * F.col("_n")).cast("decimal(38,0)")}
     out = percentile_of_counts(counts, keys, percentile, "p90_duration_days", MICROS_PER_DAY, sums)
     rate = F.lit(1.0) - safe_ratio(F.col("breaches"), F.col("total_cases"))
     mean = F.col("_micros").cast("double") / F.col("total_cases") / MICROS_PER_DAY
@@ -112,12 +115,10 @@ def sla_compliance_rollup(breaches: DataFrame, percentile: float = SLA_PERCENTIL
     add up these counts (a percentile follows from counts, not from finer
     percentiles)."""
     fine = _counted_durations(breaches, ["transition_name", "org", "recruiter_id"])
-    sets = [["transition_name", "_v"], ["transition_name", "org", "_v"], ["transition_name", "org", "recruiter_id", "_v"]]
-    counts = fine.groupingSets([[F.col(c) for c in g] for g in sets], "transition_name", "org", "recruiter_id", "_v").agg(
-        F.grouping_id().alias("_id"), F.sum("_n").alias("_n"), F.sum("_breaches").alias("_breaches")
-    )
-    # the bits of the grouping id: transition, org, recruiter, value
-    level = F.when(F.col("_id") == 0b0110, LEVELS[0]).when(F.col("_id") == 0b0010, LEVELS[1]).otherwise(LEVELS[2])
-    keys = ["grouping_level", "transition_name", "org", "recruiter_id"]
-    counts = counts.select(level.alias("grouping_level"), *keys[1:], "_v", "_n", "_breaches")
+    finest = ["transition_name", "org", "recruiter_id"]
+    sets = [[F.col(c) for c in (*finest[:n], "is_breach", "_v")] for n in (1, 2, 3)]
+    counts = fine.groupingSets(sets, *finest, "is_breach", "_v").agg(F.grouping("org").alias("_org"), F.grouping("recruiter_id").alias("_recruiter"), F.sum("_n").alias("_n"))
+    level = F.when(F.col("_org") == 1, LEVELS[0]).when(F.col("_recruiter") == 1, LEVELS[1]).otherwise(LEVELS[2])
+    keys = ["grouping_level", *finest]
+    counts = counts.select(level.alias("grouping_level"), *finest, "is_breach", "_v", "_n")
     return _summary(counts, keys, percentile)

@@ -2,11 +2,14 @@
 
 Plan shape (what makes this hold at scale):
 
-* The events are reduced to one row per application in ONE hash aggregate
-  (seven conditional maxima plus a packed latest-event key). The
-  aggregate runs partially on the map side, so a single application that
-  carries a third of all events still shuffles one row per map task.
-* The aggregate output is already hash-partitioned by ``application_id``;
+* The events are read once and reduced in ONE hash aggregate of fixed-width
+  maxima (the latest one as time and stage rank packed in a long), partially
+  on the map side, so a single application that carries a third of all events
+  still ships one row per map task. Stages outside the domain have no rank;
+  their name is a key of the aggregate instead, null for all others, so clean
+  data has one row per application.
+* A window over these rows puts an application's few rows together and picks
+  the latest; its output is sorted and partitioned by ``application_id``, so
   only the application table is shuffled to meet it.
 * Dimensions are joined narrowly (key + needed columns); Spark broadcasts
   those whose measured size allows it and splits skewed partitions otherwise.
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hirelens.constants import STAGE_COLUMNS, STAGES, TERMINAL_STAGES
 from hirelens.functions.time import days_between, epoch_micros
@@ -49,41 +53,21 @@ def promote_events(stage_events_raw: DataFrame, applications: DataFrame) -> Data
     ).select(*EVENT_COLUMNS)
 
 
-def _packed_latest() -> Column:
-    """Maximum of (time, stage rank) packed into one long, ordered like the
-    pair. A plain ``max`` over it finds the latest event with the pipeline
-    tie-break, and keeps the aggregation buffer fixed-width, so Spark plans a
-    code-generated hash aggregate with map-side partial aggregation
-    (``max_by`` over a struct would force a sort-based aggregate). An event
-    without a time is never the latest."""
-    return F.max(epoch_micros("stage_ts") * _PLACES + stage_rank("stage").cast("long")).alias("_latest")
-
-
-def _other_stages(stage_events: DataFrame) -> DataFrame:
-    """Names outside the domain by (application, time): the packed key has no
-    room for a name. Empty on clean data; the smallest name wins a tie."""
-    odd = stage_events.where(F.col("stage").isNotNull() & ~F.col("stage").isin(*STAGES) & F.col("stage_ts").isNotNull())
-    names = odd.groupBy("application_id", F.col("stage_ts").alias("_other_ts")).agg(F.array_min(F.collect_set("stage")).alias("_other"))
-    return names.withColumnRenamed("application_id", "_other_id")
-
-
-def _latest_aggs() -> list[Column]:
-    # the greatest time is the winner's time: no event with a time is left out
-    return [_packed_latest(), F.max("stage_ts").alias("latest_stage_ts")]
-
-
-def _with_other(df: DataFrame, stage_events: DataFrame) -> DataFrame:
-    """``df`` (application_id, _latest, latest_stage_ts) with ``_other``: the
-    winner's name if that is outside the domain."""
-    odd = (F.pmod("_latest", F.lit(_PLACES)) == _OTHER) & (F.col("application_id") == F.col("_other_id")) & (F.col("latest_stage_ts") == F.col("_other_ts"))
-    return df.join(_other_stages(stage_events), odd, "left").drop("_other_id", "_other_ts")
-
-
-def _latest_name() -> Column:
-    """Stage name of the winning event; null if it has none, or there is none."""
-    place = F.pmod("_latest", F.lit(_PLACES)).cast("int")
-    known = F.get(F.array(*[F.lit(s) for s in STAGES]), place - 2)
-    return F.when(place == _OTHER, F.col("_other")).when(place > _OTHER, known)
+def _latest_by_application(stage_events: DataFrame, aggs: dict[str, Column]) -> DataFrame:
+    """One row per application: application_id, the maxima ``aggs`` over all
+    its events, latest_stage and latest_stage_ts. Ordered by time, then by
+    pipeline rank, then by name; an event without a time is never the latest."""
+    odd = F.when(F.col("stage").isNotNull() & ~F.col("stage").isin(*STAGES), F.col("stage")).alias("_odd")
+    packed = F.max(epoch_micros("stage_ts") * _PLACES + stage_rank().cast("long")).alias("_latest")
+    aggs = {**{name: F.max(c) for name, c in aggs.items()}, "latest_stage_ts": F.max("stage_ts")}
+    parts = stage_events.groupBy("application_id", odd).agg(packed, *[c.alias(name) for name, c in aggs.items()])
+    app = Window.partitionBy("application_id")
+    place = F.row_number().over(app.orderBy(F.desc_nulls_last("_latest"), "_odd")).alias("_place")
+    rows = parts.select("application_id", "_odd", "_latest", *[F.max(name).over(app).alias(name) for name in aggs], place).where("_place = 1")
+    rank = F.pmod("_latest", F.lit(_PLACES)).cast("int")
+    known = F.get(F.array(*[F.lit(s) for s in STAGES]), rank - _OTHER - 1)
+    name = F.when(rank == _OTHER, F.col("_odd")).when(rank > _OTHER, known)
+    return rows.select("application_id", *aggs, name.alias("latest_stage"))
 
 
 def latest_stage(stage_events: DataFrame) -> DataFrame:
@@ -92,18 +76,17 @@ def latest_stage(stage_events: DataFrame) -> DataFrame:
     event without a stage gives a null stage, one outside the domain its own
     text.
 
-    A grouped max over a packed (time, rank) key instead of a ranked
-    window: it aggregates partially before the shuffle, so hot
-    applications do not pile up in a single task.
+    A grouped max over a packed (time, rank) key instead of a window over the
+    events: it aggregates partially before the shuffle, so hot applications do
+    not pile up in a single task.
     """
-    agg = stage_events.groupBy("application_id").agg(*_latest_aggs())
-    return _with_other(agg, stage_events).select("application_id", _latest_name().alias("latest_stage"), "latest_stage_ts")
+    return _latest_by_application(stage_events, {}).select("application_id", "latest_stage", "latest_stage_ts")
 
 
-def _pivot_aggs() -> list[Column]:
-    return [
-        F.max(F.when(F.col("stage") == s, F.col("stage_ts"))).alias(STAGE_COLUMNS[s]) for s in STAGES
-    ] + _latest_aggs()
+def _pivot(stage_events: DataFrame) -> DataFrame:
+    """One row per application: the latest time of each stage, the latest
+    stage and its time."""
+    return _latest_by_application(stage_events, {STAGE_COLUMNS[s]: F.when(F.col("stage") == s, F.col("stage_ts")) for s in STAGES})
 
 
 def terminal_stage(latest: Column | str = "latest_stage") -> Column:
@@ -178,9 +161,8 @@ def lifecycle(
     join and columns are left out, which at scale saves a shuffle of the
     application table by candidate.
     """
-    # Narrow inputs, then ONE projection for every derived column: each
-    # DataFrame step is analysed on the driver, so fewer steps plan faster.
-    pivot = stage_events.select("application_id", "stage", "stage_ts").groupBy("application_id").agg(*_pivot_aggs())
+    # ONE projection for every derived column: each DataFrame step is analysed
+    # on the driver, so fewer steps plan faster.
     base = applications.select("application_id", "candidate_id", "req_id", "recruiter_id")
     skipped: set[str] = set()
     if requisitions is not None:
@@ -191,9 +173,8 @@ def lifecycle(
         base = base.join(candidates.select("candidate_id", "source"), "candidate_id", "left")
     else:
         skipped.add("source")
-    base = base.join(_with_other(pivot, stage_events), "application_id", "left")
-    latest = _latest_name()
-    derived = {"latest_stage": latest, "terminal_stage": terminal_stage(latest), **duration_columns()}
+    base = base.join(_pivot(stage_events), "application_id", "left")
+    derived = {"terminal_stage": terminal_stage(), **duration_columns()}
     return base.select(
         *[derived[c].alias(c) if c in derived else F.col(c) for c in LIFECYCLE_COLUMNS if c not in skipped]
     )
