@@ -5,7 +5,7 @@
 
 Everything is written below ``--out``/_runs/<run id>; the run is published when
 all of it is there (``plans.publish``), so a failure leaves the earlier marts
-readable. The session comes from the launcher (``spark-submit`` decides master
+readable; runs older than the last ``--keep`` are then removed. The session comes from the launcher (``spark-submit`` decides master
 and resources); only SQL settings that the library relies on are set, and only
 when the launcher left them unset.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from hirelens.plans.load import MODES, load_tables
 from hirelens.plans.marts import MartPaths, build_marts, mart_paths
-from hirelens.plans.publish import current_run, delete_dir, new_run, publish
+from hirelens.plans.publish import current_run, delete_dir, is_published, new_run, publish, sweep
 from hirelens.sources.files import read_hiring_tables
 
 SQL_DEFAULTS = {
@@ -39,6 +39,7 @@ def run(
     duplicate_mode: str = "reference",
     out_format: str = "parquet",
     multi_line: bool = False,
+    keep: int = 2,
 ) -> MartPaths:
     """Load, audit, build and publish; the paths of the published marts."""
     for key, value in SQL_DEFAULTS.items():
@@ -49,10 +50,13 @@ def run(
         exports = read_hiring_tables(spark, input_dir, fmt=fmt, id_type=id_type, multi_line=multi_line)
         tables = load_tables(exports, f"{run_dir}/tables", constraints)
         paths = build_marts(tables, f"{run_dir}/marts", duplicate_mode=duplicate_mode, fmt=out_format)
+        publish(spark, out_dir, run_id)
     except Exception:
-        delete_dir(spark, run_dir)
+        # a failure after the line was written leaves a run that readers see
+        if not is_published(spark, out_dir, run_id):
+            delete_dir(spark, run_dir)
         raise
-    publish(spark, out_dir, run_id)
+    sweep(spark, out_dir, keep)
     return paths
 
 
@@ -72,9 +76,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--id-type", default="string", choices=("string", "long"))
     p.add_argument("--constraints", default="audit", choices=MODES, help="write the violations, or fail if there are any")
     p.add_argument("--duplicate-mode", default="reference", choices=("reference", "symmetric"))
+    p.add_argument("--keep", type=int, default=2, help="published runs that stay on storage")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("hirelens-marts").getOrCreate()
-    paths = run(spark, a.input, a.out, a.format, a.id_type, a.constraints, a.duplicate_mode, a.out_format, a.multi_line)
+    paths = run(spark, a.input, a.out, a.format, a.id_type, a.constraints, a.duplicate_mode, a.out_format, a.multi_line, a.keep)
     print(json.dumps(paths.as_dict()))
 
 
