@@ -9,7 +9,7 @@ the exception rules are one table of (rule, condition) applied to each
 lifecycle row, duplicates an EXISTS, percentiles ``quantile_cont``.
 
 Doubles are rounded to 6 decimals on both sides; the evaluation time of the
-exception log is left out (not reproducible).
+exception log is a literal on both sides.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ stage_events_raw AS (SELECT event_id, application_id, stage, stage_ts, actor_typ
 stage_events AS (SELECT * FROM stage_events_raw WHERE application_id IN (SELECT application_id FROM applications)),
 offers AS (
   SELECT concat_ws('-', l_partkey, l_suppkey, l_returnflag) AS offer_id, application_id,
-         stage_ts - to_days(CASE WHEN l_suppkey % 10 = 0 THEN 10 ELSE 0 END) AS offer_ts,
+         CASE WHEN l_partkey % 53 <> 52 THEN stage_ts - to_days(CASE WHEN l_suppkey % 10 = 0 THEN 10 ELSE 0 END) END AS offer_ts,
          CASE l_returnflag WHEN 'A' THEN 'ACCEPTED' WHEN 'R' THEN 'DECLINED' WHEN 'N' THEN 'EXPIRED' END AS decision,
          CASE WHEN l_partkey % 31 <> 30 THEN substr('ABC', CAST(1 + l_partkey % 3 AS INTEGER), 1) END AS comp_band
   FROM lines WHERE stage = 'OFFER'
@@ -300,6 +300,9 @@ def _exc(where: str = "TRUE") -> str:
     return _q(f"SELECT exception_type, severity, application_id, event_id, details FROM exceptions WHERE {where}")
 
 
+DETECTED = "TIMESTAMP '2024-01-01 00:00:00' AS detected_ts"
+
+
 def oracle_queries() -> dict[str, str]:
     life_all = LIFE_COLS.format(latest_ts="latest_stage_ts, ")
     life_mart = LIFE_COLS.format(latest_ts="")
@@ -307,7 +310,7 @@ def oracle_queries() -> dict[str, str]:
         f"SELECT recruiter_id, org, transition_name, {COMPLIANCE_AGGS} FROM sla_breaches GROUP BY recruiter_id, org, transition_name"
     )
     breaches = _q(f"SELECT {BREACH_COLS}, is_breach FROM sla_breaches")
-    exceptions = _exc()
+    exceptions = _q(f"SELECT exception_type, severity, application_id, event_id, details, {DETECTED} FROM exceptions")
     out = {
         "promote_events": _q("SELECT event_id, application_id, stage, stage_ts, actor_type FROM stage_events"),
         "latest_stage": _q("SELECT application_id, latest_stage, latest_stage_ts FROM per_app"),
@@ -330,6 +333,19 @@ def oracle_queries() -> dict[str, str]:
         "funnel_metrics": _funnel("org, job_family, source, apply_week"),
         "funnel_by_source": _funnel("source"),
         "funnel_by_org": _funnel("org"),
+        "funnel_grains": _q(
+            f"""SELECT CASE WHEN no_week = 0 AND no_org = 0 THEN 'FULL' WHEN no_week = 0 THEN 'WEEK' WHEN no_org = 0 THEN 'ORG'
+            WHEN no_source = 0 THEN 'SOURCE' ELSE 'OVERALL' END AS grain,
+       org, job_family, source, apply_week, applied, screened, onsite, offered, hired, {_funnel_rates()}
+FROM (SELECT org, job_family, source, apply_week, {FUNNEL_COUNTS},
+             grouping(org) AS no_org, grouping(source) AS no_source, grouping(apply_week) AS no_week
+      FROM (SELECT *, CAST(date_trunc('week', applied_ts) AS TIMESTAMP) AS apply_week FROM life) l
+      GROUP BY GROUPING SETS ((), (source), (org), (apply_week), (org, job_family, source, apply_week))) g"""
+        ),
+        "csv_candidates": _q("SELECT * FROM candidates"),
+        "csv_requisitions": _q("SELECT * FROM requisitions"),
+        # ids are read in lower case
+        "csv_offers": _q("SELECT * REPLACE (lower(offer_id) AS offer_id) FROM offers"),
         "kpi_summary": _q(
             f"""SELECT applied, screened, onsite, offered, hired, hires_with_time_to_hire,
        {_r('avg_time_to_hire_days', 'avg_time_to_hire_days')}, {_funnel_rates()},

@@ -125,6 +125,12 @@ def _row_checks(spec: TableSpec) -> list[tuple[Column, str, str]]:
     return checks
 
 
+def row_check_metrics(spec: TableSpec) -> dict[tuple[str, str], Column]:
+    """(constraint type, columns) -> number of rows that fail, as aggregates
+    for ``DataFrame.observe``: counted in the pass that writes the table."""
+    return {(kind, cols): F.count_if(failed) for failed, kind, cols in _row_checks(spec)}
+
+
 def audit_rows(tables: Mapping[str, DataFrame], kinds: tuple[str, ...] = ("NOT_NULL", "RANGE", "DOMAIN", "DATE_ORDER", "LENGTH")) -> DataFrame:
     """Every row-level violation, in one narrow pass per table."""
     parts = []
@@ -197,6 +203,13 @@ AUDITS = {
 }
 
 
+def audit_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The checks that compare rows: one aggregate per key, one anti join per
+    reference. A null primary key is left to the row checks."""
+    keys = audit_primary_key(tables).where("constraint_type = 'PRIMARY_KEY'")
+    return _union([keys, audit_unique(tables), audit_foreign_key(tables)])
+
+
 def audit_constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every audit in one long-form result: one pass per table for all
     row-level checks, one aggregate per key, one anti join per reference."""

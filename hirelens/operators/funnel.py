@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from hirelens.functions.ratio import safe_ratio
 from hirelens.functions.time import week_start
 
+COUNTS = ("applied", "screened", "onsite", "offered", "hired")
+RATES = ("applied_to_screen_rate", "screen_to_onsite_rate", "onsite_to_offer_rate", "offer_to_hire_rate")
 FUNNEL_KEYS = ("org", "job_family", "source", "apply_week")
 
 
@@ -57,6 +59,25 @@ def funnel_metrics(life: DataFrame, by: Sequence[str] = FUNNEL_KEYS) -> DataFram
     return _rates(life.groupBy(*[_key(k) for k in by]).agg(*_counts()))
 
 
+#: grain -> the funnel keys that it keeps
+GRAINS = {"OVERALL": (), "SOURCE": ("source",), "ORG": ("org",), "WEEK": ("apply_week",), "FULL": FUNNEL_KEYS}
+
+
+def funnel_grains(life: DataFrame) -> DataFrame:
+    """The funnel at every grain of ``GRAINS`` in one aggregate (grouping
+    sets): ``grain``, the keys (null where a grain leaves one out; ``grain``
+    tells that from a null key), counts and rates. No rows give no rows."""
+    weeks = life.withColumn("apply_week", _key("apply_week"))
+    sets = [[F.col(k) for k in keys] for keys in GRAINS.values()]
+    agg = weeks.groupingSets(sets, *FUNNEL_KEYS).agg(F.grouping_id().alias("_id"), *_counts())
+    # a bit per key, from the left, set where the grain leaves it out
+    left_out = {name: sum((k not in keys) << i for i, k in enumerate(reversed(FUNNEL_KEYS))) for name, keys in GRAINS.items()}
+    grain = F.lit(None)
+    for name, bits in left_out.items():
+        grain = F.when(F.col("_id") == bits, name).otherwise(grain)
+    return _rates(agg.where("applied > 0").withColumn("grain", grain)).select("grain", *FUNNEL_KEYS, *COUNTS, *RATES)
+
+
 def kpi_summary(life: DataFrame) -> DataFrame:
     """Whole-population KPIs: stage counts, step rates, offer acceptance
     rate (hired / offered) and time to hire (days from APPLIED to HIRED,

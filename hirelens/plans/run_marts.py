@@ -5,7 +5,9 @@
 
 Everything is written below ``--out``/_runs/<run id>; the run is published when
 all of it is there (``plans.publish``), so a failure leaves the earlier marts
-readable; runs older than the last ``--keep`` are then removed. The session comes from the launcher (``spark-submit`` decides master
+readable; runs older than the last ``--keep`` are then removed. Lines of a CSV
+export that don't fit its schema fail the job and are listed below
+``--out``/_rejected/<run id>. The session comes from the launcher (``spark-submit`` decides master
 and resources); only SQL settings that the library relies on are set, and only
 when the launcher left them unset.
 """
@@ -17,6 +19,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from hirelens.plans.ingest import ingest_csv
 from hirelens.plans.load import MODES, load_tables
 from hirelens.plans.marts import MartPaths, build_marts, mart_paths
 from hirelens.plans.publish import current_run, delete_dir, is_published, new_run, publish, sweep
@@ -47,7 +50,10 @@ def run(
             spark.conf.set(key, value)
     run_id, run_dir = new_run(out_dir)
     try:
-        exports = read_hiring_tables(spark, input_dir, fmt=fmt, id_type=id_type, multi_line=multi_line)
+        if fmt == "csv":
+            exports = ingest_csv(spark, input_dir, f"{run_dir}/exports", f"{out_dir.rstrip('/')}/_rejected/{run_id}", id_type, multi_line)
+        else:
+            exports = read_hiring_tables(spark, input_dir, fmt=fmt, id_type=id_type)
         tables = load_tables(exports, f"{run_dir}/tables", constraints)
         paths = build_marts(tables, f"{run_dir}/marts", duplicate_mode=duplicate_mode, fmt=out_format)
         publish(spark, out_dir, run_id)

@@ -125,7 +125,8 @@ def bind_testdata(spark: SparkSession, sf_dir: str) -> HiringTables:
     offers = events.where(F.col("stage") == "OFFER").select(
         F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"), F.col("l_returnflag")).alias("offer_id"),
         "application_id",
-        F.when(
+        F.when(F.col("l_partkey") % 53 == 52, F.lit(None).cast("timestamp_ntz"))
+        .when(
             F.col("l_suppkey") % 10 == 0,
             F.col("stage_ts") - F.make_dt_interval(F.lit(10)),
         )

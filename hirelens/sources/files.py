@@ -48,6 +48,37 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     )
 
 
+#: holds a line that does not fit the schema, whole; null for the others
+REJECTED = "_rejected_line"
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """As ``read_csv``, but a line with a malformed value or the wrong number
+    of fields comes as a row with its text in ``REJECTED`` instead of failing
+    the read. A wrong header still fails it."""
+    held = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    return (
+        spark.read.schema(held)
+        .options(**CSV_DIALECT, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, enforceSchema=False, nullValue="\u0000", multiLine=multi_line)
+        .csv(path)
+    )
+
+
+def rejected_lines(scanned: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+    """(table_name, file, line, reason) of the rejected lines of ``scan_csv``:
+    the first column whose text is no value of its type, or the field count."""
+    texts = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    options = {**CSV_DIALECT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_short", "nullValue": "\u0000"}
+    bad = scanned.where(F.col(REJECTED).isNotNull()).select("*", F.col("_metadata.file_path").alias("_file"))
+    bad = bad.withColumn("_t", F.from_csv(REJECTED, texts + ", _short string", options))
+    reason = F.when(F.col("_t._short").isNotNull(), F.lit(f"not {len(schema.fields)} fields"))
+    for f in schema.fields:
+        text = F.col("_t").getField(f.name)
+        what = F.concat(F.lit(f"{f.name}: no {f.dataType.simpleString()}: "), text)
+        reason = reason.when(text.isNotNull() & F.col(f.name).isNull(), what)
+    return bad.select(F.lit(name).alias("table_name"), F.col("_file").alias("file"), F.col(REJECTED).alias("line"), reason.otherwise("malformed").alias("reason"))
+
+
 def read_csv_table(spark: SparkSession, path: str, name: str, id_type: str = "string", multi_line: bool = False) -> DataFrame:
     """One CSV export of a hiring table, see ``read_csv``."""
     return _normalise_ids(read_csv(spark, path, table_schema(name, id_type), multi_line), name)

@@ -35,10 +35,10 @@ def test_every_hiring_query_has_oracle_sql():
 
 
 def test_building_a_query_starts_no_job(spark):
-    """The marts are sinks and write; every other query is a lazy plan."""
+    """The marts and the CSV files are sinks and write; every other query is a lazy plan."""
     tracker = spark.sparkContext.statusTracker()
     for name, query in E._hiring_queries().items():
-        if name.startswith("mart_"):
+        if name.startswith(("mart_", "csv_")):
             continue
         spark.sparkContext.setJobGroup(f"build {name}", name)
         query(spark, SF)
