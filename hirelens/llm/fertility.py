@@ -16,10 +16,13 @@ interquartile range is taken as no less than what chance makes of texts of its
 length. A document outside a band is rejected, as is one that fails the base
 rules (``base_failed``).
 
+A class with few documents is held against the nearest size's band, a
+language with few against the corpus's, so a text is judged by like measure in
+a small table and in a large one.
+
 Defined results: a null or empty text has no words, hence fails the base
 rules; a null language is a language of its own; texts with fewer than
-``min_tokens`` tokens, and classes with fewer than ``min_documents`` measured
-texts, are held against no band. Repeated rows get equal results.
+``min_tokens`` tokens are held against no band. Repeated rows get equal results.
 Input columns named like a result column are replaced.
 """
 
@@ -120,9 +123,9 @@ def _entropy(ids: list[bytes], is_byte: np.ndarray) -> tuple[np.ndarray, np.ndar
     flat = np.frombuffer(b"".join(ids), "<u2")
     off = np.concatenate([[0], np.cumsum(lens)])
     n_byte = per_text(is_byte[flat], off)
-    key = np.repeat(np.arange(len(lens), dtype=np.uint32) << np.uint32(16), lens) | flat
+    key = np.repeat(np.arange(len(lens), dtype=np.int64) << 16, lens) | flat
     found, count = np.unique(key, return_counts=True)
-    at = (found >> np.uint32(16)).astype(np.int64)
+    at = found >> 16
     share = count / lens[at]
     bits = np.bincount(at, weights=-share * np.log2(share), minlength=len(lens))
     most = np.log2(np.clip(np.minimum(lens, len(is_byte)), 2, None))
@@ -159,12 +162,16 @@ def fertility_features(docs: DataFrame, text: str = "text", model: str | None =
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *_FEATURES.fields]))
 
 
+#: measures whose class has a size: the greatest one (bits of a token count, or of its square)
+SIZES = {"chars_per_token": 32, "byte_share": 0, "token_entropy": 64}
+
+
 def _classes() -> dict:
     """The class in which each measure is compared: all of a language, its
     texts of one doubling of the token count, or of one half doubling."""
-    n = F.col("n_tokens")
-    sizes = {"chars_per_token": F.length(F.bin(n)), "byte_share": F.lit(""), "token_entropy": F.length(F.bin(n * n))}
-    return {m: F.concat(F.lit(f"{m} "), sizes[m]) for m in GRID}
+    n = F.least(F.col("n_tokens"), F.lit(2**31 - 1))
+    sizes = {"chars_per_token": F.length(F.bin(n)), "byte_share": F.lit(0), "token_entropy": F.length(F.bin(n * n))}
+    return {m: F.concat(F.lit(f"{m} "), F.least(sizes[m], F.lit(SIZES[m])).cast("string")) for m in GRID}
 
 
 def fertility_bands(features: DataFrame, lang: str = "lang", spread: dict[str, tuple[float, float]] = SPREAD, min_tokens: int = 40, min_documents: int = 30) -> DataFrame:
@@ -172,38 +179,79 @@ def fertility_bands(features: DataFrame, lang: str = "lang", spread: dict[str, t
     measure on its grid, over one text of each group of copies (any, by hash),
     widened by ``spread`` (below, above) interquartile ranges of at least
     ``LEAST``, and by more where a class's documents make fewer than
-    ``min_documents`` groups. What is counted are at most some thousand grid
-    points per class."""
+    ``min_documents`` groups. Every language has a band for every class: a
+    class with fewer than ``min_documents`` documents takes the nearest size's,
+    widened by the distance, then the whole corpus's, then its own. What is
+    counted are at most some thousand grid points per class."""
     points = F.array(*[F.struct(c.alias("class"), F.floor(F.col(m) * GRID[m]).alias("point")) for m, c in _classes().items()])
     measures = ["n_tokens", *GRID]
     one = (
         features.where(F.col("n_tokens") >= min_tokens)
-        .groupBy(column(features, lang).alias("band_lang"), _GROUP)
+        .groupBy(column(features, lang).cast("string").alias("band_lang"), _GROUP)
         .agg(F.min(F.struct(F.xxhash64(*measures), *measures)).alias("one"), F.count("*").alias("documents"))
     )
+    # a language's own points, and the same points for the corpus; its name in a struct, so that none is like a null one
+    of = lambda name, all_: F.named_struct(F.lit("name"), name, F.lit("all"), F.lit(all_))
+    each = F.explode(F.array(of(F.col("band_lang"), False), of(F.lit(None).cast("string"), True)))
     counts = (
         one.select("band_lang", "documents", "one.*")
         .select("band_lang", "documents", F.explode(points).alias("p"))
-        .groupBy("band_lang", "p.class", "p.point")
+        .select(each.alias("of"), "documents", "p")
+        .groupBy("of", "p.class", "p.point")
         .agg(F.count("*").alias("count"), F.sum("documents").alias("documents"))
     )
-    w = Window.partitionBy("band_lang", "class")
+    w = Window.partitionBy("of", "class")
     run = counts.withColumn("upto", F.sum("count").over(w.orderBy("point"))).withColumn("all", F.sum("count").over(w))
     quarter = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("point")))
-    name, size = F.split_part("class", F.lit(" "), F.lit(1)), F.split_part("class", F.lit(" "), F.lit(2))
+    measure, size = F.split_part("class", F.lit(" "), F.lit(1)), F.split_part("class", F.lit(" "), F.lit(2)).cast("int")
     least = {m: F.lit(LEAST[m] * GRID[m]) for m in GRID}
-    least["chars_per_token"] /= F.pow(F.lit(2.0), size.try_cast("int") / 2)
-    band = F.lit(None)
-    for m, (below, above) in spread.items():
-        steps = F.greatest(F.col("q3") - F.col("q1"), least[m]) * F.greatest(F.lit(1.0), min_documents / F.col("all"))
-        band = F.when(name == m, F.struct((F.col("q1") - steps * below).alias("low"), (F.col("q3") + 1 + steps * above).alias("high"))).otherwise(band)
-    return (
-        run.groupBy("band_lang", "class")
+    least["chars_per_token"] /= F.pow(F.lit(2.0), size / 2)
+    floor = F.lit(None).cast("double")
+    for m, c in least.items():
+        floor = F.when(measure == m, c).otherwise(floor)
+    steps = F.greatest(F.col("q3") - F.col("q1"), floor) * F.greatest(F.lit(1.0), min_documents / F.col("all"))
+    known = (
+        run.groupBy("of", "class")
         .agg(quarter(0.25).alias("q1"), quarter(0.75).alias("q3"), F.first("all").alias("all"), F.sum("documents").alias("documents"))
-        .where(F.col("documents") >= min_documents)
-        .groupBy("band_lang")
-        .agg(F.map_from_entries(F.collect_list(F.struct("class", band))).alias("bands"))
+        .select("of", measure.alias("measure"), size.alias("size"), F.struct("q1", "q3", steps.alias("steps"), size.alias("size")).alias("band"), (F.col("documents") >= min_documents).alias("enough"))
+    )
+    grid = F.explode(F.array(*[F.named_struct(F.lit("measure"), F.lit(m), F.lit("size"), F.lit(i)) for m, top in SIZES.items() for i in range(top + 1)]))
+    every = known.select("of").distinct().select("of", grid.alias("g")).select("of", "g.*").join(known, ["of", "measure", "size"], "left")
+    sized = Window.partitionBy("of", "measure").orderBy("size")
+    firm = F.when(F.col("enough"), F.col("band"))
+    every = every.withColumns(
+        {
+            "below": F.last(firm, ignorenulls=True).over(sized.rowsBetween(Window.unboundedPreceding, 0)),
+            "above": F.first(firm, ignorenulls=True).over(sized.rowsBetween(0, Window.unboundedFollowing)),
+        }
     )
+    far = lambda c: F.abs(F.col("size") - F.col(f"{c}.size"))
+    near = F.when(F.col("above").isNull() | (far("below") <= far("above")), F.col("below")).otherwise(F.col("above"))
+    every = every.select("of", "measure", "size", "band", near.alias("near"))
+    corpus = every.where("of.all").select("measure", "size", F.col("near").alias("corpus"), F.col("band").alias("corpus_own"))
+    each = every.where("NOT of.all").join(corpus, ["measure", "size"])
+    each = each.select("of.name", "measure", "size", F.coalesce("near", "corpus", "band", "corpus_own").alias("band")).where("band IS NOT NULL")
+    wide = F.col("band.steps") * (1 + F.abs(F.col("size") - F.col("band.size")))
+    band = F.lit(None)
+    for m, (below, above) in spread.items():
+        band = F.when(F.col("measure") == m, F.struct((F.col("band.q1") - wide * below).alias("low"), (F.col("band.q3") + 1 + wide * above).alias("high"))).otherwise(band)
+    name = F.concat_ws(" ", "measure", F.col("size").cast("string"))
+    return each.groupBy(F.col("name").alias("band_lang")).agg(F.map_from_entries(F.collect_list(F.struct(name.alias("class"), band.alias("band")))).alias("bands"))
+
+
+#: languages whose bands are broadcast (about 4 KB each); with more, the rows are dealt out over salts
+BROADCAST_LANGUAGES, SALTS = 2000, 64
+
+
+def _with_bands(rows: DataFrame, bands: DataFrame) -> DataFrame:
+    """``rows`` (m_lang) with the bands of their language. The rows carry the
+    texts, so they stay where they are as long as the bands are small."""
+    if bands.count() <= BROADCAST_LANGUAGES:
+        return rows.join(F.broadcast(bands), F.col("m_lang").eqNullSafe(F.col("band_lang")), "left")
+    salted = bands.withColumn("band_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    dealt = rows.withColumn("m_salt", F.pmod(F.xxhash64("n_tokens", "n_words", "word_chars", _GROUP), F.lit(SALTS)).cast("int"))
+    on = F.col("m_lang").eqNullSafe(F.col("band_lang")) & (F.col("m_salt") == F.col("band_salt"))
+    return dealt.join(salted, on, "left")
 
 
 def fertility_filter(docs: DataFrame, text: str = "text", lang: str = "lang", model: str | None = None, spread: dict[str, tuple[float, float]] = SPREAD, min_tokens: int = 40, min_documents: int = 30, only: list[str] | None = None) -> DataFrame:
@@ -212,10 +260,10 @@ def fertility_filter(docs: DataFrame, text: str = "text", lang: str = "lang", mo
     if only is not None:
         measured = measured.select(*dict.fromkeys([*only, lang]), *_FEATURES.names)
     measured = stored(measured, "fertility")
-    bands = fertility_bands(measured, lang, spread, min_tokens, min_documents)
+    bands = stored(fertility_bands(measured, lang, spread, min_tokens, min_documents), "fertility_bands")
     keep = [c for c in measured.columns if c not in _FEATURES.names and (only is None or c in only)]
-    row = measured.select(F.struct(*[column(measured, c) for c in keep]).alias("row"), column(measured, lang).alias("m_lang"), *_FEATURES.names).alias("m")
-    joined = row.join(bands.alias("b"), F.col("m.m_lang").eqNullSafe(F.col("b.band_lang")), "left")
+    row = measured.select(F.struct(*[column(measured, c) for c in keep]).alias("row"), column(measured, lang).cast("string").alias("m_lang"), *_FEATURES.names)
+    joined = _with_bands(row, bands)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     inside = F.lit(True)
     for m, name in _classes().items():

@@ -4,14 +4,14 @@ Two first-order Markov models over characters, one of random strings and one
 of ordinary identifiers, give each run of token characters a log-likelihood
 ratio; runs with a mean ratio above ``threshold`` per character are reported
 as kind ``markov``, next to three patterns (``assign``, ``access``, ``hex``)
-whose spans stay as they are. A run that overlaps a pattern's span is left to
-that pattern.
+whose spans stay as they are. Where a pattern's span covers part of a run, what
+is left on either side of it is judged as a run of its own.
 
 The models are trained here: random strings are what the patterns find (the
 values of assignments, keys, hex digests), identifiers are all the other runs
 of letters, digits and marks, both from a bounded sample of labelled rows (the
-``sample`` distinct documents with the smallest hashes; a documented limit of
-the training alone). A pair's share after its first character backs off to the
+``sample`` distinct texts with the smallest hashes; a documented limit of the
+training alone). A pair's share after its first character backs off to the
 second one's overall share, which is smoothed by one.
 
 Positions are code points, ends exclusive. Each pattern is found leftmost and
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from hirelens.llm.common import column, without
 
 RESULTS = ("secret_spans",)
-_RUNS = "secret_runs_"
 #: kinds in the order in which equal starts are listed
 KINDS = ("assign", "access", "hex", "markov")
 
@@ -89,15 +88,13 @@ def _spans(found, kind: int):
     return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
 
 
-def train_markov(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = 4000) -> list[float]:
+def train_markov(docs: DataFrame, text: str = "text", sample: int = 4000) -> list[float]:
     """Log-likelihood ratios (random against identifier) of all pairs of
     character classes, row by row: a fixed number of values."""
-    n = docs.count()
-    # about twice as many as asked for, by hash alone, so that few rows are ordered
-    share = min(1.0, 2 * sample / n) if n else 0.0
-    hashed = docs.select(F.xxhash64(column(docs, id), column(docs, text)).alias("h"), column(docs, text).alias("text")).where("text IS NOT NULL")
-    few = hashed.where(F.col("h") < F.lit(int(-(2**63) + share * (2**64 - 2048)))) if share < 1 else hashed
-    labelled = few.dropDuplicates(["h"]).orderBy("h").limit(sample)
+    hashed = docs.select(F.xxhash64(column(docs, text)).alias("h"), column(docs, text).alias("text")).where("text IS NOT NULL")
+    # the hashes alone decide, each once, so copies neither crowd the sample nor thin it out
+    last = hashed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).head()[0]
+    labelled = hashed.where(F.col("h") <= F.lit(last if last is not None else 0)).dropDuplicates(["h"])
     assign, access, hexes = _base(F.col("text"))
     secret = F.concat(F.transform(assign, lambda m: F.regexp_extract(m["match"], ASSIGN, 2)), F.transform(access, lambda m: m["match"]), F.transform(hexes, lambda m: m["match"]))
     plain = F.regexp_replace(F.regexp_replace(F.col("text"), ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
@@ -133,14 +130,32 @@ def secret_spans(docs: DataFrame, model: list[float], text: str = "text", thresh
     """``docs`` with ``secret_spans``: array of (start, kind, end) by start,
     then kind as numbered in ``KINDS``. A run needs ``min_distinct`` different
     characters to be random."""
-    docs = without(docs, *RESULTS, _RUNS)
+    docs = without(docs, *RESULTS)
     t = F.coalesce(column(docs, text), F.lit(""))
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
     assign, access, hexes = _base(t)
-    runs = F.filter(_found(t, RUN), lambda m: (F.size(F.array_distinct(F.split(m["match"], ""))) >= min_distinct) & (_mean_ratio(m["match"], table) > threshold))
-    found = docs.select("*", F.concat(_spans(assign, 0), _spans(access, 1), _spans(hexes, 2)).alias(RESULTS[0]), _spans(runs, 3).alias(_RUNS))
-    added = F.filter(_RUNS, lambda m: ~F.exists(RESULTS[0], lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"])))
-    return found.withColumn(RESULTS[0], F.array_sort(F.concat(RESULTS[0], added))).drop(_RUNS)
+    base = F.concat(_spans(assign, 0), _spans(access, 1), _spans(hexes, 2))
+    found = docs.select("*", base.alias(RESULTS[0]))
+    # base spans are blanked out, so what is left of a run beside one is a run of its own
+    rest = F.when(F.size(RESULTS[0]) > 0, _replaced(t, F.array_sort(RESULTS[0]), lambda n: F.repeat(F.lit(" "), n))).otherwise(t)
+    runs = F.filter(_found(rest, RUN), lambda m: (F.size(F.array_distinct(F.split(m["match"], ""))) >= min_distinct) & (_mean_ratio(m["match"], table) > threshold))
+    return found.withColumn(RESULTS[0], F.array_sort(F.concat(RESULTS[0], _spans(runs, 3))))
+
+
+def _replaced(text, spans, by):
+    """``text`` with its spans (by start) replaced by ``by(length)``, what they
+    overlap once."""
+    return F.aggregate(
+        spans,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.when(
+            s["start"] >= acc["at"],
+            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), by(s["end"] - s["start"])).alias("out")),
+        )
+        .when(s["end"] > acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], by(s["end"] - acc["at"])).alias("out")))
+        .otherwise(acc),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+    )
 
 
 def listed(spans):

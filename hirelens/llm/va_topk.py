@@ -15,8 +15,9 @@ Defined results: vectors that are null or hold null or non-finite components
 take no part, nor do rows without an id; rows that share a query's id are its
 own and no candidates; rows equal in id and vector count once; a query is held
 against vectors of its own length; scores tie to the smaller id; with fewer
-candidates than k, all are returned. Scores have to fit a long. Only id and
-vector are read, so further columns can't clash.
+candidates than k, all are returned. Scores beyond a long are held at its
+limits; a component that leaves the doubles when scaled counts as non-finite.
+Only id and vector are read, so further columns can't clash.
 """
 
 from __future__ import annotations
@@ -48,8 +49,9 @@ def _pack(t: pa.Table) -> pa.Table:
     order = np.argsort(t.column("id").to_numpy(), kind="stable")
     ids, v = t.column("id").to_numpy()[order], _matrix(t)[order]
     low = v.min(0) if v.size else np.zeros(v.shape[1])
-    step = np.maximum((v.max(0) - low) / CELLS, 1e-300) if v.size else np.ones(v.shape[1])
-    cells = np.minimum((v - low) / step, CELLS - 1).astype(np.uint8)
+    step = np.maximum(v.max(0) / CELLS - low / CELLS, 1e-300) if v.size else np.ones(v.shape[1])
+    with np.errstate(over="ignore"):
+        cells = np.minimum(v / step - low / step, CELLS - 1).astype(np.uint8)
     raw = lambda x, kind: pa.array([np.ascontiguousarray(x, kind).tobytes()], pa.binary())
     return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), "ids": raw(ids, "<i8"), "exact": raw(v, "<f8"), "cells": raw(cells, "u1"), "low": raw(low, "<f8"), "step": raw(step, "<f8")})
 
@@ -63,11 +65,11 @@ def _blocks(rows: DataFrame, count: int, size: int) -> DataFrame:
 
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products of integers held as floats; exact."""
+    """Inner products of integers held as floats; exact, within a long."""
     if len(q) * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < 2**53:
         return (v @ q).astype(np.int64)
     exact = [sum(int(a) * int(b) for a, b in zip(q, x)) for x in v]
-    return np.array(exact, np.int64)
+    return np.array([max(-(2**63), min(2**63 - 1, x)) for x in exact], np.int64)
 
 
 def search(qid: int, q: np.ndarray, near: np.ndarray, slack: float, ids: np.ndarray, exact: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -111,10 +113,15 @@ def top_k(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
                 ids, q_ids = get("ids", "<i8"), get("q_ids", "<i8")
                 exact, qs = get("exact", "<f8").reshape(len(ids), dim), get("q", "<f8").reshape(len(q_ids), dim)
                 low, step = get("low", "<f8"), get("step", "<f8")
-                centres = low + get("cells", "u1").reshape(len(ids), dim).astype(np.float64) * step + step / 2
-                near = qs @ centres.T
-                # half a cell per component, and what rounding can add
-                slack = np.abs(qs) @ step * 0.5 + 1e-9 * (np.abs(qs) @ (np.abs(low) + CELLS * step)) + 1e-6
+                with np.errstate(all="ignore"):
+                    centres = low + get("cells", "u1").reshape(len(ids), dim).astype(np.float64) * step + step / 2
+                    near = qs @ centres.T
+                    # half a cell per component, and what rounding can add
+                    slack = np.abs(qs) @ step * 0.5 + 1e-9 * (np.abs(qs) @ (np.abs(low) + CELLS * step)) + 1e-6
+                # beyond a double, or a long's limits, cells tell nothing
+                wide = ~np.isfinite(near) | (np.abs(near) >= 2.0**62) | ~np.isfinite(slack)[:, None]
+                near = np.where(wide, np.inf, near)
+                slack = np.where(np.isfinite(slack), slack, np.inf)
                 out = [(int(q_ids[j]), *hit) for j in range(len(qs)) for hit in search(int(q_ids[j]), qs[j], near[j], float(slack[j]), ids, exact, k)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "score", "vec_id"])

@@ -84,3 +84,31 @@ def test_a_hot_group_of_copies_moves_no_band(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
     bad = fertility_filter(df, only=["doc_id"]).where("doc_id < 900 AND NOT base_failed AND NOT kept").count()
     assert bad <= 8
+
+
+def test_thin_classes_are_held_against_their_neighbours(spark):
+    """Junk in a language of few documents, and of a length that no other text
+    of its language has."""
+    rng = random.Random(7)
+    parts = [a + b for a in "b c d f g l m n p r s t v".split() for b in "a e i o u an er is on ur".split()]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    junk = lambda n: " ".join(f"{rng.choice(words)}%%#{rng.randrange(10**6)}&&" for _ in range(n))
+    rows = [(k, prose(rng.randint(100, 300)), "en") for k in range(400)]
+    rows += [(900, prose(200), "rare"), (901, junk(200), "rare"), (902, junk(4000), "en"), (903, prose(700), "en"), (904, junk(200), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    kept = {r["doc_id"]: r["kept"] for r in fertility_filter(df, only=["doc_id"]).where("doc_id >= 900").collect()}
+    assert kept == {900: True, 901: False, 902: False, 903: True, 904: False}
+
+
+def test_many_languages_are_joined_without_a_broadcast(spark, small, monkeypatch):
+    from hirelens.llm import fertility
+
+    want = got(fertility_filter(small), "doc_id", "kept")
+    monkeypatch.setattr(fertility, "BROADCAST_LANGUAGES", 0)
+    assert got(fertility_filter(small), "doc_id", "kept") == want
+
+
+def test_documents_do_not_move_by_language(spark, small):
+    plan = fertility_filter(small)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

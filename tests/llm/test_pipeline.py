@@ -56,6 +56,23 @@ def test_packing_holds_every_token(stages):
     assert {r["doc_id"]: r["n"] for r in rows} == {i: len(x) for i, x in ids.items()}
 
 
+def test_columns_of_any_name_and_type_come_through(spark, small):
+    """Names of the operators' results, dots, names that differ in case, maps;
+    repeated rows and ids."""
+    docs = small.select("doc_id", "text", "lang", "source", "n_chars").limit(30)
+    docs = docs.union(docs.limit(4)).union(docs.limit(3).withColumn("text", F.concat("text", F.lit(" x"))))
+    names = ["kept", "n_lines", "a.b", "place", "row", "DOC", "KEPT"]
+    further = [F.lit("mine"), F.lit(7), F.lit(1.5), F.lit("p"), F.array(F.lit(1)), F.create_map(F.lit("k"), F.lit(None).cast("int")), F.lit(b"x")]
+    docs = stored(docs.select("*", *further).toDF(*docs.columns, *[f"f{i}" for i in range(len(names))]), "pipeline_wide").toDF(*docs.columns, *names)
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema], name
+        rows = out.collect()
+        assert rows and all(tuple(r)[5:] == ("mine", 7, 1.5, "p", [1], {"k": None}, b"x") for r in rows), name
+        assert name != "near-duplicates" or len({r[0] for r in rows}) == len(rows)
+    assert C.STAGES[-1][1](spark, docs, "").count() > 0
+
+
 def test_empty_table(spark, none):
     docs = none
     for _, f in C.STAGES:

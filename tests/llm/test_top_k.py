@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 from . import brute
@@ -29,6 +30,18 @@ def test_large_components_are_exact(spark):
     assert _found(df) == brute.best_vectors(rows)
 
 
+def test_components_beyond_a_long(spark):
+    rnd = random.Random(9)
+    rows = [(k, [rnd.choice([1.0, 1e9, 1e17, 1e200, 1e305]) * rnd.uniform(-1, 1) for _ in range(3)]) for k in range(160)]
+    scaled = {k: [math.floor(256 * x) for x in v] for k, v in rows}
+    want = []
+    for k in scaled:
+        if k % 50 == 0:
+            s = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(scaled[k], v)))), i) for i, v in scaled.items() if i != k)
+            want += [(k, r + 1, i, -x) for r, (x, i) in enumerate(s[:5])]
+    assert _found(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block_rows=40) == sorted(want)
+
+
 def test_few_candidates_repeated_rows_and_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     rows = [(0, [1.0, 0.5])] * 3 + [(3, [0.25, 0.25]), (4, [0.25, 0.25])]
