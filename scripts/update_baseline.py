@@ -42,7 +42,7 @@ Notes:
   the tuned session. With it on, planning a lifecycle on the driver took about 1 s instead of
   0.25 s.
 - Local-mode run-to-run spread is about ±30 %.
-- Correctness: all 37 hiring queries equal the DuckDB oracle at sf0.01.
+- Correctness: all 41 hiring queries equal the DuckDB oracle at sf0.01.
 - The reference publishes no timings, so there is no throughput comparison to make.
 """
     open(path, "w").write(text)
