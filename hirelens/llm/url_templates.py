@@ -1,24 +1,31 @@
 """URL filter by a tree of path templates.
 
-Per host, a path's segments are generalised: a segment stays literal at its
-depth if at least ``min_share`` of the host's paths of that depth have it
-there, so a host has fewer than 1 / ``min_share`` literals per depth; the others
-become wildcards that keep a file extension. Segments beyond ``depth`` form one
-wildcard. The templates' prefixes are a tree per host.
-
-Siblings are then compared with all their parent's branches pooled: a branch
-whose distribution of remaining paths (total variation) and whose labels
-(two-proportion z) don't differ statistically from the pool is merged with the
-others like it.
-
-Labels are the verdicts of the rules on the URLs that a rule fits. A node's
-share of bad labels is smoothed towards its parent's, from the whole corpus
-down to the template (``weight`` pseudo-labels each); templates whose smoothed
-badness exceeds ``max_bad`` are rejected, on hosts that have any label.
-
-Only counts are shuffled, after partial aggregation, so a host with a third of
-all pages costs its templates; pages meet them in equi-joins, dealt over
-``SALTS`` parts of a host or template, whose other side has one row per part.
+Per host, the paths form a tree. Going down it, a segment below a node stays
+literal if its count exceeds the node's by more than chance moves the node's
+own count, n >= 1 + sqrt(total); the others become wildcards that keep a file
+extension, and the tree goes on below both. So a node with 100 paths needs 11
+of them for a literal, one with a million 1,001. Segments beyond ``depth``
+form one wildcard: the tree's height is the operator's only limit.
+
+A node's share of bad labels is smoothed (``weight`` pseudo-labels) towards a
+prior, first in one tree of prefixes over all hosts: its prior is the parent's
+share, at the top ``base``, which is not estimated, since the labels' mix says
+nothing of what no label reaches. Siblings of a host are then compared with all
+of their parent's branches pooled. A branch takes the common name
+``~`` if its distribution of remaining paths (total variation) and its share
+of bad labels, shrunk towards its prefix's share over all hosts, both lie near
+the pool's; a branch that no label reaches is as bad as its prefix elsewhere.
+
+In the host's tree of merged names a node's prior is the mean of its parent's
+share and of its paths' shares over all hosts, so what labels say of a
+template reaches hosts without any. Templates whose share exceeds ``max_bad``
+are rejected.
+
+Labels are the verdicts of the rules on the URLs that a rule fits. Pages are
+counted by distinct path first and only those counts go through the tree, in
+equi-joins dealt over ``SALTS`` parts of a node. Back at the pages, a path
+with over a thousandth of them (there are fewer than 1,000, so their hashes
+are broadcast) is dealt over ``HOT_SALTS`` parts.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and
 path; an empty path is a template of its own; repeated rows count each and get
@@ -30,15 +37,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from hirelens.llm.common import column, stored, without
 
 RESULTS = ("host", "path", "rule", "template", "badness", "verdict")
 #: Verdict, host and path of each rule.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: into so many parts the pages of a host or template are dealt for joins
+#: into so many parts the paths of a node are dealt for joins
 SALTS = 16
+#: a path with over 1 / HOT_PATHS of all pages is dealt into HOT_SALTS parts
+HOT_PATHS, HOT_SALTS = 1000, 64
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _URL = r"^[\s\S]*?://([^/?#]*)([^?#]*)"
 
@@ -64,8 +72,12 @@ def _segments(path, depth: int):
     return F.when(path == "", F.array().cast("array<string>")).when(F.size(parts) > depth, deep).otherwise(parts)
 
 
-def _each_salt():
-    return F.explode(F.array(*[F.lit(k) for k in range(SALTS)]))
+def _each_salt(salts: int = SALTS):
+    return F.explode(F.array(*[F.lit(k) for k in range(salts)]))
+
+
+def _salt(*of):
+    return F.pmod(F.xxhash64(*of), F.lit(SALTS)).cast("int")
 
 
 def _wild(segment):
@@ -74,88 +86,133 @@ def _wild(segment):
     return F.when((segment == "") | (segment == "**"), segment).otherwise(F.concat(F.lit("*"), ext))
 
 
-def path_templates(paths: DataFrame, depth: int, min_share: float, min_count: int) -> DataFrame:
-    """``paths`` (host, segments, ...) with ``template``: array of segments."""
-    at = paths.select("host", F.posexplode("segments").alias("level", "segment")).groupBy("host", "level", "segment").agg(F.count("*").alias("n"))
-    total = at.groupBy("host", "level").agg(F.sum("n").alias("total"))
-    often = at.join(total, ["host", "level"]).where((F.col("n") >= min_count) & (F.col("n") >= min_share * F.col("total")))
-    literals = often.groupBy(F.col("host").alias("l_host")).agg(F.collect_set(F.concat_ws("/", F.col("level").cast("string"), "segment")).alias("literals"))
-    literals = literals.withColumn("l_salt", _each_salt())
-    joined = paths.join(literals, (F.col("host") == F.col("l_host")) & (F.col("salt") == F.col("l_salt")), "left").drop("l_host", "l_salt")
-    known = lambda s, i: F.coalesce(F.array_contains("literals", F.concat_ws("/", i.cast("string"), s)), F.lit(False))
-    return joined.withColumn("template", F.transform("segments", lambda s, i: F.when(known(s, i), s).otherwise(_wild(s)))).drop("literals", "segments")
-
-
-def _prefixes(template):
-    """(level, parent, segment, rest) of a template's nodes below the host."""
-    join = lambda a: F.array_join(a, "/")
-    return F.transform(
-        template,
+def path_templates(paths: DataFrame, depth: int) -> DataFrame:
+    """``paths`` (host, path, n, ...), one row per host and path, with
+    ``template``: array of segments. Each level of the tree is stored."""
+    rest = [c for c in paths.columns if c != "host"]
+    segments = _segments(F.col("path"), depth)
+    rows = stored(paths.withColumns({"segments": segments, "template": F.array().cast("array<string>"), "salt": _salt("path")}), "paths")
+    height = rows.agg(F.max(F.size("segments"))).first()[0] or 0
+    for level in range(height):
+        here = F.get("segments", F.lit(level))
+        child = rows.where(F.size("segments") > level).groupBy("host", "template", here.alias("segment")).agg(F.sum("n").alias("n"))
+        node = child.groupBy("host", "template").agg(F.sum("n").alias("total"))
+        often = child.join(node, ["host", "template"]).where(F.col("n") >= 1 + F.sqrt("total"))
+        literal = often.select(F.col("host").alias("l_host"), F.col("template").alias("l_template"), F.col("segment").alias("literal"), _each_salt().alias("l_salt"))
+        meets = (F.col("host") == F.col("l_host")) & (F.col("template") == F.col("l_template")) & (here == F.col("literal")) & (F.col("salt") == F.col("l_salt"))
+        name = F.coalesce("literal", _wild(here))
+        longer = F.when(here.isNull(), F.col("template")).otherwise(F.concat("template", F.array(name)))
+        rows = stored(rows.join(literal, meets, "left").select("host", *rest, "segments", longer.alias("template"), "salt"), "paths")
+    return rows.select("host", *rest, "template")
+
+
+def _join(a):
+    return F.array_join(a, "/")
+
+
+def corpus_shares(templates: DataFrame, weight: float, base: float) -> DataFrame:
+    """(template, shares): the smoothed share of bad labels of the template's
+    prefixes over all hosts; the first, of the empty prefix, is ``base``."""
+    t = templates.groupBy("template").agg(*[F.sum(c).alias(c) for c in ("good", "bad")])
+    prefixes = F.transform("template", lambda _, i: F.slice("template", F.lit(1), i + 1))
+    nodes = t.withColumn("salt", _salt("template")).select("template", "salt", "good", "bad", F.posexplode(prefixes).alias("level", "prefix"))
+    counts = nodes.groupBy(F.col("prefix").alias("c_prefix")).agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad")).withColumn("c_salt", _each_salt())
+    met = nodes.join(counts, (F.col("prefix") == F.col("c_prefix")) & (F.col("salt") == F.col("c_salt")))
+    path = met.groupBy("template").agg(F.array_sort(F.collect_list(F.struct("level", "n_good", "n_bad"))).alias("path"))
+    grow = lambda a, x: F.concat(a, F.array((x["n_bad"] + weight * F.element_at(a, -1)) / (x["n_good"] + x["n_bad"] + weight)))
+    grown = path.select(F.col("template").alias("g_template"), F.aggregate("path", F.array(F.lit(base)), grow).alias("shares"))
+    # the empty template has no node
+    return t.select("template").join(grown, F.col("template") == F.col("g_template"), "left").select("template", F.coalesce("shares", F.array(F.lit(base))).alias("shares"))
+
+
+def with_shares(templates: DataFrame, weight: float, base: float) -> DataFrame:
+    """``templates`` (host, template, ...) with ``shares``."""
+    shares = corpus_shares(templates, weight, base).select(F.col("template").alias("s_template"), "shares", _each_salt().alias("s_salt"))
+    t = templates.withColumn("salt", _salt("host"))
+    return t.join(shares, (F.col("template") == F.col("s_template")) & (F.col("salt") == F.col("s_salt"))).drop("s_template", "s_salt", "salt")
+
+
+def merged_branches(templates: DataFrame, weight: float, max_distance: float = 0.25, max_gap: float = 0.2) -> DataFrame:
+    """``templates`` (host, template, n, good, bad, shares) with ``merged``: the
+    template in which branches like their siblings' pool share one name."""
+    at = lambda i: F.slice("template", 1, i)
+    prefixes = F.transform(
+        "template",
         lambda s, i: F.struct(
             (i + 1).alias("level"),
-            join(F.slice(template, 1, i)).alias("parent"),
+            at(i).alias("parent"),
             s.alias("segment"),
-            F.concat(F.lit(">"), join(F.slice(template, i + 2, F.size(template)))).alias("rest"),
+            F.slice("template", i + 2, F.size("template")).alias("rest"),
+            F.get("shares", i + 1).alias("share"),
         ),
     )
-
-
-def merged_branches(templates: DataFrame, max_distance: float = 0.25, max_z: float = 2.0) -> DataFrame:
-    """``templates`` (host, template, n, good, bad) with ``merged``: the
-    template in which branches like their siblings' pool share one name."""
-    nodes = templates.select("host", "template", "n", "good", "bad", F.explode(_prefixes(F.col("template"))).alias("p")).select("host", "template", "n", "good", "bad", "p.*")
-    branch = nodes.groupBy("host", "level", "parent", "segment", "rest").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
-    of_branch, of_pool = Window.partitionBy("host", "level", "parent", "segment"), Window.partitionBy("host", "level", "parent")
-    rest = branch.groupBy("host", "level", "parent", "rest").agg(F.sum("n").alias("pool_n"))
-    b = branch.join(rest, ["host", "level", "parent", "rest"])
-    b = b.withColumns({"all": F.sum("n").over(of_branch), "b_good": F.sum("good").over(of_branch), "b_bad": F.sum("bad").over(of_branch)})
-    pool = branch.groupBy("host", "level", "parent").agg(F.sum("n").alias("pool_all"), F.sum("good").alias("p_good"), F.sum("bad").alias("p_bad"), F.count_distinct("segment").alias("branches"))
-    b = b.join(pool, ["host", "level", "parent"])
+    nodes = templates.select("host", "template", "n", "good", "bad", F.explode(prefixes).alias("p")).select("host", "template", "n", "good", "bad", "p.*")
+    of = ["host", "level", "parent"]
+    branch = stored(nodes.groupBy(*of, "segment", "rest").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")], F.max("share").alias("share")), "branches")
+    rest = branch.groupBy(*of, "rest").agg(F.sum("n").alias("rest_n"))
+    each = branch.groupBy(*of, "segment").agg(*[F.sum(c).alias("b_" + c) for c in ("n", "good", "bad")], F.max("share").alias("share"))
+    each = each.withColumn("bad_share", (F.col("b_bad") + weight * F.col("share")) / (F.col("b_good") + F.col("b_bad") + weight))
+    pool = each.groupBy(*of).agg(
+        F.sum("b_n").alias("pool_n"), F.count("*").alias("branches"), (F.sum(F.col("b_n") * F.col("bad_share")) / F.sum("b_n")).alias("pool_share")
+    )
+    each = each.join(pool, of).where((F.col("branches") > 1) & (F.col("segment") != ""))
     # total variation: what the branch has beyond the pool's share
-    over = F.sum(F.greatest(F.col("n") / F.col("all") - F.col("pool_n") / F.col("pool_all"), F.lit(0.0)))
-    d = b.groupBy("host", "level", "parent", "segment").agg(over.alias("distance"), *[F.first(c).alias(c) for c in ("b_good", "b_bad", "p_good", "p_bad", "branches")])
-    n1, n2 = F.col("b_good") + F.col("b_bad"), F.col("p_good") + F.col("p_bad")
-    p = F.col("p_bad") / n2
-    z = F.abs(F.col("b_bad") / n1 - p) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-9)) / n1)
-    alike = (F.col("branches") > 1) & (F.col("distance") <= max_distance) & F.when((n1 > 0) & (n2 > 0), z <= max_z).otherwise(True)
-    d = d.where(alike & (F.col("segment") != "")).select("host", "level", "parent", "segment", F.lit("~").alias("name"))
-    named = nodes.join(d, ["host", "level", "parent", "segment"], "left").select("host", "template", "level", F.coalesce("name", "segment").alias("name"))
+    over = F.sum(F.greatest(F.col("n") / F.col("b_n") - F.col("rest_n") / F.col("pool_n"), F.lit(0.0)))
+    far = branch.select(*of, "segment", "rest", "n").join(rest, [*of, "rest"]).join(each, [*of, "segment"]).groupBy(*of, "segment").agg(
+        over.alias("distance"), F.max(F.abs(F.col("bad_share") - F.col("pool_share"))).alias("gap")
+    )
+    alike = far.where((F.col("distance") <= max_distance) & (F.col("gap") <= max_gap)).select(*of, "segment", F.lit("~").alias("name"))
+    named = nodes.join(alike, [*of, "segment"], "left").select("host", "template", "level", F.coalesce("name", "segment").alias("name"))
     new = named.groupBy("host", "template").agg(F.transform(F.array_sort(F.collect_list(F.struct("level", "name"))), lambda x: x["name"]).alias("merged"))
     return templates.join(new, ["host", "template"], "left").withColumn("merged", F.coalesce("merged", "template"))
 
 
 def template_badness(templates: DataFrame, weight: float) -> DataFrame:
-    """``templates`` with ``badness``: the share of bad labels, smoothed from
-    the corpus over the host and each prefix down to the merged template; and
-    ``host_labels``, how many labels the host has."""
-    keys = F.concat(F.array(F.lit("")), F.array(F.lit("/")), F.transform("merged", lambda _, i: F.concat(F.lit("/"), F.array_join(F.slice("merged", 1, i + 1), "/"), F.lit("/"), i.cast("string"))))
-    nodes = templates.select("host", "template", "good", "bad", F.posexplode(keys).alias("level", "node")).withColumn("node_host", F.when(F.col("level") > 0, F.col("host")).otherwise(""))
-    counts = nodes.groupBy("node_host", "node").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"))
-    path = nodes.select("host", "template", "level", "node", "node_host").join(counts, ["node_host", "node"]).groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("level", "n_good", "n_bad"))).alias("path"))
-    smooth = F.aggregate("path", F.lit(0.0), lambda prior, x: (x["n_bad"] + weight * prior) / (x["n_good"] + x["n_bad"] + weight))
-    at_host = F.element_at("path", 2)
-    return templates.join(path, ["host", "template"]).withColumns({"badness": smooth, "host_labels": at_host["n_good"] + at_host["n_bad"]}).drop("path")
-
-
-def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, depth: int = 8, min_share: float = 0.02, min_count: int = 5, weight: float = 8.0, max_bad: float = 0.5) -> DataFrame:
+    """``templates`` (host, template, merged, n, good, bad, shares) with
+    ``badness``: the share of bad labels down the host's merged tree."""
+    nodes = templates.select("host", "template", "n", "good", "bad", "merged", F.posexplode("shares").alias("level", "share"))
+    nodes = nodes.withColumn("node", F.slice("merged", F.lit(1), F.col("level")))
+    sums = nodes.groupBy("host", "node").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad"), (F.sum(F.col("n") * F.col("share")) / F.sum("n")).alias("elsewhere"))
+    # a host's templates meet its nodes dealt over salts
+    salted = nodes.select("host", "template", "level", "node", _salt("template").alias("salt"))
+    sums = sums.withColumn("salt", _each_salt())
+    path = salted.join(sums, ["host", "node", "salt"]).groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("level", "n_good", "n_bad", "elsewhere"))).alias("path"))
+    # -1: above the root, whose prior is the corpus alone
+    prior = lambda up, x: F.when(up < 0, x["elsewhere"]).otherwise((up + x["elsewhere"]) / 2)
+    smooth = F.aggregate("path", F.lit(-1.0), lambda up, x: (x["n_bad"] + weight * prior(up, x)) / (x["n_good"] + x["n_bad"] + weight))
+    return templates.join(path, ["host", "template"]).withColumn("badness", smooth).drop("path")
+
+
+def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, depth: int = 8, weight: float = 8.0, base: float = 0.2, max_bad: float = 0.5) -> DataFrame:
     """``pages`` with host, path, rule, template, badness and verdict."""
     pages = without(pages, *RESULTS)
     host, path = host_and_path(column(pages, url))
     row = F.struct(*[column(pages, c) for c in pages.columns]).alias("row")
     rows = pages.select(row, host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("segments", _segments(F.col("path"), depth))
-    rows = path_templates(rows.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")), depth, min_share, min_count)
-    label = lambda v: F.sum((F.col("hit.verdict") == v).cast("long"))
-    counts = rows.groupBy("host", "template").agg(F.count("*").alias("n"), F.coalesce(label("allow"), F.lit(0)).alias("good"), F.coalesce(label("block"), F.lit(0)).alias("bad"))
-    judged = template_badness(merged_branches(stored(counts, "templates")), weight).select(F.col("host").alias("t_host"), F.col("template").alias("t_template"), "merged", "badness", "host_labels").withColumn("t_salt", _each_salt())
-    joined = rows.join(judged, (F.col("host") == F.col("t_host")) & (F.col("template") == F.col("t_template")) & (F.col("salt") == F.col("t_salt")), "left")
-    method = F.when((F.col("badness") > max_bad) & (F.col("host_labels") > 0), "block").otherwise("allow")
+    rows = rows.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules)).withColumn("key", F.xxhash64("host", "path"))
+    label = lambda v: F.coalesce(F.sum((F.col("hit.verdict") == v).cast("long")), F.lit(0)).alias("good" if v == "allow" else "bad")
+    paths = path_templates(rows.groupBy("host", "path").agg(F.count("*").alias("n"), label("allow"), label("block")), depth)
+    templates = paths.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
+    templates = stored(with_shares(stored(templates, "templates"), weight, base), "templates")
+    merged = stored(merged_branches(templates, weight), "templates")
+    judged = template_badness(merged, weight).select(F.col("host").alias("t_host"), F.col("template").alias("t_template"), "merged", "badness", _each_salt().alias("t_salt"))
+    of_path = (F.col("host") == F.col("t_host")) & (F.col("template") == F.col("t_template")) & (_salt("path") == F.col("t_salt"))
+    known = paths.join(judged, of_path).select("host", "path", "merged", "badness", F.xxhash64("host", "path").alias("key"))
+    # fewer than HOT_PATHS keys by the definition of hot
+    total = paths.agg(F.sum("n")).first()[0] or 0
+    hot = paths.groupBy(F.xxhash64("host", "path").alias("key")).agg(F.sum("n").alias("n")).where(F.col("n") * HOT_PATHS > total).select("key", F.lit(True).alias("hot"))
+    hot = F.broadcast(stored(hot, "hot_paths"))
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    known = known.join(hot, "key", "left").select("host", "path", "merged", "badness", F.explode(parts).alias("part"))
+    part = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SALTS)).cast("int")).otherwise(0)
+    joined = rows.join(hot, "key", "left").withColumn("part", part).join(known, ["host", "path", "part"], "left")
+    method = F.when(F.col("badness") > max_bad, "block").otherwise("allow")
     return joined.select(
         *[F.col("row").getField(c).alias(c) for c in pages.columns],
         "host",
         "path",
         F.col("hit.rule").alias("rule"),
-        F.concat(F.lit("/"), F.array_join("merged", "/")).alias("template"),
+        F.concat(F.lit("/"), _join("merged")).alias("template"),
         "badness",
         F.coalesce(F.col("hit.verdict"), method).alias("verdict"),
     )

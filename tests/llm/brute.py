@@ -126,7 +126,7 @@ def chat_digests(turns: list[tuple]) -> dict:
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
-def url_base(url: str | None) -> tuple:
+def url_base(url: str | None, rules=None) -> tuple:
     """(host, path, rule, the rule's verdict)."""
     if url is None or "://" not in url:
         return "", "", None, None
@@ -134,7 +134,7 @@ def url_base(url: str | None) -> tuple:
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host) :])[0]
     host = host.translate(LOWER)
-    fits = [(len(h + p), h + p, v) for v, h, p in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    fits = [(len(h + p), h + p, v) for v, h, p in (RULES if rules is None else rules) if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return (host, path, *(max(fits)[1:] if fits else (None, None)))
 
 

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import math
+import random
+from collections import Counter
+
 from . import brute
 from hirelens.llm.url_templates import judge_urls
 
@@ -53,3 +57,116 @@ def test_hot_host(spark):
     urls = [f"http://hot.net/en/{k}" for k in range(3000)] + [f"http://c{k % 40}.net/en/{k}" for k in range(1000)]
     out = _judged(spark, urls)
     assert len(out) == 4000 and {r["template"] for r in out.values()} <= {"/en/*", "/~/*", "/*/*"}
+
+
+def _wild(s):
+    import re
+
+    m = re.search(r"\.[A-Za-z]{1,5}$", s)
+    return s if s == "" else "*" + (m.group() if m else "")
+
+
+def _brute(urls, rules, weight=8.0, base=0.2, max_distance=0.25, max_gap=0.2):
+    """(template, badness) of each URL by plain loops over the whole tree."""
+    rows = []
+    for u in urls:
+        host, path, _, verdict = brute.url_base(u, rules)
+        parts = path.removeprefix("/").split("/") if path else []
+        rows.append([host, parts, [], verdict])
+    for level in range(max((len(r[1]) for r in rows), default=0)):
+        deep = [r for r in rows if len(r[1]) > level]
+        node = Counter((r[0], *r[2]) for r in deep)
+        child = Counter((r[0], *r[2], r[1][level]) for r in deep)
+        for r in deep:
+            at = (r[0], *r[2])
+            s = r[1][level]
+            r[2] = [*r[2], s if child[(*at, s)] >= 1 + math.sqrt(node[at]) else _wild(s)]
+    total = {}
+    for host, _, t, verdict in rows:
+        e = total.setdefault((host, tuple(t)), [0, 0, 0])
+        for i, hit in enumerate((True, verdict == "allow", verdict == "block")):
+            e[i] += hit
+    good, bad = Counter(), Counter()
+    for (_, t), (_, g, b) in total.items():
+        for i in range(1, len(t) + 1):
+            good[t[:i]] += g
+            bad[t[:i]] += b
+
+    def share(t):
+        return base if not t else (bad[t] + weight * share(t[:-1])) / (good[t] + bad[t] + weight)
+
+    names = {}
+    for at in {(h, t[:i]) for h, t in total for i in range(len(t))}:
+        h, up = at
+        below = {t: e for (x, t), e in total.items() if x == h and len(t) > len(up) and t[: len(up)] == up}
+        pool, segments = Counter(), {}
+        for t, e in below.items():
+            pool[t[len(up) + 1 :]] += e[0]
+            segments.setdefault(t[len(up)], []).append((t[len(up) + 1 :], e))
+        n = sum(pool.values())
+        size = {s: sum(e[0] for _, e in own) for s, own in segments.items()}
+        shares = {s: (sum(e[2] for _, e in own) + weight * share((*up, s))) / (sum(e[1] + e[2] for _, e in own) + weight) for s, own in segments.items()}
+        mean = sum(size[s] * shares[s] for s in segments) / n
+        for s, own in segments.items():
+            far = sum(max(0.0, e[0] / size[s] - pool[rest] / n) for rest, e in own)
+            same = len(segments) > 1 and s != "" and far <= max_distance + 1e-9 and abs(shares[s] - mean) <= max_gap
+            names[(h, (*up, s))] = "~" if same else s
+    merged = {(h, t): tuple(names[(h, t[: i + 1])] for i in range(len(t))) for h, t in total}
+
+    def badness(h, t):
+        up = None
+        for i in range(len(t) + 1):
+            here = [(x, e) for (y, x), e in total.items() if y == h and len(x) >= i and merged[(y, x)][:i] == merged[(h, t)][:i]]
+            n, g, b = (sum(e[k] for _, e in here) for k in range(3))
+            elsewhere = sum(e[0] * share(x[:i]) for x, e in here) / n
+            up = (b + weight * (elsewhere if up is None else (up + elsewhere) / 2)) / (g + b + weight)
+        return up
+
+    done = {k: ("/" + "/".join(merged[k]), badness(*k)) for k in total}
+    return [done[(r[0], tuple(r[2]))] for r in rows]
+
+
+def _same_as_brute(found, urls, rules):
+    for u, (template, badness) in zip(urls, _brute(urls, rules), strict=True):
+        r, verdict = found[u], brute.url_base(u, rules)[3]
+        assert r["template"] == template, u
+        assert abs(r["badness"] - badness) < 1e-9, u
+        assert r["verdict"] == (verdict or ("block" if badness > 0.5 else "allow")), u
+
+
+def test_whole_method_matches_brute_force(spark):
+    rnd = random.Random(5)
+    urls = [
+        f"http://{rnd.choice('abc')}.{rnd.choice(['com', 'org', 'net'])}/{rnd.choice(['en', 'en', 'de', 'fr', 'x' + str(rnd.randrange(99))])}"
+        f"/{rnd.choice(['', 'p/', 'q/r/'])}{rnd.randrange(60)}{rnd.choice(['', '.html', '/'])}"
+        for _ in range(900)
+    ] + ["http://one.net/only", "http://a.com", "http://a.com/", "http://a.com//en", None, "none"]
+    rules = (("block", "com", "/de/"), ("allow", "com", "/en/"), ("block", "a.org", "/en/p"), ("allow", "org", "/fr/"))
+    _same_as_brute(_judged(spark, urls, rules=rules), urls, rules)
+
+
+def test_query_matches_brute_force(spark):
+    from hirelens.llm.queries import queries
+
+    from .llm_util import SF
+
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").collect()}
+    found = {pages[r["page_id"]]: r for r in queries()["op7_url_templates"](spark, SF).collect()}
+    from hirelens.llm.url_templates import RULES as fixed
+
+    _same_as_brute(found, list(pages.values()), fixed)
+
+
+def test_labels_reach_other_hosts_by_template(spark):
+    urls = [f"http://s.net/shop/buy-{k}" for k in range(100)] + [f"http://t.org/shop/buy-{k}" for k in range(100)] + [f"http://t.org/blog/{k}" for k in range(100)]
+    out = _judged(spark, urls, rules=(("block", "s.net", "/shop/"),))
+    assert out["http://t.org/shop/buy-5"]["verdict"] == "block"
+    assert out["http://t.org/blog/5"]["verdict"] == "allow"
+
+
+def test_share_of_a_section_decides_not_the_size_of_the_table(spark):
+    for n in (40, 400):
+        urls = [f"http://h.net/{s}/{k}" for s in ("aa", "bb") for k in range(n)] + [f"http://h.net/cc/x/{k}" for k in range(n)]
+        out = _judged(spark, urls, rules=())
+        assert out["http://h.net/cc/x/3"]["template"] == "/cc/x/*"
+        assert out["http://h.net/aa/3"]["template"] in ("/aa/*", "/~/*")
