@@ -1,15 +1,20 @@
 """Exact top-k search with vector-approximation files.
 
-Vectors of integers lie in blocks of bounded size. Next to the exact vectors a
-block holds their approximation: one byte per component, the number of its
-cell among 256 of equal width over the component's range in the block. For a
-query, the inner product with the cells' centres is within a known distance of
-the true one, so scanning the cells alone bounds every score. Exact vectors
-are then read in the order of their bounds, until the k-th best score found
-is at least every bound that is left: the result is certain, ties included.
-
-The stated queries go, in blocks, to every block of vectors; each pair of
-blocks gives at most k rows per query, and a grouped ranking keeps the k best.
+Vectors of integers lie in blocks of bounded size. A block of the approximation
+holds one byte per component, the number of its cell among 256 of equal width
+over the component's range in the block; the exact vectors lie in a table of
+their own. For a query, the inner product with the cells' centres is within a
+known distance of the true one, so scanning the cells alone bounds every score.
+
+Scan: the stated queries go, in blocks, to every block of cells; a query keeps
+the rows whose upper bound reaches the block's k-th best lower bound, and of
+these the ones that reach the k-th best over all blocks. Reading, in the order
+of the upper bounds: first the k best candidates of each query, whose worst
+exact score is then a certain limit; then those whose bound reaches it. What no
+bound reaches can't be among the k, ties included, and is never read.
+
+Among rows of one vector only the k + 1 smallest ids can be in an answer; the
+others aren't scanned, so large groups of copies leave no ties to be read.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part, nor do rows without an id; rows that share a query's id are its
@@ -34,8 +39,10 @@ from hirelens.llm.common import column, stored
 
 CELLS = 256
 BLOCK_ROWS, QUERY_ROWS = 8192, 1024
-#: exact vectors read at a time
-STEP = 32
+#: a block of cells meets so many blocks of queries in one task
+QUERY_GROUP = 64
+#: into so many parts the readers of one exact vector are dealt
+SALTS = 16
 
 
 def _matrix(t: pa.Table) -> np.ndarray:
@@ -44,47 +51,96 @@ def _matrix(t: pa.Table) -> np.ndarray:
     return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), t.column("dim")[0].as_py())
 
 
-def _pack(t: pa.Table) -> pa.Table:
-    """One block: ids ascending, exact vectors, cells and their grid."""
+def _bytes(x: np.ndarray, kind: str) -> pa.Array:
+    return pa.array([np.ascontiguousarray(x, kind).tobytes()], pa.binary())
+
+
+def _pack_cells(t: pa.Table) -> pa.Table:
+    """One block: ids ascending, cells and their grid."""
     order = np.argsort(t.column("id").to_numpy(), kind="stable")
     ids, v = t.column("id").to_numpy()[order], _matrix(t)[order]
     low = v.min(0) if v.size else np.zeros(v.shape[1])
     step = np.maximum(v.max(0) / CELLS - low / CELLS, 1e-300) if v.size else np.ones(v.shape[1])
     with np.errstate(over="ignore"):
         cells = np.minimum(v / step - low / step, CELLS - 1).astype(np.uint8)
-    raw = lambda x, kind: pa.array([np.ascontiguousarray(x, kind).tobytes()], pa.binary())
-    return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), "ids": raw(ids, "<i8"), "exact": raw(v, "<f8"), "cells": raw(cells, "u1"), "low": raw(low, "<f8"), "step": raw(step, "<f8")})
+    return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1), "ids": _bytes(ids, "<i8"), "cells": _bytes(cells, "u1"), "low": _bytes(low, "<f8"), "step": _bytes(step, "<f8")})
 
 
-_BLOCK = "dim int, block long, ids binary, exact binary, cells binary, low binary, step binary"
+def _pack_queries(t: pa.Table) -> pa.Table:
+    return pa.table({"dim": t.column("dim").slice(0, 1), "q_block": t.column("block").slice(0, 1), "q_ids": _bytes(t.column("id").to_numpy(), "<i8"), "q": _bytes(_matrix(t), "<f8")})
 
 
-def _blocks(rows: DataFrame, count: int, size: int) -> DataFrame:
-    n = max(1, -(-count // size))
-    return rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(n))).groupBy("dim", "block").applyInArrow(_pack, _BLOCK)
+def _in_blocks(rows: DataFrame, blocks: int):
+    return rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).groupBy("dim", "block")
 
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products of integers held as floats; exact, within a long."""
-    if len(q) * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < 2**53:
-        return (v @ q).astype(np.int64)
-    exact = [sum(int(a) * int(b) for a, b in zip(q, x)) for x in v]
+    """Inner products of the rows of two matrices of integers held as floats;
+    exact, within a long."""
+    if q.shape[1] * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < 2**53:
+        return np.einsum("ij,ij->i", q, v).astype(np.int64)
+    exact = [sum(int(a) * int(b) for a, b in zip(x, y)) for x, y in zip(q, v)]
     return np.array([max(-(2**63), min(2**63 - 1, x)) for x in exact], np.int64)
 
 
-def search(qid: int, q: np.ndarray, near: np.ndarray, slack: float, ids: np.ndarray, exact: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """The k best (score, id) of a block. ``near``: scores by the cells'
-    centres, each within ``slack`` of the true one."""
-    near = np.where(ids == qid, -np.inf, near)
-    order = np.argsort(-near, kind="stable")
-    order = order[: int(np.count_nonzero(near > -np.inf))]
-    best: list[tuple[int, int]] = []
-    for at in range(0, len(order), STEP):
-        if len(best) == k and near[order[at]] + slack < best[-1][0]:
-            break
-        own = order[at : at + STEP]
-        best = sorted([*best, *zip(_scores(q, exact[own]).tolist(), ids[own].tolist())], key=lambda x: (-x[0], x[1]))[:k]
-    return best
+def bounds(qs: np.ndarray, cells: np.ndarray, low: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the scores, one row per query."""
+    with np.errstate(all="ignore"):
+        near = qs @ (low + cells.astype(np.float64) * step + step / 2).T
+        # half a cell per component, and what rounding can add
+        slack = (np.abs(qs) @ step * 0.5 + 1e-9 * (np.abs(qs) @ (np.abs(low) + CELLS * step)) + 1e-6)[:, None]
+        # beyond a double, or a long's limits, cells tell nothing
+        wide = ~np.isfinite(near) | (np.abs(near) >= 2.0**62) | ~np.isfinite(slack)
+        return np.where(wide, -np.inf, near - slack), np.where(wide, np.inf, near + slack)
+
+
+def _scan(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for i in range(x.num_rows):
+                dim = x.column("dim")[i].as_py()
+                get = lambda c, kind: np.frombuffer(x.column(c)[i].as_buffer(), kind)
+                ids, q_ids = get("ids", "<i8"), get("q_ids", "<i8")
+                lower, upper = bounds(get("q", "<f8").reshape(len(q_ids), dim), get("cells", "u1").reshape(len(ids), dim), get("low", "<f8"), get("step", "<f8"))
+                for j, qid in enumerate(q_ids):
+                    own = np.flatnonzero(ids != qid)
+                    if len(own) > k:
+                        limit = np.partition(lower[j][own], len(own) - k)[len(own) - k]
+                        own = own[upper[j][own] >= limit]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), qid)), pa.array(ids[own]), pa.array(lower[j][own]), pa.array(upper[j][own])], names=["query_id", "vec_id", "lower", "upper"])
+
+    return run
+
+
+def _score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for x in batches:
+        sizes = x.column("dim").to_numpy()
+        for dim in np.unique(sizes):
+            t = x.filter(pa.array(sizes == dim))
+            flat = lambda c: t.column(c).flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, int(dim))
+            yield pa.RecordBatch.from_arrays([t.column("query_id"), t.column("vec_id"), pa.array(_scores(flat("q"), flat("v")))], names=["query_id", "vec_id", "score"])
+
+
+def _read_exact(asked: DataFrame, rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """``asked`` (query_id, vec_id) with the exact score. Each asked vector is
+    taken from the table once and dealt to its readers."""
+    salt = F.pmod(F.xxhash64("query_id"), F.lit(SALTS)).cast("int")
+    wanted = rows.join(asked.select(F.col("vec_id").alias("id")).distinct(), "id")
+    wanted = wanted.select(F.col("id").alias("vec_id"), "v", "dim", F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
+    q = queries.select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("dim").alias("q_dim"))
+    met = asked.select("query_id", "vec_id", salt.alias("salt")).join(wanted, ["vec_id", "salt"]).join(q, "query_id").where(F.col("dim") == F.col("q_dim"))
+    return met.select("query_id", "vec_id", "dim", "q", "v").mapInArrow(_score_rows, "query_id long, vec_id long, score long")
+
+
+def _first(rows: DataFrame, k: int, *order) -> DataFrame:
+    """The first k rows of each query, with ``rank``."""
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k)
+
+
+def _limit(rows: DataFrame, k: int, value: str, name: str) -> DataFrame:
+    """(query_id, name): the k-th best value; null with fewer than k rows."""
+    best = _first(rows.select("query_id", value), k, F.desc(value))
+    return best.groupBy("query_id").agg(F.when(F.count("*") == k, F.min(value)).alias(name))
 
 
 def top_k(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256, every: int = 50, block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
@@ -97,38 +153,28 @@ def top_k(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     rows = rows.select("id", F.transform("v", _floor).alias("v")).distinct().withColumn("dim", F.size("v"))
     rows = stored(rows, "vectors")
     queries = rows.where(F.col("id") % every == 0)
-    n, nq = rows.count(), queries.count()
-    data = stored(_blocks(rows, n, block_rows), "va_file")
-    asked = _blocks(queries, nq, query_rows).select("dim", F.col("ids").alias("q_ids"), F.col("exact").alias("q"))
-    # every block of queries goes to every block of vectors of its dimension
-    places = data.select("dim", "block")
-    asked = asked.join(places, "dim")
-    pairs = data.join(asked, ["dim", "block"]).select("dim", "ids", "exact", "cells", "low", "step", "q_ids", "q")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            for i in range(x.num_rows):
-                dim = x.column("dim")[i].as_py()
-                get = lambda c, kind: np.frombuffer(x.column(c)[i].as_buffer(), kind)
-                ids, q_ids = get("ids", "<i8"), get("q_ids", "<i8")
-                exact, qs = get("exact", "<f8").reshape(len(ids), dim), get("q", "<f8").reshape(len(q_ids), dim)
-                low, step = get("low", "<f8"), get("step", "<f8")
-                with np.errstate(all="ignore"):
-                    centres = low + get("cells", "u1").reshape(len(ids), dim).astype(np.float64) * step + step / 2
-                    near = qs @ centres.T
-                    # half a cell per component, and what rounding can add
-                    slack = np.abs(qs) @ step * 0.5 + 1e-9 * (np.abs(qs) @ (np.abs(low) + CELLS * step)) + 1e-6
-                # beyond a double, or a long's limits, cells tell nothing
-                wide = ~np.isfinite(near) | (np.abs(near) >= 2.0**62) | ~np.isfinite(slack)[:, None]
-                near = np.where(wide, np.inf, near)
-                slack = np.where(np.isfinite(slack), slack, np.inf)
-                out = [(int(q_ids[j]), *hit) for j in range(len(qs)) for hit in search(int(q_ids[j]), qs[j], near[j], float(slack[j]), ids, exact, k)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["query_id", "score", "vec_id"])
-
-    found = pairs.mapInArrow(run, "query_id long, score long, vec_id long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    first = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    scanned = rows.withColumn("copy", first).where(F.col("copy") <= k + 1).drop("copy")
+    blocks, q_blocks = (max(1, -(-r.count() // size)) for r, size in ((rows, block_rows), (queries, query_rows)))
+    groups = -(-q_blocks // QUERY_GROUP)
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    cells = stored(_in_blocks(scanned, blocks).applyInArrow(_pack_cells, "dim int, block long, ids binary, cells binary, low binary, step binary"), "va_file")
+    asked = _in_blocks(queries, q_blocks).applyInArrow(_pack_queries, "dim int, q_block long, q_ids binary, q binary")
+    # every block of queries goes to every block of cells of its dimension
+    asked = asked.withColumn("group", F.expr(f"q_block div {QUERY_GROUP}")).withColumn("block", numbers(blocks))
+    pairs = cells.withColumn("group", numbers(groups)).join(asked, ["dim", "block", "group"])
+    pairs = pairs.select("dim", "ids", "cells", "low", "step", "q_ids", "q")
+    found = stored(pairs.mapInArrow(_scan(k), "query_id long, vec_id long, lower double, upper double"), "candidates")
+    reach = found.join(_limit(found, k, "lower", "least"), "query_id").where(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
+    reach = stored(reach.select("query_id", "vec_id", "upper"), "candidates")
+    head = stored(_first(reach, k, F.desc("upper"), "vec_id").select("query_id", "vec_id"), "candidates")
+    read = stored(_read_exact(head, rows, queries), "scores")
+    certain = _limit(read, k, "score", "certain")
+    # a bound is a double: it may lie below a score that it equals by what a double rounds off
+    tail = reach.join(certain, "query_id").where(F.col("certain").isNotNull() & (F.col("upper") + F.abs("upper") * 1e-15 >= F.col("certain").cast("double")))
+    tail = stored(tail.join(head, ["query_id", "vec_id"], "left_anti").select("query_id", "vec_id"), "candidates")
+    scores = read.union(_read_exact(tail, rows, queries))
+    return _first(scores, k, F.desc("score"), "vec_id").select("query_id", "rank", "vec_id", "score")
 
 
 def _floor(x):

@@ -61,3 +61,28 @@ def test_query_matches_sql(spark, small):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
     want = sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({oracle_queries()['op10_va_top_k']})").fetchall())
     assert sorted(tuple(r) for r in queries()["op10_va_top_k"](spark, SF).select("query_id", "rank", "vec_id", "score").collect()) == want
+
+
+def test_bounds_hold_the_exact_scores():
+    import numpy as np
+
+    from hirelens.llm.va_topk import CELLS, bounds
+
+    rng = np.random.default_rng(3)
+    v, q = np.floor(256 * rng.normal(0, 0.3, (500, 16))), np.floor(256 * rng.normal(0, 0.3, (40, 16)))
+    low = v.min(0)
+    step = (v.max(0) - low) / CELLS
+    lower, upper = bounds(q, np.minimum((v - low) / step, CELLS - 1).astype(np.uint8), low, step)
+    exact = q @ v.T
+    assert (lower <= exact).all() and (exact <= upper).all()
+    # narrow enough to leave few vectors to be read
+    least = np.sort(lower, 1)[:, -5]
+    assert ((upper >= least[:, None]).sum(1) < 25).all()
+
+
+def test_a_third_of_the_rows_in_one_vector(spark):
+    rnd = random.Random(11)
+    hot = [0.9, 0.8, 0.7, 0.1]
+    rows = [(k, hot if k % 3 == 0 else [rnd.uniform(-1, 1) for _ in range(4)]) for k in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert _found(df, block_rows=100, query_rows=4) == brute.best_vectors(rows)
