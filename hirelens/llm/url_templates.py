@@ -96,8 +96,10 @@ def path_templates(paths: DataFrame, depth: int) -> DataFrame:
     for level in range(height):
         here = F.get("segments", F.lit(level))
         child = rows.where(F.size("segments") > level).groupBy("host", "template", here.alias("segment")).agg(F.sum("n").alias("n"))
-        node = child.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        often = child.join(node, ["host", "template"]).where(F.col("n") >= 1 + F.sqrt("total"))
+        # a node has as many rows as different segments: they are dealt out too
+        node = child.groupBy("host", "template").agg(F.sum("n").alias("total")).withColumn("part", _each_salt())
+        twice = child.where("n >= 2").withColumn("part", _salt("segment"))
+        often = twice.join(node, ["host", "template", "part"]).where(F.col("n") >= 1 + F.sqrt("total"))
         literal = often.select(F.col("host").alias("l_host"), F.col("template").alias("l_template"), F.col("segment").alias("literal"), _each_salt().alias("l_salt"))
         meets = (F.col("host") == F.col("l_host")) & (F.col("template") == F.col("l_template")) & (here == F.col("literal")) & (F.col("salt") == F.col("l_salt"))
         name = F.coalesce("literal", _wild(here))
