@@ -8,7 +8,9 @@ made from the histogram alone:
 1. Combinations of up to three lengths that fill a window are enumerated, and
    non-negative least squares (coordinate descent) solves how often to repeat
    each so that the histogram is met.
-2. The counts are rounded down to what the histogram still holds.
+2. The counts are rounded to the nearest that the histogram still holds. What
+   rounding leaves is a histogram again, for which 1 and 2 are repeated until a
+   round fills windows with less than ``GAIN`` of the ids that are left.
 3. Residual lengths are packed greedily: the longest, then the longest that
    still fits, for as long as that fills windows exactly. What no such window
    takes is laid end to end and cut at window edges, and the last, unfilled
@@ -47,7 +49,12 @@ WINDOW = 2048
 CHUNK = 1024
 #: second lengths tried for each first one in combinations of three
 SPLITS = 6
+#: passes over the combinations in one round; the next round takes up what they leave
 SWEEPS = 12
+#: the least share of the ids left that a further round has to place
+GAIN = 0.01
+#: bytes of ranks that may be broadcast
+BROADCAST_BYTES = 16 << 20
 
 
 def combinations(lengths: list[int], window: int = WINDOW, splits: int = SPLITS) -> list[tuple[int, ...]]:
@@ -92,11 +99,9 @@ class Plan:
         self.used = dict.fromkeys(counts, 0)
         self.next = first  # the next sequence
         left = dict(counts)
-        found = combinations(sorted(left), window)
-        x = solve(found, left)
-        for k in sorted(range(len(found)), key=lambda k: (-x[k], k)):
-            c = found[k]
-            self._repeat(c, min(int(x[k]), *(left[n] // c.count(n) for n in c)), left)
+        while self._solved(left):
+            pass
+        self.solved = self.next - first  # sequences filled by solved combinations
         present = sorted(n for n, c in left.items() if c > 0)
         stream: list[int] = []
         while present:
@@ -124,6 +129,18 @@ class Plan:
         self.stream_ids = at
         self.starts = {n: [r[0] for r in v] for n, v in self.ranges.items()}
 
+    def _solved(self, left: dict[int, int]) -> bool:
+        """Places one round of solved combinations; whether it pays to solve
+        for the rest of the histogram again."""
+        present = {n: left[n] for n in sorted(left) if left[n] > 0}
+        ids, before = sum(n * c for n, c in present.items()), self.next
+        found = combinations(list(present), self.window)
+        x = solve(found, present)
+        for k in sorted(range(len(found)), key=lambda k: (-x[k], k)):
+            c = found[k]
+            self._repeat(c, min(int(x[k] + 0.5), *(left[n] // c.count(n) for n in c)), left)
+        return (self.next - before) * self.window > GAIN * ids
+
     def _repeat(self, c: tuple[int, ...], times: int, left: dict[int, int]) -> None:
         if times <= 0:
             return
@@ -199,7 +216,15 @@ def _ranks(chunks: DataFrame, window: int) -> DataFrame:
     return own.groupBy("part", "chunk").agg(F.map_from_entries(F.collect_list(F.struct("n", (F.col("inner") + F.col("base")).alias("r")))).alias("first"))
 
 
-def pack(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = 1, window: int = WINDOW) -> DataFrame:
+def _with_ranks(chunks: DataFrame, window: int, broadcast_bytes: int) -> DataFrame:
+    """``chunks`` with their first ranks, by a broadcast while the ranks take
+    no more than ``broadcast_bytes``, so that the ids stay where they are."""
+    ranks = stored(_ranks(chunks, window), "ranks")
+    few = (ranks.agg(F.sum(64 + 16 * F.size("first"))).first()[0] or 0) <= broadcast_bytes
+    return chunks.join(F.broadcast(ranks) if few else ranks, ["part", "chunk"])
+
+
+def pack(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, end_id: int = 1, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned
     32-bit), doc_tokens, sequence_id, offset."""
     path = path or vocabulary_path("word_bpe_49k.json")
@@ -227,8 +252,7 @@ def pack(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | No
                     at += n
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _PIECE)], names=_NAMES)
 
-    placed = chunks.join(_ranks(chunks, window), ["part", "chunk"])
-    return placed.mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return _with_ranks(chunks, window, broadcast_bytes).mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 _PIECE = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())

@@ -52,6 +52,18 @@ def test_plans_place_everything_without_padding():
     _check_plan({63: 1000}, 64)
 
 
+def test_solved_combinations_place_nearly_all():
+    """Prose-like lengths: many short rests, all lengths present."""
+    rnd = random.Random(3)
+    for docs in (2_000, 20_000, 2_000_000):
+        share = docs // 2_000
+        counts = Counter()
+        for _ in range(2_000):
+            counts[1 + int(rnd.betavariate(1.2, 2.0) * 2046)] += share
+        plan = Plan(dict(counts), 0)
+        assert plan.solved * 2048 >= 0.85 * sum(n * c for n, c in counts.items())
+
+
 def _pieces(df):
     return [tuple(r) for r in df.select("doc_id", "start", "length", F.crc32("ids"), "doc_tokens", "sequence_id", "offset").collect()]
 
@@ -69,6 +81,13 @@ def test_odd_rows(odd):
     assert sum(whole.values()) == out.select("sequence_id").distinct().count()
 
 
+def test_ranks_by_join_place_alike(small):
+    docs = small.limit(200).cache()
+    by_join, by_broadcast = pack(docs, broadcast_bytes=-1), pack(docs)
+    assert sorted(_pieces(by_join)) == sorted(_pieces(by_broadcast))
+    assert "BroadcastHashJoin" in by_broadcast._jdf.queryExecution().executedPlan().toString()
+
+
 def test_repeated_rows_and_null_ids(odd):
     tokens = pack(odd).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     n = {r["doc_id"]: r["n"] for r in tokens}
