@@ -170,10 +170,19 @@ def _signatures(array: pa.Array) -> np.ndarray:
     return buffers(array)[0].reshape(-1, HASHES)
 
 
-def _prune(pairs: DataFrame, reps: DataFrame, least: list[int]) -> DataFrame:
+def _both(pairs: DataFrame, values: DataFrame, block: int) -> DataFrame:
+    """(lo, hi, a, b): the pairs with the values (rep, value) of both. A
+    document with many partners has its value once per ``block`` of them, so
+    these are dealt over as many groups; no task makes all of its rows."""
+    parts = pairs.groupBy("lo").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    dealt = pairs.join(parts, "lo").select("lo", "hi", F.pmod(F.xxhash64("hi"), F.col("parts")).cast("int").alias("part"))
+    a = values.toDF("lo", "a").join(parts, "lo").select("lo", "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return dealt.join(a, ["lo", "part"]).join(values.toDF("hi", "b"), "hi").select("lo", "hi", "a", "b")
+
+
+def _prune(pairs: DataFrame, reps: DataFrame, least: list[int], block: int) -> DataFrame:
     """(lo, hi) -> (lo, hi, matches) of those that signatures leave."""
-    sig = reps.select("rep", "sig")
-    both = pairs.join(sig.toDF("lo", "a"), "lo").join(sig.toDF("hi", "b"), "hi").select("lo", "hi", "a", "b")
+    both = _both(pairs, reps.select("rep", "sig"), block)
 
     def run(batches):
         for x in batches:
@@ -184,10 +193,9 @@ def _prune(pairs: DataFrame, reps: DataFrame, least: list[int]) -> DataFrame:
     return both.mapInArrow(run, "lo long, hi long, matches long")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, block: int) -> DataFrame:
     """The pairs (lo, hi) whose full sets are similar enough."""
-    s = sets.select("rep", "keys")
-    both = pairs.select("lo", "hi").join(s.toDF("lo", "a"), "lo").join(s.toDF("hi", "b"), "hi").select("lo", "hi", "a", "b")
+    both = _both(pairs.select("lo", "hi"), sets.select("rep", "keys"), block)
 
     def run(batches):
         for x in batches:
@@ -265,9 +273,18 @@ def _grid(members: DataFrame, comps: DataFrame, reps: DataFrame, block: int) ->
     members aside (these have been compared with all), in cells of bounded
     size: those outside a bucket's largest component (left) against all."""
     m = _labelled(members.where("size > 2 AND rep <> leader"), comps, "rep", "comp")
-    parts = m.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    large = parts.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all")).select("key", F.col("top.comp").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("out")).where("out > 0")
-    m = m.join(large, "key").join(reps.select("rep", "sig", "bands"), "rep")
+    parts = m.groupBy("key", "comp").agg(F.count("*").alias("c"), F.max("size").alias("size"))
+    large = (
+        parts.groupBy("key")
+        .agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"), F.max("size").alias("size"))
+        .select("key", F.col("top.comp").alias("top"), "all", (F.col("all") - F.col("top.c")).alias("out"), "size")
+        .where("out > 0")
+    )
+    # a bucket's members know its size, so they are dealt over as many parts as it has blocks
+    dealt = F.ceil(F.col("size") / block).cast("int")
+    large = large.withColumn("part", F.explode(F.sequence(F.lit(0), dealt - 1))).drop("size")
+    m = m.withColumn("part", F.pmod(F.xxhash64("rep"), dealt).cast("int")).drop("size")
+    m = m.join(large, ["key", "part"]).join(reps.select("rep", "sig", "bands"), "rep")
     blocks = lambda c: F.ceil(F.col(c) / block).cast("int")
     at = lambda c: F.pmod(F.xxhash64("rep"), blocks(c)).cast("int")
     each = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
@@ -355,15 +372,15 @@ def _as_edges(comps: DataFrame) -> DataFrame:
     return comps.where("node <> comp").select(F.col("comp").alias("lo"), F.col("node").alias("hi"))
 
 
-def _settle(found: DataFrame, sets: DataFrame, edges: DataFrame) -> DataFrame:
+def _settle(found: DataFrame, sets: DataFrame, edges: DataFrame, block: int) -> DataFrame:
     """``edges`` and what joins further components: each document's likeliest
     pair is verified first, then the others that still could."""
     best = found.groupBy("hi").agg(F.max(F.struct("matches", (-F.col("lo")).alias("lo"))).alias("b")).select((-F.col("b.lo")).alias("lo"), "hi")
-    edges = edges.union(stored(_verify(best, sets), "links"))
+    edges = edges.union(stored(_verify(best, sets, block), "links"))
     comps = components(edges)
     rest = found.join(best, ["lo", "hi"], "left_anti")
     rest = stored(_labelled(_labelled(rest, comps, "lo", "cl"), comps, "hi", "ch").where("cl <> ch"), "rest")
-    return _as_edges(comps).union(stored(_verify(rest, sets), "links"))
+    return _as_edges(comps).union(stored(_verify(rest, sets, block), "links"))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", miss: float = 1e-5, block: int = BLOCK) -> DataFrame:
@@ -381,14 +398,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", mis
     members = stored(keys.join(full, "key"), "members")
 
     stars = members.where("rep <> leader").select(F.col("leader").alias("lo"), F.col("rep").alias("hi")).distinct()
-    stars = stored(_prune(stars, reps, least), "stars")
+    stars = stored(_prune(stars, reps, least, block), "stars")
     # rows that share an id are one vertex: their representatives are linked
     links = sketches.where("n > 0 AND id IS NOT NULL").select("id", "s1", "s2").distinct().join(reps.select("s1", "s2", "rep"), ["s1", "s2"])
     several = links.groupBy("id").agg(F.min("rep").alias("lo"), F.count("*").alias("c")).where("c > 1")
     edges = stored(links.join(several, "id").where("rep <> lo").select("lo", F.col("rep").alias("hi")), "edges")
     wanted = lambda pairs: pairs.select(F.col("lo").alias("rep")).union(pairs.select("hi")).distinct()
     sets = stored(_sets(docs, reps, wanted(stars)), "sets")
-    edges = _settle(stars, sets, edges)
+    edges = _settle(stars, sets, edges, block)
     comps = components(edges)
     links = stored(_cross_links(docs, members, comps, reps, sets, least, block), "links")
     if not links.isEmpty():
