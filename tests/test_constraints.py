@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import make_tables, rows, ts
 
@@ -65,3 +67,14 @@ def test_null_primary_key_counted_once(spark):
     cands = frame(spark, "candidates", [(None, ts(0), "s", "l", 1, "e"), (None, ts(0), "s", "l", 1, "e"), ("c1", ts(0), "s", "l", 1, "e")])
     got = rows(C.audit_primary_key({"candidates": cands}), "constraint_type", "key_value", "violation_count")
     assert got == [("NOT_NULL", None, 2)]
+
+
+@pytest.mark.parametrize("audit", [C.audit_domain, C.audit_length])
+def test_row_checks_filter_below_the_joins_that_made_a_table(spark, audit):
+    """Only offending rows are shuffled to a join whose other side is not asked."""
+    ids = spark.range(100).selectExpr("id AS application_id")
+    events = spark.range(100).selectExpr("CAST(id AS STRING) AS event_id", "id AS application_id", "IF(id = 7, repeat('x', 51), 'SCREEN') AS stage", "'System' AS actor_type")
+    found = audit({"stage_events": events.join(ids, "application_id", "left_semi")})
+    assert [r["key_value"] for r in found.collect()] == ["7"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftSemi.*Filter .*= 7", plan, re.S), plan
