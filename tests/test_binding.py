@@ -1,0 +1,58 @@
+"""Shuffles and joins of the bound tables, over rows written here."""
+
+from __future__ import annotations
+
+import os
+from datetime import datetime
+
+import pytest
+
+from hirelens.operators import constraints as C
+from hirelens.operators import funnel as FN
+from hirelens.operators import stages as L
+from hirelens.sources.binding import bind_testdata
+
+DAY = datetime(2023, 1, 2)
+
+
+@pytest.fixture()
+def bound(spark, scratch_dir):
+    tables = {
+        "nation": ([(0, "N")], "n_nationkey int, n_name string"),
+        "customer": ([(1, "c", 0, 900.0, "S")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "part": ([(1, "B", "T", 1, 900.0)], "p_partkey long, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "orders": ([(1, 1, DAY), (2, 1, None), (2, 1, DAY)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        # of the third order there is no row, the fourth line has no order key
+        "lineitem": (
+            [(1, 1, 1, 1, 5.0, 0.0, "A", DAY), (2, 1, 1, 2, 5.0, 0.0, "R", DAY), (3, 1, 1, 1, 5.0, 0.0, "A", DAY), (None, 1, 1, 1, 5.0, 0.0, "A", DAY)],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+        ),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(os.path.join(scratch_dir, f"{name}.parquet"))
+    return bind_testdata(spark, scratch_dir).with_promoted_events()
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_raw_and_promoted_events_share_the_shuffle_of_the_lines(bound):
+    found = C.audit_not_null({"stage_events_raw": bound.stage_events_raw, "stage_events": bound.stage_events})
+    got = sorted((r["table_name"], r["column_names"], r["key_value"]) for r in found.collect())
+    assert got == [("stage_events", "stage_ts", "2-2-1-1-20230102"), ("stage_events_raw", "stage_ts", "2-2-1-1-20230102")]
+    assert "ReusedExchange" in _plan(found)
+
+
+@pytest.mark.parametrize("query", [C.audit_unique, FN.funnel_metrics, FN.funnel_grains], ids=lambda f: f.__name__)
+def test_events_are_not_sorted_to_meet_orders_and_applications(spark, bound, query):
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "-1")
+    try:
+        given = bound.as_dict() if query is C.audit_unique else L.lifecycle(bound.applications, bound.stage_events, bound.candidates, bound.requisitions)
+        plan = _plan(query(given))
+    finally:
+        spark.conf.set(small, before)
+    joins = [line for line in plan.splitlines() if "Join [" in line and ("l_orderkey" in line or "LeftSemi" in line)]
+    assert joins and all("ShuffledHashJoin" in line for line in joins), plan
