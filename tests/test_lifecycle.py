@@ -132,3 +132,31 @@ def test_lifecycle_without_dimensions_keeps_stage_columns(spark):
     assert rows(lean, *cols) == rows(full, *cols)
     plan = lean._jdf.queryExecution().executedPlan().toString()
     assert "candidate_id#" not in plan.split("Exchange hashpartitioning(")[-1].split(",")[0]
+
+
+def test_several_names_outside_the_domain(spark):
+    apps = [(f"a{i}", "c", f"r{i}", ts(0), "x") for i in range(1, 6)]
+    ev = [
+        ("1a", "a1", "ZED", ts(5)), ("1b", "a1", "BOGUS", ts(5)), ("1c", "a1", "AAA", ts(4)),  # of the last ones, the least name
+        ("2a", "a2", "ZED", ts(5)), ("2b", "a2", "BOGUS", ts(4)), ("2c", "a2", "HIRED", ts(3)),
+        ("3a", "a3", "ZED", None), ("3b", "a3", None, ts(1)),  # a name without a time is never the latest
+        ("4a", "a4", "ZED", None), ("4b", "a4", "BOGUS", None), ("4c", "a4", "HIRED", None),
+        ("5a", "a5", "BOGUS", ts(2)), ("5b", "a5", "HIRED", ts(2)), ("5c", "a5", "OFFER", ts(2)), ("5d", "a5", "ZED", ts(1)),
+    ]
+    t = make_tables(spark, apps, ev)
+    want = [("a1", "BOGUS", ts(5)), ("a2", "ZED", ts(5)), ("a3", None, ts(1)), ("a4", None, None), ("a5", "HIRED", ts(2))]
+    assert rows(latest_stage(t.stage_events), "application_id", "latest_stage", "latest_stage_ts") == want
+    assert rows(_life(t), "application_id", "latest_stage", "latest_stage_ts") == want
+
+
+def test_microseconds_are_exact_without_a_decimal(spark):
+    from hirelens.functions.time import micros_between
+
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'0001-01-01 00:00:00.000001' AS a, TIMESTAMP_NTZ'9999-12-31 23:59:59.999999' AS b"
+        " UNION ALL SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59.9', TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+        " UNION ALL SELECT NULL, TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    )
+    out = df.select(micros_between("a", "b").alias("x"), micros_between("b", "a").alias("y"))
+    assert [tuple(r) for r in out.collect()] == [(315537897599999998, -315537897599999998), (100000, -100000), (None, None)]
+    assert "decimal(" not in out._jdf.queryExecution().executedPlan().toString().lower()

@@ -40,3 +40,23 @@ def test_orphan_rule_is_an_anti_join_on_pruned_scans(spark):
     assert "LeftAnti" in plan
     scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
     assert sorted(len(s.split(",")) for s in scans) == [1, 1, 5]  # application ids, order keys, the parts of an event id
+
+
+def test_lifecycle_sorts_the_aggregated_events_once(spark):
+    plan = _plan(E.queries()["lifecycle"](spark, SF))
+    assert plan.count(" Window [") == 1 and "WindowGroupLimit" not in plan
+    assert plan.count("Sort [application_id") == 2  # the applications and, for the window and the join alike, the aggregate
+    assert "decimal(" not in plan.lower()
+
+
+def test_orphan_rule_does_not_sort_the_events(spark):
+    plan = _plan(E.queries()["exc_orphan_event"](spark, SF))
+    assert re.search(r"ShuffledHashJoin .*LeftAnti", plan) and "Sort [" not in plan
+
+
+@pytest.mark.parametrize("mode", ["", "_symmetric"])
+def test_duplicate_rule_joins_flagged_points_by_hash(spark, mode):
+    plan = _plan(E.queries()[f"exc_duplicate_application{mode}"](spark, SF))
+    joins = re.findall(r"(\w+Join) ", plan)
+    assert len(joins) == 2 and joins[0] == "ShuffledHashJoin"
+    assert plan.count("FileScan") == 3  # the applications, and their points for hours and for places
