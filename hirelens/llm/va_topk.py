@@ -160,9 +160,10 @@ def top_k(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     cells = stored(_in_blocks(scanned, blocks).applyInArrow(_pack_cells, "dim int, block long, ids binary, cells binary, low binary, step binary"), "va_file")
     asked = _in_blocks(queries, q_blocks).applyInArrow(_pack_queries, "dim int, q_block long, q_ids binary, q binary")
-    # every block of queries goes to every block of cells of its dimension
+    # every block of queries goes to every block of cells of its dimension. Spark takes a side for
+    # as small as it was before its copies, so without the hint they are all sent through the driver
     asked = asked.withColumn("group", F.expr(f"q_block div {QUERY_GROUP}")).withColumn("block", numbers(blocks))
-    pairs = cells.withColumn("group", numbers(groups)).join(asked, ["dim", "block", "group"])
+    pairs = cells.withColumn("group", numbers(groups)).hint("shuffle_hash").join(asked, ["dim", "block", "group"])
     pairs = pairs.select("dim", "ids", "cells", "low", "step", "q_ids", "q")
     found = stored(pairs.mapInArrow(_scan(k), "query_id long, vec_id long, lower double, upper double"), "candidates")
     reach = found.join(_limit(found, k, "lower", "least"), "query_id").where(F.col("least").isNull() | (F.col("upper") >= F.col("least")))

@@ -86,3 +86,24 @@ def test_a_third_of_the_rows_in_one_vector(spark):
     rows = [(k, hot if k % 3 == 0 else [rnd.uniform(-1, 1) for _ in range(4)]) for k in range(600)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert _found(df, block_rows=100, query_rows=4) == brute.best_vectors(rows)
+
+
+def test_copies_of_blocks_do_not_pass_the_driver(spark, monkeypatch):
+    """Blocks are multiplied before cells and queries meet, and Spark judges a
+    side by its size before that: a broadcast would gather every copy."""
+    from hirelens.llm import va_topk
+
+    plans, stored = [], va_topk.stored
+
+    def seen(df, *args):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, *args)
+
+    monkeypatch.setattr(va_topk, "stored", seen)
+    rnd = random.Random(12)
+    rows = [(k, [rnd.uniform(-1, 1) for _ in range(4)]) for k in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert _found(df, block_rows=20, query_rows=4) == brute.best_vectors(rows)
+    (scan,) = [p for p in plans if "MapInArrow" in p and "q_ids" in p]
+    assert "Join" in scan and "Broadcast" not in scan
